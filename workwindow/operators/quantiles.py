@@ -1,0 +1,83 @@
+"""Exact percentiles of groups too large for one task.
+
+``percentile`` keeps every distinct value of a group in one buffer. That is the
+right plan for a month or a year of hours; it is not for a group that holds a
+large share of the table. Here such a group is cut into value ranges that are
+ranked in parallel, with ranks carried across the ranges. The result is exact
+whatever the cut points are.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+RANGES = 256
+
+
+def ranged_percentiles(
+    values: DataFrame,
+    keys: Sequence[str],
+    probabilities: Sequence[float],
+    value: str = "value",
+    weight: str = "n",
+) -> DataFrame:
+    """Linear-interpolated percentiles per key as array ``quantiles``.
+
+    ``values`` holds non-null values with a repeat count, at most one row per key
+    and value being the cheap case.
+    """
+    cut_at = [i / RANGES for i in range(1, RANGES)]
+    groups = values.groupBy(*keys).agg(
+        F.percentile_approx(value, cut_at, 10_000).alias("_cuts"),
+        F.sum(weight).alias("_total"),
+    )
+    ranged = values.join(groups, list(keys)).withColumn(
+        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    )
+    earlier = (
+        Window.partitionBy(*keys)
+        .orderBy("_range")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    sizes = (
+        ranged.groupBy(*keys, "_total", "_range")
+        .agg(F.sum(weight).alias("_size"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    )
+
+    def position(p: float) -> Column:
+        return (F.col("_total") - 1) * F.lit(float(p))
+
+    def covers(rank: Column, first: Column, size: Column) -> Column:
+        return (rank >= first) & (rank < first + size)
+
+    ends = [(F.floor(position(p)), F.ceil(position(p))) for p in probabilities]
+    wanted = F.lit(False)
+    for low, high in ends:
+        for rank in (low, high):
+            wanted = wanted | covers(rank, F.col("_before"), F.col("_size"))
+    needed = sizes.filter(wanted).select(*keys, "_range", "_before")
+
+    within = (
+        Window.partitionBy(*keys, "_range")
+        .orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = ranged.join(needed, [*keys, "_range"]).withColumn(
+        "_first", F.col("_before") + F.sum(weight).over(within) - F.col(weight)
+    )
+    picks = []
+    for i, (low, high) in enumerate(ends):
+        for name, rank in ((f"_low{i}", low), (f"_high{i}", high)):
+            hit = covers(rank, F.col("_first"), F.col(weight))
+            picks.append(F.max(F.when(hit, F.col(value))).alias(name))
+    picked = ranked.groupBy(*keys, "_total").agg(*picks)
+    interpolated = [
+        F.col(f"_low{i}")
+        + (position(p) - F.floor(position(p))) * (F.col(f"_high{i}") - F.col(f"_low{i}"))
+        for i, p in enumerate(probabilities)
+    ]
+    return picked.select(*keys, F.array(*interpolated).alias("quantiles"))
