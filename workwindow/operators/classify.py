@@ -157,8 +157,9 @@ def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFra
     rules = packed_rules.select(
         "site_id", *(F.col(c).alias(f"_{c}") for c in packed_rules.columns if c != "site_id")
     )
-    joined = truth.join(rules, "site_id").select(*base[:at], local, *base[at:], "_required",
-                                                 "_scenarios", "_week")
+    joined = truth.join(rules, "site_id").select(
+        *base[:at], local, *base[at:], "_scenarios", "_week"
+    )
     t = F.col("time_local")
     today = F.element_at("_week", F.weekday(t) + 1)
     minute = minute_of_day(t)
@@ -166,13 +167,13 @@ def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFra
     values = F.create_map(*(x for p in measured for x in (F.lit(p), known(F.col(p)))))
     flagged = joined.withColumns({"_op": op, "_values": values})
 
-    def fails(limits: Column, param: Column) -> Column:
-        bound, value = F.try_element_at(limits, param), F.try_element_at(F.col("_values"), param)
-        too_low = bound.min.isNotNull() & ~flag(value >= bound.min)
-        return flag(too_low | (bound.max.isNotNull() & ~flag(value <= bound.max)))
+    def fails(limit: Column) -> Column:
+        value = F.try_element_at(F.col("_values"), limit.param)
+        too_low = limit.min.isNotNull() & ~flag(value >= limit.min)
+        return too_low | (limit.max.isNotNull() & ~flag(value <= limit.max))
 
     def verdict(scenario: Column) -> Column:
-        limiting = F.get(F.filter("_required", lambda p: fails(scenario.limits, p)), F.lit(0))
+        limiting = F.get(F.filter(scenario.limits, fails), F.lit(0)).param
         lost = F.col("_op") & limiting.isNotNull()
         return F.struct(
             scenario.scenario_id.alias("scenario_id"),
@@ -182,7 +183,7 @@ def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFra
             F.when(lost, limiting).alias("limiting_param"),
         )
 
-    hidden = ["_required", "_scenarios", "_week", "_op", "_values"]
+    hidden = ["_scenarios", "_week", "_op", "_values"]
     return _fan_out(flagged, F.transform("_scenarios", verdict), drop=hidden)
 
 

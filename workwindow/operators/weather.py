@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from workwindow.functions.expr import flag, known, ratio_or_null
-from workwindow.operators.counts import keys_of
+from workwindow.operators.counts import as_counts, keys_of
 from workwindow.operators.quantiles import ranged_percentiles
+from workwindow.session import stage
 
 # Reported quantiles and contexts.
 QUANTILES = {"p05": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
 CONTEXTS = ("all", "operational", "workable", "blocked_operational")
 
-# A group with more distinct values than this is ranked in ranges, not in one buffer.
-HOT_VALUES = 1_000_000
+# Groups of more hours than this are ranked in value ranges, not in one buffer.
+# A year of one-minute rows is 527,040, so ordinary series stay below.
+HOT_HOURS = 1_000_000
 
 
 def _value_counts(
@@ -72,44 +74,63 @@ def _moments() -> dict[str, Column]:
     }
 
 
+def _in_buffers(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Figures of groups that fit one task each: moments and buffered percentiles."""
+    centered = counts.withColumn("center", F.avg("value").over(Window.partitionBy(*dims)))
+    levels = F.array(*(F.lit(q) for q in QUANTILES.values()))
+    return (
+        _in_contexts(centered, dims)
+        .groupBy(*dims, "context")
+        .agg(
+            *(c.alias(name) for name, c in _moments().items()),
+            F.percentile("value", levels, F.col("n")).alias("quantiles"),
+        )
+    )
+
+
+def _in_ranges(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """The same figures for groups of any size, ranked in value ranges."""
+    groups = [*dims, "context"]
+    centers = counts.groupBy(*dims).agg(F.avg("value").alias("center"))
+    members = _in_contexts(counts.join(F.broadcast(centers), dims), dims)
+    moments = members.groupBy(*groups).agg(*(c.alias(name) for name, c in _moments().items()))
+    measured = members.filter(F.col("value").isNotNull())
+    quantiles = ranged_percentiles(measured, groups, list(QUANTILES.values()))
+    return moments.join(quantiles, groups, "left")
+
+
 def _weather_stats(
     hourly: DataFrame,
     params: Sequence[str],
     period: Sequence[str],
-    hot_values: int,
+    group_hours: DataFrame | None,
+    hot_hours: int,
     columns: dict[str, str],
 ) -> DataFrame:
-    dims = [*keys_of(hourly), *period, "param"]
-    groups = [*dims, "context"]
+    keys = [*keys_of(hourly), *period]
+    dims = [*keys, "param"]
     counts = _value_counts(hourly, params, period, columns)
-    # A hot group has over hot_values rows of its own in ``counts``, so there is at
-    # most one per hot_values rows: the list can be broadcast at any table size.
-    hot = F.broadcast(
-        counts.groupBy(*dims)
-        .agg(F.count_if(F.col("n") > 0).alias("n_values"), F.avg("value").alias("center"))
-        .filter(F.col("n_values") > hot_values)
-        .select(*(F.col(d).alias(f"hot_{d}") for d in dims), "center")
-    )
-    same = [F.col(d).eqNullSafe(F.col(f"hot_{d}")) for d in dims]
-    moments = [c.alias(name) for name, c in _moments().items()]
-
-    cold = counts.join(hot, same, "left_anti").withColumn(
-        "center", F.avg("value").over(Window.partitionBy(*dims))
+    hours = as_counts(hourly, **columns) if group_hours is None else group_hours
+    # Every hot group has over hot_hours rows behind it, so there is at most one per
+    # hot_hours input rows and the list can be broadcast at any table size.
+    oversized = (
+        hours.groupBy(*keys)
+        .agg(F.sum("n_hours").alias("n"))
+        .filter(F.col("n") > hot_hours)
+        .select(*keys)
     )
-    levels = F.array(*(F.lit(q) for q in QUANTILES.values()))
-    quantiles = F.percentile("value", levels, F.col("n")).alias("quantiles")
-    in_buffer = _in_contexts(cold, dims).groupBy(*groups).agg(*moments, quantiles)
-
-    large = _in_contexts(counts.join(hot, same), dims)
-    ranged = ranged_percentiles(
-        large.filter(F.col("value").isNotNull()), groups, list(QUANTILES.values())
-    )
-    in_ranges = large.groupBy(*groups).agg(*moments).join(ranged, groups, "left")
-
+    if oversized.isEmpty():
+        figures = _in_buffers(counts, dims)
+    else:
+        hot = F.broadcast(stage(oversized, "oversized-groups"))
+        hot_counts = stage(counts.join(hot, keys, "left_semi"), "oversized-values")
+        figures = _in_buffers(counts.join(hot, keys, "left_anti"), dims).unionByName(
+            _in_ranges(hot_counts, dims)
+        )
     known_hours, off = F.col("n_known"), F.col("off")
     spread = F.greatest(F.col("off2") - F.try_divide(off * off, known_hours), F.lit(0.0))
-    return in_buffer.unionByName(in_ranges).select(
-        *(d for d in dims if d != "param"),
+    return figures.select(
+        *keys,
         "context",
         "param",
         "n_hours",
@@ -123,13 +144,25 @@ def _weather_stats(
 
 
 def weather_stats_monthly(
-    hourly: DataFrame, params: Sequence[str], hot_values: int = HOT_VALUES, **columns: str
+    hourly: DataFrame,
+    params: Sequence[str],
+    group_hours: DataFrame | None = None,
+    hot_hours: int = HOT_HOURS,
+    **columns: str,
 ) -> DataFrame:
-    """Count, missing rate, mean, sample deviation, extremes and exact quantiles per month."""
-    return _weather_stats(hourly, params, ("year", "month"), hot_values, columns)
+    """Count, missing rate, mean, sample deviation, extremes and exact quantiles per month.
+
+    One small job looks for oversized groups before the plan is chosen;
+    ``group_hours``, a counts frame of the same hours, spares its scan.
+    """
+    return _weather_stats(hourly, params, ("year", "month"), group_hours, hot_hours, columns)
 
 
 def weather_stats_yearly(
-    hourly: DataFrame, params: Sequence[str], hot_values: int = HOT_VALUES, **columns: str
+    hourly: DataFrame,
+    params: Sequence[str],
+    group_hours: DataFrame | None = None,
+    hot_hours: int = HOT_HOURS,
+    **columns: str,
 ) -> DataFrame:
-    return _weather_stats(hourly, params, ("year",), hot_values, columns)
+    return _weather_stats(hourly, params, ("year",), group_hours, hot_hours, columns)

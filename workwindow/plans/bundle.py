@@ -106,7 +106,7 @@ def build_bundle(
             ("weather_stats_monthly", weather.weather_stats_monthly),
             ("weather_stats_yearly", weather.weather_stats_yearly),
         ):
-            tables[name] = op(hourly, params, **columns)
+            tables[name] = op(hourly, params, group_hours=days, **columns)
     if include_curves:
         tables["curves_cumulative_daily"] = curves.curves_cumulative_daily(days)
         tables["curve_reliability_monthly"] = curves.curve_reliability_monthly(days)
