@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workwindow.operators.classify import classify, with_local_clock
+from workwindow.operators.classify import classify, classify_packed, with_local_clock
 from workwindow.rules.bysite import CONFIG_SCHEMA
 from workwindow.rules.runwide import RuleSet
 
@@ -121,6 +121,10 @@ def classified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(truth_events(spark, sf_dir), EVENTS_RULES)
 
 
+def packed_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_packed(truth_lineitem(spark, sf_dir), LINEITEM_RULES)
+
+
 def classified_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(truth_lineitem(spark, sf_dir), LINEITEM_RULES)
 

@@ -54,6 +54,10 @@ def _lineitem(op: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: portable(op(fx.classified_lineitem(spark, sf_dir)))
 
 
+def _packed(op: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: portable(op(fx.packed_lineitem(spark, sf_dir)))
+
+
 def _rows(df: DataFrame, *extra: str) -> DataFrame:
     return df.select("site_id", "time_utc", "time_local", *extra)
 
@@ -199,8 +203,8 @@ QUERIES: dict[str, Query] = {
     "summary_yearly": _lineitem(summary.summary_yearly),
     "loss_by_param_monthly": _lineitem(loss.loss_by_param_monthly),
     "loss_by_param_yearly": _lineitem(loss.loss_by_param_yearly),
-    "weather_stats_monthly": _lineitem(lambda h: weather.weather_stats_monthly(h, fx.PARAMS)),
-    "weather_stats_yearly": _lineitem(lambda h: weather.weather_stats_yearly(h, fx.PARAMS)),
+    "weather_stats_monthly": _packed(lambda h: weather.weather_stats_monthly(h, fx.PARAMS)),
+    "weather_stats_yearly": _packed(lambda h: weather.weather_stats_yearly(h, fx.PARAMS)),
     "weather_stats_yearly_ranged": _lineitem(
         lambda h: weather.weather_stats_yearly(h, fx.PARAMS, hot_hours=1000)
     ),
@@ -219,9 +223,9 @@ QUERIES: dict[str, Query] = {
     "timestep_hours": _events(streaks.timestep_hours),
     "streaks_nonworkable": _events(_runs(streaks.streaks_nonworkable)),
     "streaks_workable": _events(_runs(streaks.streaks_workable)),
-    "streaks_nonworkable_years": _lineitem(_runs(streaks.streaks_nonworkable)),
+    "streaks_nonworkable_years": _packed(_runs(streaks.streaks_nonworkable)),
     "streaks_summary": _events(_runs(streaks.streaks_summary)),
-    "streaks_summary_years": _lineitem(_runs(streaks.streaks_summary)),
+    "streaks_summary_years": _packed(_runs(streaks.streaks_summary)),
     "top_blocked_streaks": _events(_runs(streaks.top_blocked_streaks)),
     "monthly_preview": _lineitem(monthly_preview),
     "loss_preview": _lineitem(loss_preview),

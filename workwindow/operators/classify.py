@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workwindow.functions.calendar import local_clock
-from workwindow.functions.expr import UNKNOWN_PARAM, flag, known, minute_of_day, ratio_or_zero
-from workwindow.functions.expr import present
+from workwindow.functions.expr import flag, known, minute_of_day, present, ratio_or_zero
 from workwindow.rules.fixed import SOURCE_FIELD
 from workwindow.rules.runwide import Bounds, DayWindow, RuleSet
 
@@ -102,25 +101,49 @@ def evaluate_thresholds(
     )
 
 
-def _verdict(operational: Column, tests: dict[str, Column], scenario: str) -> Column:
-    all_ok = reduce(and_, tests.values(), F.lit(True))
-    loss = operational & ~all_ok
-    return F.struct(
-        F.lit(scenario).alias("scenario_id"),
-        operational.alias("operational_flag"),
-        (operational & all_ok).alias("workable_flag"),
-        loss.alias("loss_flag"),
-        F.when(loss, F.coalesce(_first_failing(tests), F.lit(UNKNOWN_PARAM))).alias(
-            "limiting_param"
-        ),
-    )
+VERDICTS = "verdicts"
+
+
+def _flags(operational: Column, failing: Column) -> dict[str, Column]:
+    """Flags of an hour in one scenario, from its first failing parameter."""
+    lost = operational & failing.isNotNull()
+    workable = operational & failing.isNull()
+    return {
+        "operational_flag": operational,
+        "workable_flag": workable,
+        "loss_flag": lost,
+        "limiting_param": F.when(lost, failing),
+        "is_operational": operational,
+        "is_workable": workable,
+    }
 
 
-def _fan_out(df: DataFrame, verdicts: Column, drop: Sequence[str] = ()) -> DataFrame:
-    columns = [c for c in df.columns if c not in drop and c != "scenario_id"]
-    return df.select(*columns, F.inline(verdicts)).withColumns(
-        {"is_operational": F.col("operational_flag"), "is_workable": F.col("workable_flag")}
+def _judged(
+    truth: DataFrame, rules: RuleSet, scenarios: Sequence[str] | None, time_local_col: str
+) -> tuple[DataFrame, Column]:
+    """The table with its operational flag, and one verdict per scenario.
+
+    Each limit is tested once, into a column of its own; the verdict array only
+    names the first failing parameter. That keeps the generated code small enough
+    for the JIT compiler also with ten scenarios.
+    """
+    _require_columns(truth, ["time_utc", time_local_col, *rules.required])
+    wanted = list(scenarios or rules.scenarios)
+    tested = {f"_failing{i}": _first_failing(_limit_tests(rules, s)) for i, s in enumerate(wanted)}
+    tested["operational_flag"] = operational_test(F.col(time_local_col), rules.week)
+    verdicts = F.array(
+        *(
+            F.struct(F.lit(s).alias("scenario_id"), F.col(f"_failing{i}").alias("failing"))
+            for i, s in enumerate(wanted)
+        )
     )
+    return truth.withColumns(tested), verdicts
+
+
+def _spread(judged: DataFrame, kept: Sequence[str], verdicts: Column) -> DataFrame:
+    rows = judged.select(*kept, F.col("operational_flag").alias("_op"), F.inline(verdicts))
+    flags = _flags(F.col("_op"), F.col("failing"))
+    return rows.select(*kept, "scenario_id", *(c.alias(name) for name, c in flags.items()))
 
 
 def classify(
@@ -134,16 +157,36 @@ def classify(
     Workable hours are always operational; ``limiting_param`` is set on lost
     hours only.
     """
-    _require_columns(truth, ["time_utc", time_local_col, *rules.required])
-    flagged = truth.withColumn("_op", operational_test(F.col(time_local_col), rules.week))
-    verdicts = [
-        _verdict(F.col("_op"), _limit_tests(rules, s), s) for s in scenarios or rules.scenarios
-    ]
-    return _fan_out(flagged, F.array(*verdicts), drop=["_op"])
+    judged, verdicts = _judged(truth, rules, scenarios, time_local_col)
+    return _spread(judged, [c for c in truth.columns if c != "scenario_id"], verdicts)
 
 
-def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFrame:
-    """Classification where every site brings its own scenarios, limits and hours.
+def classify_packed(
+    truth: DataFrame,
+    rules: RuleSet,
+    scenarios: Sequence[str] | None = None,
+    time_local_col: str = "time_local",
+) -> DataFrame:
+    """The hourly truth table with all scenarios of an hour in one ``verdicts`` array.
+
+    Statistics and streaks take this form as it is: what they shuffle then does
+    not grow with the number of scenarios. A verdict names the first failing
+    parameter, or NULL when all limits hold, whether or not the hour is
+    operational.
+    """
+    judged, verdicts = _judged(truth, rules, scenarios, time_local_col)
+    kept = [c for c in truth.columns if c != "scenario_id"]
+    return judged.select(*kept, "operational_flag", verdicts.alias(VERDICTS))
+
+
+def unpack(packed: DataFrame) -> DataFrame:
+    """One row per hour and scenario from a packed table."""
+    kept = [c for c in packed.columns if c not in (VERDICTS, "operational_flag")]
+    return _spread(packed, kept, F.col(VERDICTS))
+
+
+def classify_packed_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFrame:
+    """Packed classification where every site brings its own scenarios, limits and hours.
 
     ``packed_rules`` (see :func:`workwindow.rules.bysite.packed_rules`) holds one
     row per site, so the join adds no rows. No broadcast is forced: the rule
@@ -165,7 +208,7 @@ def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFra
     minute = minute_of_day(t)
     op = flag(today.allowed & (minute >= today.start_min) & (minute < today.end_min))
     values = F.create_map(*(x for p in measured for x in (F.lit(p), known(F.col(p)))))
-    flagged = joined.withColumns({"_op": op, "_values": values})
+    judged = joined.withColumns({"operational_flag": op, "_values": values})
 
     def fails(limit: Column) -> Column:
         value = F.try_element_at(F.col("_values"), limit.param)
@@ -173,18 +216,38 @@ def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFra
         return too_low | (limit.max.isNotNull() & ~flag(value <= limit.max))
 
     def verdict(scenario: Column) -> Column:
-        limiting = F.get(F.filter(scenario.limits, fails), F.lit(0)).param
-        lost = F.col("_op") & limiting.isNotNull()
-        return F.struct(
-            scenario.scenario_id.alias("scenario_id"),
-            F.col("_op").alias("operational_flag"),
-            (F.col("_op") & limiting.isNull()).alias("workable_flag"),
-            lost.alias("loss_flag"),
-            F.when(lost, limiting).alias("limiting_param"),
-        )
+        failing = F.get(F.filter(scenario.limits, fails), F.lit(0)).param
+        return F.struct(scenario.scenario_id.alias("scenario_id"), failing.alias("failing"))
+
+    verdicts = F.transform("_scenarios", verdict).alias(VERDICTS)
+    return judged.select(*base[:at], "time_local", *base[at:], "operational_flag", verdicts)
 
-    hidden = ["_scenarios", "_week", "_op", "_values"]
-    return _fan_out(flagged, F.transform("_scenarios", verdict), drop=hidden)
+
+def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFrame:
+    """The same with one row per hour and scenario."""
+    return unpack(classify_packed_by_site_rules(truth, packed_rules))
+
+
+def scenario_states(
+    hourly: DataFrame, operational_col: str = "is_operational", workable_col: str = "is_workable"
+) -> Column:
+    """Array of (scenario_id, op, wk) of a row, for packed and for unpacked hourly tables."""
+    if VERDICTS in hourly.columns:
+        return F.transform(
+            VERDICTS,
+            lambda v: F.struct(
+                v.scenario_id.alias("scenario_id"),
+                F.col("operational_flag").alias("op"),
+                (F.col("operational_flag") & v.failing.isNull()).alias("wk"),
+            ),
+        )
+    return F.array(
+        F.struct(
+            *present(hourly, ["scenario_id"]),
+            flag(F.col(operational_col)).alias("op"),
+            flag(F.col(workable_col)).alias("wk"),
+        )
+    )
 
 
 def evaluation_summary(

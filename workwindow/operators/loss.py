@@ -11,7 +11,7 @@ from workwindow.operators.counts import add_up, as_counts, keys_of
 
 def _loss_by(hourly: DataFrame, period: tuple[str, ...], columns: dict[str, str]) -> DataFrame:
     limiting = columns.get("limiting_col", "limiting_param")
-    if limiting not in hourly.columns and "blocked_by" not in hourly.columns:
+    if not {limiting, "blocked_by"} & set(hourly.columns):
         raise ValueError(f"missing column {limiting!r}")
     counts = as_counts(hourly, **columns)
     keys = keys_of(counts)

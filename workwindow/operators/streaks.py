@@ -13,7 +13,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from workwindow.functions.expr import flag, hours_between
+from workwindow.functions.expr import flag, hours_between, present
+from workwindow.operators.classify import VERDICTS, scenario_states
 from workwindow.operators.counts import keys_of
 
 GAP_FACTOR = 1.5
@@ -23,11 +24,20 @@ SERIES = ("site_id", "scenario_id")
 PIECE = ("site_id", "scenario_id", "_month")
 
 
-def _pick(hourly: DataFrame, given: str | None, *candidates: str) -> str:
-    for name in (given,) if given else candidates:
-        if name in hourly.columns:
-            return name
-    raise ValueError(f"missing column {given or candidates[0]!r}")
+def _flag_columns(hourly: DataFrame, given: dict[str, str | None]) -> dict[str, str]:
+    """Names of the flag columns; packed tables have their flags in the verdicts."""
+    if VERDICTS in hourly.columns:
+        return {}
+    fallback = {"operational_col": "is_operational", "workable_col": "is_workable"}
+    preferred = {"operational_col": "operational_flag", "workable_col": "workable_flag"}
+    names = {}
+    for role, name in given.items():
+        choices = (name,) if name else (preferred[role], fallback[role])
+        found = present(hourly, choices)
+        if not found:
+            raise ValueError(f"missing column {choices[0]!r}")
+        names[role] = found[0]
+    return names
 
 
 def operational_steps(
@@ -38,34 +48,43 @@ def operational_steps(
 ) -> DataFrame:
     """Operational time steps, one ``step`` struct per row, by site and month.
 
-    Rows sharing series, time and flag become one step with a count, combined on
-    the map side, so repeats of one timestamp never pile up. The second exchange
-    puts each (site, month) piece into one partition. Its readers use whole
-    structs, hence the same columns, and the null tests that joins would infer
-    on one side only are made here, so Spark runs it once for all of them. A row
-    without site, scenario or time belongs to no series.
+    A step is a time with the states of its operational scenarios. Equal steps
+    become one row with a count, combined on the map side, so repeats of one
+    timestamp never pile up. The second exchange puts each (site, month) piece
+    into one partition. Its readers use whole structs, hence the same columns,
+    and the null tests that joins would infer on one side only are made here, so
+    Spark runs it once for all of them. A row without site or time belongs to no
+    series.
     """
-    op = _pick(hourly, operational_col, "operational_flag", "is_operational")
-    wk = _pick(hourly, workable_col, "workable_flag", "is_workable")
-    has = hourly.columns
-    site = F.col("site_id") if "site_id" in has else F.lit(ONE_SITE)
-    scenario = F.col("scenario_id") if "scenario_id" in has else F.lit(BASELINE)
+    given = {"operational_col": operational_col, "workable_col": workable_col}
+    states = scenario_states(hourly, **_flag_columns(hourly, given))
+    named = F.transform(
+        F.filter(states, lambda s: s.op),
+        lambda s: F.struct(
+            (s.scenario_id if _has_scenarios(hourly) else F.lit(BASELINE)).alias("scenario_id"),
+            s.wk.alias("workable"),
+        ),
+    )
+    site = F.col("site_id") if "site_id" in hourly.columns else F.lit(ONE_SITE)
     t = F.col(time_utc_col)
-    series = (
-        hourly.filter(flag(F.col(op)))
-        .select(
+    steps = (
+        hourly.select(
             site.alias("site_id"),
             (F.year(t) * 12 + F.month(t)).alias("_month"),
             t.alias("time_utc"),
-            scenario.alias("scenario_id"),
-            flag(F.col(wk)).alias("workable"),
+            named.alias("states"),
         )
-        .filter(reduce(and_, (F.col(c).isNotNull() for c in (*PIECE, "time_utc"))))
-        .groupBy("site_id", "_month", "time_utc", "scenario_id", "workable")
+        .filter(F.size("states") > 0)
+        .filter(reduce(and_, (F.col(c).isNotNull() for c in ("site_id", "_month", "time_utc"))))
+        .groupBy("site_id", "_month", "time_utc", "states")
         .agg(F.count("*").alias("n_steps"))
     )
-    step = F.struct("time_utc", "scenario_id", "workable", "n_steps").alias("step")
-    return series.select("site_id", "_month", step).repartition("site_id", "_month")
+    step = F.struct("time_utc", "states", "n_steps").alias("step")
+    return steps.select("site_id", "_month", step).repartition("site_id", "_month")
+
+
+def _has_scenarios(hourly: DataFrame) -> bool:
+    return VERDICTS in hourly.columns or "scenario_id" in hourly.columns
 
 
 def _piece_steps(steps: DataFrame) -> DataFrame:
@@ -111,8 +130,13 @@ def _breaks(earlier: Column, later: Column, step: Column) -> Column:
 
 def _piece_runs(steps: DataFrame) -> DataFrame:
     """Runs inside each piece, one ``run`` struct per row, numbered from 1."""
-    timed = steps.join(_piece_steps(steps), ["site_id", "_month"]).select(
-        "site_id", "_month", "step.*", "step_hours"
+    # Hash joins on the piece keys: the big side stays where its exchange put it.
+    pieces = _piece_steps(steps).hint("shuffle_hash")
+    timed = (
+        steps.join(pieces, ["site_id", "_month"])
+        .select("site_id", "_month", "step.*", "step_hours")
+        .select("site_id", "_month", "time_utc", F.inline("states"), "n_steps", "step_hours")
+        .filter(F.col("scenario_id").isNotNull())
     )
     in_order = Window.partitionBy(*PIECE).orderBy("time_utc", "workable")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -162,7 +186,7 @@ def _runs(steps: DataFrame) -> DataFrame:
         .select(*PIECE, "offset")
     )
     return (
-        parts.join(offsets, list(PIECE))
+        parts.join(offsets.hint("shuffle_hash"), list(PIECE))
         .select(*SERIES, "run.*", "offset")
         .groupBy(*SERIES, (F.col("offset") + F.col("part")).alias("streak_id"))
         .agg(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from workwindow.functions.expr import flag, known, ratio_or_null
-from workwindow.operators.counts import as_counts, keys_of
+from workwindow.functions.expr import known, present, ratio_or_null
+from workwindow.operators.classify import KEYS, scenario_states
 from workwindow.operators.quantiles import ranged_percentiles
 from workwindow.session import stage
 
@@ -24,7 +24,7 @@ HOT_HOURS = 1_000_000
 def _value_counts(
     hourly: DataFrame, params: Sequence[str], period: Sequence[str], columns: dict[str, str]
 ) -> DataFrame:
-    """How often each value occurs per group and flag combination.
+    """How often each value occurs per site, period and combination of scenario states.
 
     Combined on the map side and spread by value, so neither repeated hours nor a
     dominant site weigh on a single task.
@@ -34,12 +34,12 @@ def _value_counts(
         raise ValueError(f"missing weather parameter columns: {missing}")
     t = F.col(columns.get("time_local_col", "time_local"))
     fields = {"year": F.year(t), "month": F.month(t)}
-    ids = [*keys_of(hourly), *period, "op", "wk"]
+    flags = {c: columns[c] for c in ("operational_col", "workable_col") if c in columns}
+    ids = [*present(hourly, ["site_id"]), *period, "states"]
     wide = hourly.select(
-        *keys_of(hourly),
+        *present(hourly, ["site_id"]),
         *(fields[p].alias(p) for p in period),
-        flag(F.col(columns.get("operational_col", "is_operational"))).alias("op"),
-        flag(F.col(columns.get("workable_col", "is_workable"))).alias("wk"),
+        scenario_states(hourly, **flags).alias("states"),
         *(known(F.col(p)).alias(p) for p in params),
     )
     long = wide.unpivot(ids, list(params), "param", "value")
@@ -47,15 +47,25 @@ def _value_counts(
 
 
 def _in_contexts(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Repeat each value for every context it belongs to."""
+    """Repeat each value for every scenario, and in it for every context it belongs to."""
+    per_scenario = counts.select(*dims, "center", "value", "n", F.inline("states"))
     op, wk = F.col("op"), F.col("wk")
     member = dict(zip(CONTEXTS, (F.lit(True), op, wk, op & ~wk)))
     names = F.array(*(F.when(test, F.lit(name)) for name, test in member.items()))
-    return counts.select(
-        *dims, "center", "value", "n", F.explode(F.array_compact(names)).alias("context")
+    return per_scenario.select(
+        *dims,
+        *present(per_scenario, ["scenario_id"]),
+        F.explode(F.array_compact(names)).alias("context"),
+        "center",
+        "value",
+        "n",
     )
 
 
+def _groups(members: DataFrame, dims: Sequence[str]) -> list[str]:
+    return [*dims, *present(members, ["scenario_id"]), "context"]
+
+
 def _moments() -> dict[str, Column]:
     """Weighted moments around ``center``, a value inside the group's own range.
 
@@ -75,24 +85,25 @@ def _moments() -> dict[str, Column]:
 
 
 def _in_buffers(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Figures of groups that fit one task each: moments and buffered percentiles."""
+    """Figures of groups that fit one task each: moments and buffered percentiles.
+
+    The window places all values of a site, period and parameter; scenarios and
+    contexts multiply them only after that exchange.
+    """
     centered = counts.withColumn("center", F.avg("value").over(Window.partitionBy(*dims)))
+    members = _in_contexts(centered, dims)
     levels = F.array(*(F.lit(q) for q in QUANTILES.values()))
-    return (
-        _in_contexts(centered, dims)
-        .groupBy(*dims, "context")
-        .agg(
-            *(c.alias(name) for name, c in _moments().items()),
-            F.percentile("value", levels, F.col("n")).alias("quantiles"),
-        )
+    return members.groupBy(*_groups(members, dims)).agg(
+        *(c.alias(name) for name, c in _moments().items()),
+        F.percentile("value", levels, F.col("n")).alias("quantiles"),
     )
 
 
 def _in_ranges(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
     """The same figures for groups of any size, ranked in value ranges."""
-    groups = [*dims, "context"]
     centers = counts.groupBy(*dims).agg(F.avg("value").alias("center"))
     members = _in_contexts(counts.join(F.broadcast(centers), dims), dims)
+    groups = _groups(members, dims)
     moments = members.groupBy(*groups).agg(*(c.alias(name) for name, c in _moments().items()))
     measured = members.filter(F.col("value").isNotNull())
     quantiles = ranged_percentiles(measured, groups, list(QUANTILES.values()))
@@ -107,14 +118,21 @@ def _weather_stats(
     hot_hours: int,
     columns: dict[str, str],
 ) -> DataFrame:
-    keys = [*keys_of(hourly), *period]
+    keys = [*present(hourly, ["site_id"]), *period]
     dims = [*keys, "param"]
     counts = _value_counts(hourly, params, period, columns)
-    hours = as_counts(hourly, **columns) if group_hours is None else group_hours
+    if group_hours is None:
+        t = F.col(columns.get("time_local_col", "time_local"))
+        group_hours = hourly.select(
+            *present(hourly, ["site_id"]),
+            F.year(t).alias("year"),
+            F.month(t).alias("month"),
+            F.lit(1).alias("n_hours"),
+        )
     # Every hot group has over hot_hours rows behind it, so there is at most one per
     # hot_hours input rows and the list can be broadcast at any table size.
     oversized = (
-        hours.groupBy(*keys)
+        group_hours.groupBy(*keys)
         .agg(F.sum("n_hours").alias("n"))
         .filter(F.col("n") > hot_hours)
         .select(*keys)
@@ -130,7 +148,8 @@ def _weather_stats(
     known_hours, off = F.col("n_known"), F.col("off")
     spread = F.greatest(F.col("off2") - F.try_divide(off * off, known_hours), F.lit(0.0))
     return figures.select(
-        *keys,
+        *present(figures, KEYS),
+        *period,
         "context",
         "param",
         "n_hours",
@@ -153,7 +172,8 @@ def weather_stats_monthly(
     """Count, missing rate, mean, sample deviation, extremes and exact quantiles per month.
 
     One small job looks for oversized groups before the plan is chosen;
-    ``group_hours``, a counts frame of the same hours, spares its scan.
+    ``group_hours``, a counts frame of the same hours, spares its scan. ``hourly``
+    may be packed or have one row per scenario.
     """
     return _weather_stats(hourly, params, ("year", "month"), group_hours, hot_hours, columns)
 

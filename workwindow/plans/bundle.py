@@ -17,6 +17,20 @@ from workwindow.plans.contracts import check_hourly, check_tables
 from workwindow.session import stage
 
 
+SORT_ORDER = (
+    "site_id",
+    "year",
+    "month",
+    "weekday",
+    "hour",
+    "date_local",
+    "threshold_workable_pct",
+    "context",
+    "param",
+    "streak_id",
+)
+
+
 @dataclass(frozen=True)
 class Bundle:
     meta: DataFrame
@@ -25,16 +39,15 @@ class Bundle:
     def write(self, path: str) -> None:
         """One Parquet folder per table, partitioned by scenario where there is one.
 
-        Rows are clustered by site before writing, so files stay few per scenario
-        and sorted runs of keys compress and prune well.
+        Rebalancing lets adaptive execution cut the output into files of even
+        size, also where one scenario or site dominates.
         """
         self.meta.write.mode("overwrite").parquet(f"{path}/run_meta")
         for name, table in self.tables.items():
             split = present(table, ["scenario_id"])
-            order = [c for c in table.columns if c not in split and not c.startswith("pct_")][:4]
-            table.sortWithinPartitions(*split, *order).write.mode("overwrite").partitionBy(
-                *split
-            ).parquet(f"{path}/{name}")
+            order = present(table, SORT_ORDER)
+            even = table.hint("rebalance", *split).sortWithinPartitions(*split, *order)
+            even.write.mode("overwrite").partitionBy(*split).parquet(f"{path}/{name}")
 
 
 def run_meta(rows: DataFrame, config: Mapping[str, Any], run_id: str) -> DataFrame:
@@ -66,6 +79,7 @@ def build_bundle(
     hourly: DataFrame,
     config: Mapping[str, Any],
     run_id: str = "run",
+    packed: DataFrame | None = None,
     include_weather_stats: bool = False,
     include_curves: bool = True,
     include_visual: bool = True,
@@ -81,7 +95,8 @@ def build_bundle(
     these are written to shared storage, and every count and streak table reads
     them. Weather statistics and parameter means, which need the measurements,
     scan it again. ``columns`` may rename ``time_local_col``, ``operational_col``,
-    ``workable_col`` and ``limiting_col``.
+    ``workable_col`` and ``limiting_col``. ``packed``, the same hours in packed
+    form, makes streaks and weather statistics shuffle less.
     """
     params = list(config.get("required_parameters") or [])
     params = list(weather_params) if weather_params is not None else params
@@ -89,8 +104,9 @@ def build_bundle(
     if include_weather_stats and not params:
         raise ValueError("weather statistics need weather parameters")
 
+    dense = hourly if packed is None else packed
     cubes = stage(count_cubes(hourly, **columns), "cubes", ("grain",))
-    runs = stage(streaks.operational_runs(hourly), "runs")
+    runs = stage(streaks.operational_runs(dense), "runs")
     days, clock = day_cube(cubes), clock_cube(cubes)
 
     tables = {
@@ -106,7 +122,7 @@ def build_bundle(
             ("weather_stats_monthly", weather.weather_stats_monthly),
             ("weather_stats_yearly", weather.weather_stats_yearly),
         ):
-            tables[name] = op(hourly, params, group_hours=days, **columns)
+            tables[name] = op(dense, params, group_hours=days, **columns)
     if include_curves:
         tables["curves_cumulative_daily"] = curves.curves_cumulative_daily(days)
         tables["curve_reliability_monthly"] = curves.curve_reliability_monthly(days)

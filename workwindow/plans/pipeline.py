@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workwindow.operators.classify import classify
+from workwindow.operators.classify import classify, classify_packed
 from workwindow.plans.bundle import Bundle, build_bundle
 from workwindow.rules.runwide import RuleSet
 from workwindow.sources.landed import read_landed, truth_from_landed
@@ -17,7 +17,8 @@ from workwindow.sources.truth import analysis_years, in_years, read_truth
 def run(truth: DataFrame, config: Mapping[str, Any], **options: Any) -> Bundle:
     """Report bundle of an hourly truth table under run-wide rules."""
     rules = RuleSet.from_config(config)
-    return build_bundle(classify(truth, rules), config, **options)
+    packed = classify_packed(truth, rules)
+    return build_bundle(classify(truth, rules), config, packed=packed, **options)
 
 
 def _years(config: Mapping[str, Any]) -> tuple[int, int] | None:

@@ -15,6 +15,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot never compiles longer methods; above this, plain operators are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A report run has a few hundred generated classes; the default keeps a hundred.
+    "spark.sql.codegen.cache.maxEntries": "1000",
+    # Stack traces per Column call cost more than building the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
