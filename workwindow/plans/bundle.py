@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from workwindow.functions.expr import present
 from workwindow.operators import curves, loss, pivots, stats, streaks, summary, weather
 from workwindow.operators.counts import clock_cube, count_cubes, day_cube
-from workwindow.plans.contracts import check_hourly, check_tables
-from workwindow.session import stage
+from workwindow.plans.contracts import (
+    check_hourly,
+    check_tables,
+    fraction_columns,
+    outside_counts,
+    reject_outside,
+)
+from workwindow.session import at_once, stage
 
 
 SORT_ORDER = (
@@ -40,15 +47,24 @@ class Bundle:
         """One Parquet folder per table, partitioned by scenario where there is one.
 
         Rebalancing lets adaptive execution cut the output into files of even
-        size, also where one scenario or site dominates.
+        size, also where one scenario or site dominates. Fractions are checked
+        while the rows pass by; independent tables are written side by side.
         """
-        self.meta.write.mode("overwrite").parquet(f"{path}/run_meta")
-        for name, table in self.tables.items():
+        watches = {name: Observation(name) for name, t in self.tables.items() if fraction_columns(t)}
+
+        def save(name: str, table: DataFrame) -> None:
             split = present(table, ["scenario_id"])
-            order = present(table, SORT_ORDER)
-            even = table.hint("rebalance", *split).sortWithinPartitions(*split, *order)
+            order = [*split, *present(table, SORT_ORDER)]
+            if name in watches:
+                table = table.observe(watches[name], *outside_counts(table))
+            even = table.hint("rebalance", *split)
+            even = even.sortWithinPartitions(*order) if order else even
             even.write.mode("overwrite").partitionBy(*split).parquet(f"{path}/{name}")
 
+        named = {**self.tables, "run_meta": self.meta}
+        at_once([functools.partial(save, name, table) for name, table in named.items()])
+        reject_outside({name: watch.get for name, watch in watches.items()})
+
 
 def run_meta(rows: DataFrame, config: Mapping[str, Any], run_id: str) -> DataFrame:
     """One row of run metadata; ``rows`` has the number of hourly rows as ``rows_hourly``."""
@@ -105,8 +121,12 @@ def build_bundle(
         raise ValueError("weather statistics need weather parameters")
 
     dense = hourly if packed is None else packed
-    cubes = stage(count_cubes(hourly, **columns), "cubes", ("grain",))
-    runs = stage(streaks.operational_runs(dense), "runs")
+    cubes, runs = at_once(
+        [
+            lambda: stage(count_cubes(hourly, **columns), "cubes", ("grain",)),
+            lambda: stage(streaks.operational_runs(dense), "runs"),
+        ]
+    )
     days, clock = day_cube(cubes), clock_cube(cubes)
 
     tables = {
@@ -152,7 +172,7 @@ def build_bundle(
 
     rows = days.agg(F.coalesce(F.sum("n_hours"), F.lit(0)).alias("rows_hourly"))
     if validate:
-        # Tables that scan the hourly rows again are left to a check after writing.
+        # Tables that scan the hourly rows again are checked when they are written.
         rescans = ("weather_stats_", "pivot_month_x_hour_param_")
         staged = {n: t for n, t in tables.items() if not n.startswith(rescans)}
         check_tables(staged, ["summary_run", "summary_monthly", "summary_yearly"])

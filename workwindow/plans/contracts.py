@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from workwindow.session import at_once
+
 # Columns every hourly table must have.
 HOURLY_COLUMNS = ("time_utc", "time_local", "is_operational", "is_workable", "limiting_param")
 FRACTION_MARKS = ("_pct_", "pct_of_", "share_months_ge_", "fraction_of_")
@@ -39,32 +41,40 @@ def fraction_columns(table: DataFrame) -> list[str]:
     ]
 
 
+def outside_counts(table: DataFrame) -> list[Column]:
+    """For each fraction column, how many values lie outside [0, 1]; nulls are ignored."""
+    return [
+        F.count_if((F.col(c) < 0) | (F.col(c) > 1)).alias(c) for c in fraction_columns(table)
+    ]
+
+
 def rate_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per table and fraction column, how many values lie outside [0, 1]; nulls are ignored."""
-
-    def outside(c: Column) -> Column:
-        return F.count_if((c < 0) | (c > 1))
-
-    parts = []
-    for name, table in tables.items():
-        checked = fraction_columns(table)
-        if not checked:
-            continue
-        counted = table.agg(*(outside(F.col(c)).alias(c) for c in checked))
-        parts.append(
-            counted.unpivot([], checked, "column_name", "n_outside").withColumn(
-                "table_name", F.lit(name)
-            )
-        )
-    stacked = reduce(DataFrame.unionByName, parts)
-    return stacked.select("table_name", "column_name", "n_outside")
+    """Values outside [0, 1] per table and fraction column."""
+    parts = [
+        table.agg(*outside_counts(table))
+        .unpivot([], fraction_columns(table), "column_name", "n_outside")
+        .select(F.lit(name).alias("table_name"), "column_name", "n_outside")
+        for name, table in tables.items()
+        if fraction_columns(table)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def reject_outside(counts: Mapping[str, Mapping[str, int]]) -> None:
+    """Fail when any fraction was found outside [0, 1]."""
+    bad = [f"{t}.{c}: {n}" for t, found in counts.items() for c, n in found.items() if n]
+    if bad:
+        raise ContractError("values outside [0, 1]: " + "; ".join(bad))
 
 
 def check_tables(tables: Mapping[str, DataFrame], require: Sequence[str]) -> None:
-    """Reject a bundle with absent tables or with fractions outside [0, 1]."""
+    """Reject a bundle with absent tables or with fractions outside [0, 1].
+
+    One row per table comes back to the driver.
+    """
     absent = [name for name in require if name not in tables]
     if absent:
         raise ContractError(f"bundle lacks tables {absent}")
-    bad = rate_violations(tables).filter(F.col("n_outside") > 0).take(20)
-    if bad:
-        raise ContractError("; ".join(f"{b.table_name}.{b.column_name}: {b.n_outside}" for b in bad))
+    checked = {name: table for name, table in tables.items() if fraction_columns(table)}
+    counts = at_once([lambda t=t: t.agg(*outside_counts(t)).first() for t in checked.values()])
+    reject_outside({name: row.asDict() for name, row in zip(checked, counts)})

@@ -5,9 +5,16 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+JOBS_AT_ONCE = 8
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -64,3 +71,10 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     path = f"{shared_dir(spark)}/workwindow/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(jobs: Sequence[Callable[[], Result]]) -> list[Result]:
+    """Submit independent Spark jobs side by side, so small ones fill idle executors."""
+    in_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return [f.result() for f in [pool.submit(in_session(job)) for job in jobs]]
