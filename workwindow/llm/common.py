@@ -24,6 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a file of the installed public tokenizers lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def width(spark: SparkSession) -> int:
     """Tasks that a shuffle by hand should have: what the session is set to."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workwindow.llm import chat, mixing
-from workwindow.llm.common import table
+from workwindow.llm import bpe, chat, mixing, token_counts
+from workwindow.llm.common import table, tokenizer
 from workwindow.llm.oracles import SQL
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.read_ranks(tokenizer("byte_bpe_50k.tiktoken"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -34,6 +39,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mix.select(
@@ -46,7 +55,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op5_chat_formatting": op5_chat_formatting,
+    "op7_bpe": op7_bpe,
     "op10_mixing": op10_mixing,
 }
 ORACLES = {name: SQL[name] for name in QUERIES if name in SQL}
