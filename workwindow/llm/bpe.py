@@ -41,13 +41,13 @@ from workwindow.llm.common import mapped_bytes, shared_bytes, slices
 
 LEXICON = 1 << 16
 #: Counters that a task's summary keeps, and words that a worker remembers.
-SUMMARY, MEMO = 1 << 17, 600_000
+SUMMARY, MEMO = 1 << 17, 250_000
 #: Words longer than this are never remembered or put in the lexicon.
 LONGEST = 64
 
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+").findall
+_ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^ \t-\ra-z0-9]+").findall
 _WORDS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+    r"\p{L}+|\p{N}|'(?:[stmd]|re|ve|ll)|[^\p{White_Space}\p{L}\p{N}]+"
 ).findall
 
 
@@ -240,8 +240,8 @@ class Lexicon:
         return self.ids[self.starts[place] : self.starts[place + 1]].tolist()
 
 
-class _Memo(dict):
-    """Ids of words as bytes: a bounded number of words, emptied when full."""
+class _Words(dict):
+    """Ids of normalised words as bytes: a bounded number of words, emptied when full."""
 
     def __init__(self, merges: Merges, lexicon: Lexicon):
         super().__init__()
@@ -260,12 +260,29 @@ class _Memo(dict):
         return out
 
 
+class _Chunks(dict):
+    """The same for what stands between ASCII white space in a raw text. No word
+    reaches over white space, and white space composes with no character."""
+
+    def __init__(self, merges: Merges, lexicon: Lexicon):
+        super().__init__()
+        self.words_of, self.word = merges.words_of, _Words(merges, lexicon).__getitem__
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        out = b"".join(map(self.word, self.words_of(chunk.decode())))
+        if len(chunk) <= LONGEST:
+            if len(self) >= 2 * MEMO:
+                self.clear()
+            self[chunk] = out
+        return out
+
+
 class Encoder:
     """Texts to ids and back."""
 
     def __init__(self, merges: Merges, lexicon: Lexicon):
         self.merges = merges
-        self.ids = _Memo(merges, lexicon).__getitem__
+        self.ids = _Chunks(merges, lexicon).__getitem__
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -274,7 +291,7 @@ class Encoder:
             if part in self.merges.special:
                 out.append(array("I", [self.merges.special[part]]).tobytes())
             else:
-                out.extend(map(self.ids, self.merges.words_of(part)))
+                out.extend(map(self.ids, part.encode().split()))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -289,10 +306,9 @@ class Encoder:
 def frequent_words(documents: DataFrame, tokenizer_path: str, size: int = LEXICON) -> list[str]:
     """The words that a summary of all texts finds most frequent, at most ``size``.
 
-    A task counts its words; when it holds more than twice ``SUMMARY`` counters it
+    A task counts what stands between white space; when it holds more than twice ``SUMMARY`` counters it
     lowers all of them by the count of the one after the largest ``SUMMARY`` and drops
-    those at zero. A word with a larger share than 1 / ``SUMMARY`` of a task's words
-    always stays.
+    those at zero. What has a larger share than 1 / ``SUMMARY`` of a task always stays.
     """
     name = _ship_merges(documents.sparkSession, tokenizer_path)
 
@@ -304,15 +320,19 @@ def frequent_words(documents: DataFrame, tokenizer_path: str, size: int = LEXICO
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _merges_of(name)
-        counts: Counter = Counter()
+        chunks: Counter = Counter()
         for batch in batches:
             for part in slices(batch, "text"):
                 for text in part.column("text").to_pylist():
                     for piece in merges.split(text) if text and "<|" in text else [text or ""]:
                         if piece not in merges.special:
-                            counts.update(merges.words_of(piece))
-                if len(counts) > 2 * SUMMARY:
-                    counts = lower(counts, SUMMARY)
+                            chunks.update(piece.encode().split())
+                if len(chunks) > 2 * SUMMARY:
+                    chunks = lower(chunks, SUMMARY)
+        counts: Counter = Counter()
+        for chunk, n in chunks.items():
+            for word in merges.words_of(chunk.decode()):
+                counts[word] += n
         kept = [(w, n) for w, n in lower(counts, size).items() if len(w) <= LONGEST // 4]
         for i in range(0, len(kept), 10_000):
             words, numbers = zip(*kept[i : i + 10_000])
