@@ -90,31 +90,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of all rows, and the first word of each row (one more at the end).
-
-    One pass of prefix sums over the bytes gives the hash of any byte range; the
-    length of the word goes in as well.
-    """
-    n_rows = len(offsets) - 1
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(n_rows + 1, np.int64)
-    inside = ~_IS_SPACE[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[offsets[offsets < len(data)]] = True
-    before = np.concatenate(([False], inside[:-1]))
-    starts = np.flatnonzero(inside & (~before | first[:-1]))
-    after = np.concatenate((inside[1:], [False]))
-    last = np.zeros(len(data), bool)
-    ends_at = offsets[1:][offsets[1:] > 0] - 1
-    last[ends_at] = True
-    ends = np.flatnonzero(inside & (~after | last)) + 1
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte range; one pass of prefix sums serves all of them. The length
+    goes in as well."""
     power, inverse = _powers_to(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_CODES[data] * power[: len(data)], out=prefix[1:])
     hashes = (prefix[ends] - prefix[starts]) * inverse[starts]
-    hashes = mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return hashes, np.searchsorted(starts, offsets)
+    return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of all rows start and end; no word reaches over a row's end."""
+    inside = ~_IS_SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = True
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1] | cut[1:-1]
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | cut[1:-1]
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of all rows, and the first word of each row (one more at the end)."""
+    starts, ends = word_ranges(data, offsets)
+    return range_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+
+
+_GRAM = [np.uint64(pow(0xC2B2AE3D27D4EB4F, k + 1, 1 << 64)) for k in range(16)]
+
+
+def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every run of ``n`` words, at its first word; rows are not looked at."""
+    total = np.zeros(max(0, len(words) - n + 1), np.uint64)
+    for k in range(n):
+        total += words[k : k + len(total)] * _GRAM[k]
+    return mix(total)
+
+
+def runs_in_rows(first: np.ndarray, n: int) -> np.ndarray:
+    """The places of all runs of ``n`` words that lie in one row, given each row's first word."""
+    inside = np.ones(max(0, int(first[-1]) - n + 1), bool)
+    for k in range(1, n):
+        at = first[1:-1] - k
+        inside[at[(at >= 0) & (at < len(inside))]] = False
+    return np.flatnonzero(inside)
+
+
+def twins(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key: does it occur twice or more, and has it occurred before."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    same = ordered[1:] == ordered[:-1]
+    repeated, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    repeated[order[1:]] = same
+    later[order[1:]] = same
+    repeated[order[:-1]] |= same
+    return repeated, later
 
 
 def shared_bytes(spark: SparkSession, name: str, content: bytes) -> str:

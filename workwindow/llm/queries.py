@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workwindow.llm import bpe, chat, mixing, token_counts
+from workwindow.llm import bpe, chat, mixing, quality, token_counts
 from workwindow.llm.common import table, tokenizer
 from workwindow.llm.oracles import SQL
 
@@ -15,6 +15,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), pieces)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.judge(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -56,6 +61,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_quality_rules": op3_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
     "op7_bpe": op7_bpe,
     "op10_mixing": op10_mixing,
