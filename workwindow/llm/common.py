@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import mmap
 import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,7 @@ SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,6 +35,27 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@functools.cache
+def _package_zip() -> str:
+    root = Path(__file__).resolve().parents[2]
+    path = Path(tempfile.mkdtemp(prefix="workwindow-code-")) / "workwindow_code.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted((root / "workwindow").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    return str(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run, once a session."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(_package_zip())
+        _shipped.add(context.applicationId)
+
+
 def width(spark: SparkSession) -> int:
     """Tasks that a shuffle by hand should have: what the session is set to."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
