@@ -81,9 +81,45 @@ mix AS (
 """
 
 
+def groups_sql(documents: str) -> str:
+    """CTEs ending in ``near``: doc_id, class_id, copy_id and n_links of each document.
+    Exact: all pairs of texts that share a run of five words are compared."""
+    return rf"""
+n_words AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM {documents}),
+n_sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+  FROM n_words),
+n_nodes AS (
+  SELECT s, min(doc_id) AS rep, count(*) AS size FROM n_sets WHERE len(s) > 0 GROUP BY s),
+n_grams AS (SELECT rep, len(s) AS n, size, unnest(s) AS g FROM n_nodes),
+n_common AS (
+  SELECT a.rep AS a, b.rep AS b, any_value(a.n + b.n) AS n, any_value(b.size) AS size, count(*) AS c
+  FROM n_grams a JOIN n_grams b ON a.g = b.g AND a.rep <> b.rep GROUP BY ALL),
+n_links AS (SELECT a, b, size FROM n_common WHERE c >= 0.8 * (n - c) - 1e-9),
+n_reach(a, b) AS (
+  SELECT a, b FROM n_links UNION SELECT r.a, l.b FROM n_reach r JOIN n_links l ON r.b = l.a),
+n_class AS (
+  SELECT rep, size, least(rep, (SELECT min(b) FROM n_reach WHERE a = rep)) AS class_id,
+    coalesce((SELECT sum(l.size) FROM n_links l WHERE l.a = rep), 0) AS more, s
+  FROM n_nodes),
+near AS (
+  SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(rep, d.doc_id) AS copy_id,
+    coalesce(c.size - 1 + more, 0)::BIGINT AS n_links
+  FROM n_sets d LEFT JOIN n_class c ON len(d.s) > 0 AND d.s = c.s)
+"""
+
+
+OP9 = f"""
+WITH RECURSIVE {groups_sql("documents")}
+SELECT doc_id, class_id, copy_id, n_links FROM near
+"""
+
 OP10 = f"""
 WITH {mix_sql("documents")}
 SELECT doc_id, size, source_size, target, size * repeats AS taken FROM mix
 """
 
-SQL = {"op5_chat_formatting": OP5, "op10_mixing": OP10}
+SQL = {"op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10}

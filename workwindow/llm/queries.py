@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workwindow.llm import bpe, chat, mixing, quality, token_counts
+from workwindow.llm import bpe, chat, mixing, near_duplicates, quality, token_counts
 from workwindow.llm.common import table, tokenizer
 from workwindow.llm.oracles import SQL
 
@@ -48,6 +48,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mix.select(
@@ -64,6 +68,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
     "op7_bpe": op7_bpe,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
 }
 ORACLES = {name: SQL[name] for name in QUERIES if name in SQL}
