@@ -380,17 +380,21 @@ def ship(spark: SparkSession, tokenizer_path: str, words: list[str]) -> tuple[st
     return _ship_merges(spark, tokenizer_path), shared_bytes(spark, "lexicon", lexicon)
 
 
-def encode_documents(documents: DataFrame, tokenizer_path: str, words: list[str] | None = None) -> DataFrame:
-    """doc_id, ids (array<int>) and decoded of every row of ``documents`` (doc_id, text)."""
+def encode_documents(
+    documents: DataFrame, tokenizer_path: str, words: list[str] | None = None, decode: bool = True
+) -> DataFrame:
+    """doc_id, ids (array<int>) and, if wanted, decoded of every row of ``documents``
+    (doc_id, text)."""
 
     def rows(part: pa.RecordBatch, encoder: Encoder) -> list[pa.Array]:
-        both = [(i := encoder.encode(t or ""), encoder.decode(i)) for t in part.column("text").to_pylist()]
-        return [
-            pa.array([np.frombuffer(ids, "<i4") for ids, _ in both], pa.list_(pa.int32())),
-            pa.array([text for _, text in both], pa.string()),
-        ]
+        ids = [encoder.encode(t or "") for t in part.column("text").to_pylist()]
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+        return [lists, *([pa.array(map(encoder.decode, ids), pa.string())] if decode else [])]
 
-    return _encoded(documents, tokenizer_path, words, rows, "ids array<int>, decoded string")
+    schema = "ids array<int>" + ", decoded string" * decode
+    return _encoded(documents, tokenizer_path, words, rows, schema)
 
 
 def encode_digests(documents: DataFrame, tokenizer_path: str, words: list[str] | None = None) -> DataFrame:
