@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from workwindow.llm.common import mapped_bytes, shared_bytes, slices
+from workwindow.session import stage
 
 LEXICON = 1 << 16
 #: Counters that a task's summary keeps, and words that a worker remembers.
@@ -340,15 +341,23 @@ def frequent_words(documents: DataFrame, tokenizer_path: str, size: int = LEXICO
                 [pa.array(words, pa.string()), pa.array(numbers, pa.int64())], ["word", "n"]
             )
 
-    found = (
+    counts = (
         documents.select("text")
         .mapInArrow(summarise, "word string, n bigint")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
     )
-    return [row.word for row in found.collect()]
+    counts = stage(counts, "bpe-words")
+    # the count from which on there are ``size`` words, to an eighth of a power of e:
+    # else every task would send as many words to the driver
+    bins = counts.groupBy(F.floor(F.log("n") * 8).alias("bin")).agg(F.count("*").alias("words"))
+    cutoff, found = 0, 0
+    for row in bins.orderBy(F.desc("bin")).collect():
+        cutoff, found = row.bin, found + row.words
+        if found >= size:
+            break
+    often = counts.filter(F.floor(F.log("n") * 8) >= cutoff)
+    return [r.word for r in stage(often.orderBy(F.desc("n"), "word").limit(size), "bpe-lexicon").collect()]
 
 
 @functools.cache
