@@ -2,6 +2,80 @@
 
 from __future__ import annotations
 
+from workwindow.llm import licenses
+
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{n}', '{t}', {k})" for i, n, t, k in licenses.template_rows())
+
+
+def _anchored(x: str) -> str:
+    return "(" + " OR ".join(f"contains(lower({x}), '{a}')" for a in licenses.ANCHORS) + ")"
+
+
+OP2 = rf"""
+WITH RECURSIVE files AS (
+  SELECT doc_id, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id) AS path, text,
+    regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS words
+  FROM documents),
+template_terms(template, license_id, term, n) AS (VALUES {_TEMPLATE_ROWS}),
+vocabulary AS (SELECT DISTINCT term FROM template_terms),
+seen AS (
+  SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(words)) AS term FROM files)
+  GROUP BY term),
+weights AS (
+  SELECT v.term, ln(((SELECT count(*) FROM files) + 1) / (coalesce(df, 0) + 1)) + 1 AS weight
+  FROM vocabulary v LEFT JOIN seen USING (term)),
+templates AS (
+  SELECT template, license_id, term,
+    n * weight / sqrt(sum(n * weight * n * weight) OVER (PARTITION BY template)) AS w
+  FROM template_terms JOIN weights USING (term)),
+noted AS (
+  SELECT DISTINCT path, text, len(words) AS all_words,
+    [text] || list_filter(string_split(text, chr(10)), lambda l: {_anchored("l")}) AS units
+  FROM files WHERE {_anchored("text")}),
+units AS (
+  SELECT path, all_words, generate_subscripts(units, 1) - 1 AS unit,
+    regexp_extract_all(lower(unnest(units)), '[a-z0-9]+') AS words
+  FROM noted),
+terms AS (
+  SELECT path, unit, all_words, len(words) AS n_words, unnest(words) AS term FROM units),
+counts AS (
+  SELECT path, unit, all_words, n_words, term, count(*) * coalesce(any_value(weight), 1) AS w
+  FROM terms LEFT JOIN weights USING (term) GROUP BY ALL),
+lengths AS (SELECT path, unit, sqrt(sum(w * w)) AS norm FROM counts GROUP BY ALL),
+scored AS (
+  SELECT path, unit, all_words, n_words, template, license_id,
+    round(sum(c.w * t.w) / any_value(norm), 6) AS score
+  FROM counts c JOIN templates t USING (term) JOIN lengths USING (path, unit) GROUP BY ALL),
+best AS (
+  SELECT path, unit, all_words, n_words, max((score, -template, license_id)) AS b
+  FROM scored WHERE score >= 0.6 GROUP BY ALL),
+own AS (
+  SELECT path, arg_min(b[3], (-b[1], b[3])) AS license_id, max(b[1]) AS score,
+    count(*) FILTER (unit > 0) AS n_notices,
+    regexp_matches(path, '(?i)(^|/)(licen[sc]e|copying|copyright|notice|unlicense)[^/]*$')
+      OR bool_or(unit = 0) OR coalesce(sum(n_words) FILTER (unit > 0), 0) >= 0.5 * max(all_words)
+      AS is_license_file
+  FROM best GROUP BY path),
+speaking AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS above,
+    arg_min(license_id, (-score, path, license_id)) AS dir_license
+  FROM own WHERE is_license_file GROUP BY 1),
+ancestors AS (
+  SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS dir,
+    regexp_replace(path, '/?[^/]*$', '') AS above FROM files
+  UNION SELECT dir, regexp_replace(above, '/?[^/]*$', '') FROM ancestors WHERE above <> ''),
+inherited AS (
+  SELECT dir, arg_max(above, length(above)) AS from_dir,
+    arg_max(dir_license, length(above)) AS dir_license
+  FROM ancestors JOIN speaking USING (above) GROUP BY dir)
+SELECT doc_id, path, license_id AS own_license, score, coalesce(n_notices, 0) AS n_notices,
+  coalesce(is_license_file, false) AS is_license_file,
+  coalesce(license_id, dir_license) AS license_id,
+  CASE WHEN license_id IS NULL THEN from_dir END AS from_dir
+FROM files LEFT JOIN own USING (path)
+  LEFT JOIN inherited ON inherited.dir = regexp_replace(path, '/?[^/]*$', '')
+"""
+
 # Fixed values, as chat.py defines them.
 _OPENERS = r"[<\[]"
 _TAILS = r"\|[A-Za-z0-9_]+\|>|/?s>|/?INST\]|</?SYS>>|/?tool_calls?>|/?think>"
@@ -122,4 +196,4 @@ WITH {mix_sql("documents")}
 SELECT doc_id, size, source_size, target, size * repeats AS taken FROM mix
 """
 
-SQL = {"op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10}
+SQL = {"op2_license_scan": OP2, "op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workwindow.llm import bpe, chat, mixing, near_duplicates, quality, token_counts
+from workwindow.llm import bpe, chat, extraction, licenses, mixing, near_duplicates, quality, token_counts
 from workwindow.llm.common import table, tokenizer
 from workwindow.llm.oracles import SQL
 
@@ -15,6 +15,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), pieces)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in directories source/lang."""
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), "doc_id").alias("path"),
+        "text",
+    )
+    found = licenses.scan(files)
+    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality.judge(documents, quality.train(documents, table(spark, sf_dir, "labels")))
@@ -44,6 +55,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -65,8 +81,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_html_extraction": op6_html_extraction,
     "op7_bpe": op7_bpe,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
