@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workwindow.llm import bpe, chat, extraction, licenses, mixing, near_duplicates, quality, token_counts
+from workwindow.llm import (
+    bpe,
+    chat,
+    extraction,
+    licenses,
+    mixing,
+    near_duplicates,
+    neighbours,
+    quality,
+    token_counts,
+)
 from workwindow.llm.common import table, tokenizer
 from workwindow.llm.oracles import SQL
 
@@ -31,6 +41,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -83,6 +97,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_html_extraction": op6_html_extraction,
     "op7_bpe": op7_bpe,
