@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from workwindow.llm.common import mapped_bytes, shared_bytes, slices
+from workwindow.llm.common import mapped_bytes, parts_of, shared_bytes
 from workwindow.session import stage
 
 LEXICON = 1 << 16
 #: Counters that a task's summary keeps, and words that a worker remembers.
-SUMMARY, MEMO = 1 << 17, 250_000
+SUMMARY, MEMO = 1 << 17, 150_000
 #: Words longer than this are never remembered or put in the lexicon.
 LONGEST = 64
 
@@ -322,14 +322,13 @@ def frequent_words(documents: DataFrame, tokenizer_path: str, size: int = LEXICO
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _merges_of(name)
         chunks: Counter = Counter()
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for text in part.column("text").to_pylist():
-                    for piece in merges.split(text) if text and "<|" in text else [text or ""]:
-                        if piece not in merges.special:
-                            chunks.update(piece.encode().split())
-                if len(chunks) > 2 * SUMMARY:
-                    chunks = lower(chunks, SUMMARY)
+        for part in parts_of(batches, "text"):
+            for text in part.column("text").to_pylist():
+                for piece in merges.split(text) if text and "<|" in text else [text or ""]:
+                    if piece not in merges.special:
+                        chunks.update(piece.encode().split())
+            if len(chunks) > 2 * SUMMARY:
+                chunks = lower(chunks, SUMMARY)
         counts: Counter = Counter()
         for chunk, n in chunks.items():
             for word in merges.words_of(chunk.decode()):
@@ -430,9 +429,8 @@ def _encoded(documents: DataFrame, tokenizer_path: str, words, rows, schema: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder_of(*names)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *rows(part, encoder)], columns)
+        for part in parts_of(batches, "text"):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *rows(part, encoder)], columns)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, {schema}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import hashlib
 import mmap
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = b" \t\n\x0b\x0c\r"
 #: Texts are handled in slices of about so many bytes, whatever Spark's batch size is.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,24 @@ def width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # a C library without it
+        return lambda _: None
+
+
+def parts_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """All slices of all batches of a task. Python workers live on after a task, so at
+    its end what is free goes back to the system."""
+    for batch in batches:
+        yield from slices(batch, column)
+        del batch
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``limit`` bytes of ``column``, one row at least."""
     if not batch.num_rows:

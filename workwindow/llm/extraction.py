@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workwindow.llm.common import slices, word_hashes
+from workwindow.llm.common import parts_of, word_hashes
 
 SAMPLE, SAMPLE_CHARS, LAYOUTS = 150, 20_000, 450
 PATH_DIM, WORD_DIM, N_NUMBERS = 192, 48, 8
@@ -461,25 +461,24 @@ def extract(pages: DataFrame, network: Network) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html)."""
 
     def main_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "html"):
-                found = [blocks_of(h or "") for h in part.column("html").to_pylist()]
-                bounds = np.concatenate(([0], np.cumsum([len(b) for b in found])))
-                blocks = [b for page in found for b in page]
-                main = network.label(vectors(blocks, bounds), bounds) if blocks else []
-                texts = [
-                    "\n".join(b.text for b, yes in zip(blocks[i:j], main[i:j]) if yes)
-                    for i, j in zip(bounds.tolist(), bounds[1:].tolist())
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("page_id"),
-                        part.column("url"),
-                        pa.array(texts, pa.string()),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                    ],
-                    ["page_id", "url", "text", "n_chars"],
-                )
+        for part in parts_of(batches, "html"):
+            found = [blocks_of(h or "") for h in part.column("html").to_pylist()]
+            bounds = np.concatenate(([0], np.cumsum([len(b) for b in found])))
+            blocks = [b for page in found for b in page]
+            main = network.label(vectors(blocks, bounds), bounds) if blocks else []
+            texts = [
+                "\n".join(b.text for b, yes in zip(blocks[i:j], main[i:j]) if yes)
+                for i, j in zip(bounds.tolist(), bounds[1:].tolist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("page_id"),
+                    part.column("url"),
+                    pa.array(texts, pa.string()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                ],
+                ["page_id", "url", "text", "n_chars"],
+            )
 
     kinds = [f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url")]
     return pages.select("page_id", "url", "html").mapInArrow(

@@ -37,7 +37,7 @@ from workwindow.llm.common import (
     gram_hashes,
     mix,
     runs_in_rows,
-    slices,
+    parts_of,
     text_buffers,
     word_hashes,
 )
@@ -98,30 +98,29 @@ def signatures(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _factors(bands * rows)
         weights = _factors(rows)[0]
-        for batch in batches:
-            for part in slices(batch, "text"):
-                sets = gram_sets(*text_buffers(part.column("text")), n)
-                sizes = np.array([len(s) for s in sets])
-                full = np.flatnonzero(sizes)
-                nodes: list[bytes | None] = [None] * len(sets)
-                hashes: list[np.ndarray | None] = [None] * len(sets)
-                if len(full):
-                    grams = np.concatenate([sets[i] for i in full])
-                    starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
-                    least = np.stack([np.minimum.reduceat(grams * x + y, starts) for x, y in zip(a, b)])
-                    least = least.reshape(bands, rows, -1) * weights[None, :, None]
-                    keys = mix(least.sum(1, dtype=np.uint64)).astype(np.int64).T
-                    for i, node, key in zip(full.tolist(), _digests(grams, starts), keys):
-                        nodes[i], hashes[i] = node, key
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(nodes, pa.binary()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(hashes, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "node", "n_grams", "bands"],
-                )
+        for part in parts_of(batches, "text"):
+            sets = gram_sets(*text_buffers(part.column("text")), n)
+            sizes = np.array([len(s) for s in sets])
+            full = np.flatnonzero(sizes)
+            nodes: list[bytes | None] = [None] * len(sets)
+            hashes: list[np.ndarray | None] = [None] * len(sets)
+            if len(full):
+                grams = np.concatenate([sets[i] for i in full])
+                starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
+                least = np.stack([np.minimum.reduceat(grams * x + y, starts) for x, y in zip(a, b)])
+                least = least.reshape(bands, rows, -1) * weights[None, :, None]
+                keys = mix(least.sum(1, dtype=np.uint64)).astype(np.int64).T
+                for i, node, key in zip(full.tolist(), _digests(grams, starts), keys):
+                    nodes[i], hashes[i] = node, key
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array(nodes, pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(hashes, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "node", "n_grams", "bands"],
+            )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
@@ -231,23 +230,22 @@ def linked_nodes(
     passed = ["node", "size", "hashes", "blocks"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = gram_sets(*text_buffers(part.column("text")), n)
-                sizes = np.array([len(s) for s in found])
-                # rows that share the id of a representative, but not its text, are left out
-                full = np.flatnonzero(sizes)
-                grams = np.concatenate([found[i] for i in full]) if len(full) else None
-                digests = (
-                    _digests(grams, np.concatenate(([0], np.cumsum(sizes[full])[:-1]))) if len(full) else []
-                )
-                names = part.column("node").to_pylist()
-                right = [i for i, d in zip(full.tolist(), digests) if names[i] == d]
-                chosen = part.take(pa.array(right, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*(chosen.column(c) for c in passed), pa.array([found[i].tobytes() for i in right], pa.binary())],
-                    [*passed, "grams"],
-                )
+        for part in parts_of(batches, "text"):
+            found = gram_sets(*text_buffers(part.column("text")), n)
+            sizes = np.array([len(s) for s in found])
+            # rows that share the id of a representative, but not its text, are left out
+            full = np.flatnonzero(sizes)
+            grams = np.concatenate([found[i] for i in full]) if len(full) else None
+            digests = (
+                _digests(grams, np.concatenate(([0], np.cumsum(sizes[full])[:-1]))) if len(full) else []
+            )
+            names = part.column("node").to_pylist()
+            right = [i for i, d in zip(full.tolist(), digests) if names[i] == d]
+            chosen = part.take(pa.array(right, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*(chosen.column(c) for c in passed), pa.array([found[i].tobytes() for i in right], pa.binary())],
+                [*passed, "grams"],
+            )
 
     with_sets = texts.select("text", *passed).mapInArrow(
         sets, "node binary, size bigint, hashes array<bigint>, blocks array<int>, grams binary"

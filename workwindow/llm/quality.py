@@ -35,7 +35,7 @@ from workwindow.llm.common import (
     mix,
     range_hashes,
     runs_in_rows,
-    slices,
+    parts_of,
     text_buffers,
     twins,
     word_ranges,
@@ -318,14 +318,13 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Fiel
     chosen = spark.createDataFrame([(r.doc_id, r.quality) for r in rows], f"doc_id {kind}, quality int")
 
     def line_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                lines = measure(*text_buffers(part.column("text")))
-                of = [lines.features[lines.row == i][:SAMPLE_LINES] for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("quality"), pa.array([f.astype("<f4").tobytes() for f in of], pa.binary())],
-                    ["doc_id", "quality", "features"],
-                )
+        for part in parts_of(batches, "text"):
+            lines = measure(*text_buffers(part.column("text")))
+            of = [lines.features[lines.row == i][:SAMPLE_LINES] for i in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("quality"), pa.array([f.astype("<f4").tobytes() for f in of], pa.binary())],
+                ["doc_id", "quality", "features"],
+            )
 
     # at most 2 * sample ids
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
@@ -339,24 +338,23 @@ def judge(documents: DataFrame, field: Field) -> DataFrame:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                lines = measure(*text_buffers(part.column("text")))
-                content = field.viterbi(lines.row, lines.features)
-                inside = np.bincount(lines.row, content * lines.n_words, part.num_rows)
-                n = lines.counts["n_words"]
-                share = inside / np.maximum(n, 1)
-                failed = (n < MIN_WORDS) | (100 * lines.counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        *(pa.array(lines.counts[c].astype(np.int64)) for c in names),
-                        pa.array(failed),
-                        pa.array(share),
-                        pa.array(~failed & (share >= KEEP_SHARE)),
-                    ],
-                    ["doc_id", *names, "base_failed", "content_share", "kept"],
-                )
+        for part in parts_of(batches, "text"):
+            lines = measure(*text_buffers(part.column("text")))
+            content = field.viterbi(lines.row, lines.features)
+            inside = np.bincount(lines.row, content * lines.n_words, part.num_rows)
+            n = lines.counts["n_words"]
+            share = inside / np.maximum(n, 1)
+            failed = (n < MIN_WORDS) | (100 * lines.counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    *(pa.array(lines.counts[c].astype(np.int64)) for c in names),
+                    pa.array(failed),
+                    pa.array(share),
+                    pa.array(~failed & (share >= KEEP_SHARE)),
+                ],
+                ["doc_id", *names, "base_failed", "content_share", "kept"],
+            )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{c} bigint" for c in names)
@@ -368,13 +366,12 @@ def judge(documents: DataFrame, field: Field) -> DataFrame:
 def keep_good(documents: DataFrame, field: Field) -> DataFrame:
     """The rows of ``documents`` that ``judge`` keeps, with all their columns, in one pass."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                lines = measure(*text_buffers(part.column("text")))
-                content = field.viterbi(lines.row, lines.features)
-                inside = np.bincount(lines.row, content * lines.n_words, part.num_rows)
-                n = lines.counts["n_words"]
-                failed = (n < MIN_WORDS) | (100 * lines.counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
-                yield part.filter(pa.array(~failed & (inside >= KEEP_SHARE * n)))
+        for part in parts_of(batches, "text"):
+            lines = measure(*text_buffers(part.column("text")))
+            content = field.viterbi(lines.row, lines.features)
+            inside = np.bincount(lines.row, content * lines.n_words, part.num_rows)
+            n = lines.counts["n_words"]
+            failed = (n < MIN_WORDS) | (100 * lines.counts["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
+            yield part.filter(pa.array(~failed & (inside >= KEEP_SHARE * n)))
 
     return documents.mapInArrow(keep, documents.schema)

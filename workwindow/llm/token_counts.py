@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from workwindow.llm.common import mapped_bytes, shared_bytes, slices
+from workwindow.llm.common import mapped_bytes, parts_of, shared_bytes
 
 MEMO = 500_000
 NONE = -1
@@ -138,17 +138,16 @@ def token_counts(documents: DataFrame, pieces: Iterable[bytes]) -> DataFrame:
             _loaded.clear()
             _loaded[name] = _Counts(Automaton.load(mapped_bytes(name)))
         of = _loaded[name].__getitem__
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = [(t or "").encode().split() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([len(w) for w in words], pa.int64()),
-                        pa.array([sum(map(of, w)) for w in words], pa.int64()),
-                    ],
-                    ["doc_id", "n_words", "n_tokens"],
-                )
+        for part in parts_of(batches, "text"):
+            words = [(t or "").encode().split() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array([len(w) for w in words], pa.int64()),
+                    pa.array([sum(map(of, w)) for w in words], pa.int64()),
+                ],
+                ["doc_id", "n_words", "n_tokens"],
+            )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
