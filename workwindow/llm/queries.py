@@ -10,6 +10,7 @@ from workwindow.llm import (
     chat,
     extraction,
     licenses,
+    lm_scores,
     mixing,
     near_duplicates,
     neighbours,
@@ -78,6 +79,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scores.lm_scores(table(spark, sf_dir, "documents"))
+    # sums of floats are as exact as their order lets them be
+    means = F.round("mean_log_score", 6)
+    return scored.select("doc_id", "n_words", "n_backed_off", means.alias("mean_log_score"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -101,6 +109,7 @@ QUERIES = {
     "op5_chat_formatting": op5_chat_formatting,
     "op6_html_extraction": op6_html_extraction,
     "op7_bpe": op7_bpe,
+    "op8_lm_scores": op8_lm_scores,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
 }
