@@ -448,13 +448,16 @@ def fit(pages: list[str], seed: int = 7) -> Network:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Network:
     """Fit on a bounded sample of ``pages``."""
+    key = F.xxhash64("url", "page_id")
+    there = pages.filter("html IS NOT NULL")
+    keys = [r.k for r in there.select(key.alias("k")).distinct().orderBy("k").limit(sample).collect()]
+    # keys first: else every task would send as many pages to the driver
     chosen = (
-        pages.filter("html IS NOT NULL")
-        .select(F.xxhash64("url", "page_id").alias("k"), F.substring("html", 1, SAMPLE_CHARS).alias("html"))
-        .orderBy("k", "html")
-        .limit(sample)
+        there.filter(key.isin(keys))
+        .groupBy(key.alias("k"))
+        .agg(F.min(F.substring("html", 1, SAMPLE_CHARS)).alias("html"))
     )
-    return fit([r.html for r in chosen.collect()])
+    return fit([r.html for r in sorted(chosen.collect(), key=lambda r: r.k)])
 
 
 def extract(pages: DataFrame, network: Network) -> DataFrame:
