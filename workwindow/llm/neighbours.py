@@ -119,12 +119,13 @@ def quantised(vectors: DataFrame) -> DataFrame:
 
 
 def _merge(k: int):
-    """Rows of nodes (a list each, one with the vector) to one row a node."""
+    """Rows of nodes (lists, one with the vector) and messages to many nodes, to one row a node."""
 
     def merge(group: pa.Table) -> pa.Table:
-        node = np.asarray(group.column("node"))
         n = _lengths(group, "nbrs")
-        owner = np.repeat(node, n)
+        packed = np.repeat(np.asarray(group.column("owners").is_valid()), n)
+        owner = np.repeat(np.asarray(group.column("node").fill_null(0)), n)
+        owner[packed] = _flat(group, "owners", np.int64)
         old = np.repeat(np.asarray(group.column("v").is_valid()), n)
         ids, scores = _flat(group, "nbrs", np.int64), _flat(group, "scores", np.float32)
         at = _best(owner, ids, scores + old * np.float32(1e-6), k)
@@ -143,13 +144,23 @@ def _merge(k: int):
 
 
 def _merged(rows: DataFrame, n_buckets: int, k: int) -> DataFrame:
-    rows = rows.select(_bucket("node", n_buckets).alias("bucket"), "node", "v", "s", "nbrs", "scores")
+    bucket = F.coalesce("bucket", _bucket("node", n_buckets)).alias("bucket")
+    rows = rows.select(bucket, "node", "v", "s", "owners", "nbrs", "scores")
     return rows.groupBy("bucket").applyInArrow(_merge(k), _LISTS)
 
 
 def _with_candidates(graph: DataFrame, candidates: DataFrame) -> DataFrame:
-    nothing = [F.lit(None).cast("binary").alias("v"), F.lit(None).cast("float").alias("s")]
-    return graph.select("node", "v", "s", "nbrs", "scores").unionByName(candidates.select("node", *nothing, "nbrs", "scores"))
+    """Both as rows for ``_merged``; what one side lacks is null."""
+    kinds = {"bucket": "int", "node": "bigint", "v": "binary", "s": "float", "owners": "array<bigint>"}
+    both = [
+        rows.select(
+            *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()],
+            "nbrs",
+            "scores",
+        )
+        for rows in (graph, candidates)
+    ]
+    return both[0].unionByName(both[1])
 
 
 def start_graph(nodes: DataFrame, n: int, dim: int, k: int, trees: int, cell: int) -> DataFrame:
@@ -199,7 +210,7 @@ def _with_reverse(graph: DataFrame, reverse: int, seed: int) -> DataFrame:
     return joined.withColumn("all", F.array_distinct(F.concat("nbrs", F.coalesce("by", none)))).drop("to", "by")
 
 
-def _local_joins(named: int):
+def _local_joins(named: int, n_buckets: int):
     def join(group: pa.Table) -> pa.Table:
         center = np.asarray(group.column("center"))
         order = np.argsort(center, kind="stable")
@@ -223,9 +234,14 @@ def _local_joins(named: int):
             scores.append(found[good])
         owner, ids, scores = (np.concatenate(z) if z else np.zeros(0, k) for z, k in ((owners, np.int64), (ids, np.int64), (scores, np.float32)))
         at = _best(owner, ids, scores, K)
-        own = owner[at]
-        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, int)
-        return pa.table(_lists(own[starts], starts, ids[at], scores[at]), ["node", "nbrs", "scores"])
+        # one message to each bucket of nodes, not one a node
+        to = np.mod(owner[at], n_buckets)
+        order = np.argsort(to, kind="stable")
+        at, to = at[order], to[order]
+        starts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, int)
+        buckets, nbrs, scored = _lists(to[starts], starts, ids[at], scores[at])
+        owners = pa.ListArray.from_arrays(nbrs.offsets, pa.array(owner[at], pa.int64()))
+        return pa.table([buckets.cast(pa.int32()), owners, nbrs, scored], ["bucket", "owners", "nbrs", "scores"])
 
     return join
 
@@ -245,7 +261,8 @@ def neighbour_graph(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS)
         )
         sent = sent.select(_bucket("center", n_buckets).alias("bucket"), "center", "node", "v", "s", "worst")
         found = sent.groupBy("bucket").applyInArrow(
-            _local_joins(NAMED), "node bigint, nbrs array<bigint>, scores array<float>"
+            _local_joins(NAMED, n_buckets),
+            "bucket int, owners array<bigint>, nbrs array<bigint>, scores array<float>",
         )
         graph = stage(_merged(_with_candidates(graph, found), n_buckets, k), "ann-graph")
         changed = graph.agg(F.sum("changed")).first()[0] or 0
