@@ -55,7 +55,6 @@ def main() -> None:
             packed=packed,
             include_weather_stats=True,
             visual_params_for_mean=params,
-            validate=False,  # writing checks the same contract
         )
         bundle.write(tempfile.mkdtemp(prefix="bench-bundle-"))
 

@@ -130,7 +130,7 @@ def classified_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One well-formed configuration per supplier."""
+    """One configuration per supplier, with blocks and names that some modes do not use."""
     key, nation = F.col("s_suppkey"), F.col("s_nationkey")
     zone = (
         F.when(nation % 4 == 0, "UTC")
@@ -170,6 +170,19 @@ def supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_documents(base.withColumn("doc", doc))
 
 
+def sound_supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without what a mode does not use: nothing is left to refuse."""
+    mode, plus = F.col("scenario_mode"), F.col("scenario_mode") == "standard_3_plus"
+    used = lambda k, _: (k == "base") | ((k == "night") & plus) | ((k == "conservative") & (mode != "base_only"))
+    named = F.filter("custom_scenarios", lambda s: F.trim(s) != "")
+    return supplier_config(spark, sf_dir).withColumns(
+        {
+            "custom_scenarios": F.when(plus, named).otherwise(F.array().cast("array<string>")),
+            "weather_thresholds": F.map_filter("weather_thresholds", used),
+        }
+    )
+
+
 def customer_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One configuration per customer, most of them broken in some way."""
     key = F.col("c_custkey")
@@ -227,6 +240,7 @@ def _from_documents(rows: DataFrame) -> DataFrame:
         "config.weather_thresholds",
         "calendar_model",
         "config.weekdays",
+        "config.custom_weekdays",
         "config.time_bounds",
         "config.weekly_overrides",
     )

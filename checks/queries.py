@@ -72,13 +72,13 @@ def classify_all_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classify_site_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = bysite.packed_rules(fx.supplier_config(spark, sf_dir))
+    rules = bysite.packed_rules(fx.sound_supplier_config(spark, sf_dir))
     classified = classify_by_site_rules(fx.truth_suppliers(spark, sf_dir), rules)
     return portable(_rows(classified, "scenario_id", *FLAGS))
 
 
 def summary_site_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = bysite.packed_rules(fx.supplier_config(spark, sf_dir))
+    rules = bysite.packed_rules(fx.sound_supplier_config(spark, sf_dir))
     classified = classify_by_site_rules(fx.truth_suppliers(spark, sf_dir), rules)
     return portable(summary.summary_run(classified))
 

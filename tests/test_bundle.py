@@ -6,10 +6,17 @@ from pyspark.sql import functions as F
 
 from tests.support import STANDARD_3, config, hours, truth
 from workwindow.operators.classify import classify, classify_packed, unpack
-from workwindow.plans.bundle import Bundle, build_bundle
-from workwindow.plans.contracts import ContractError, check_hourly, check_tables, rate_violations
+from workwindow.operators import streaks
+from workwindow.plans.bundle import Bundle, build_bundle, read_bundle
+from workwindow.plans.contracts import (
+    ContractError,
+    check_hourly,
+    check_tables,
+    key_violations,
+    rate_violations,
+)
 from workwindow.rules.runwide import RuleSet
-from workwindow.session import shared_dir
+from workwindow.session import shared_dir, stage
 
 PARAMS = ["temperature", "wind_speed", "precipitation"]
 CORE = {
@@ -123,10 +130,43 @@ def test_meta(bundle, cfg):
 
 def test_written_tables_read_back(spark, bundle, tmp_path):
     bundle.write(str(tmp_path))
+    published = read_bundle(spark, str(tmp_path))
     for name, table in bundle.tables.items():
-        back = spark.read.parquet(f"{tmp_path}/{name}").select(*table.columns)
-        assert settled(back) == settled(table), name
-    assert spark.read.parquet(f"{tmp_path}/run_meta").count() == 1
+        assert settled(published[name].select(*table.columns)) == settled(table), name
+    assert published["run_meta"].count() == 1
+
+
+def test_a_rerun_leaves_nothing_of_the_run_before(spark, bundle, tmp_path):
+    run = bundle.tables["summary_run"]
+    Bundle(bundle.meta, {"summary_run": run}).write(str(tmp_path))
+    Bundle(bundle.meta, {"summary_run": run.filter("scenario_id = 'base'")}).write(str(tmp_path))
+    seen = read_bundle(spark, str(tmp_path))["summary_run"].select("scenario_id").distinct()
+    assert [r.scenario_id for r in seen.collect()] == ["base"]
+
+
+def test_a_bad_run_is_not_published(spark, bundle, tmp_path):
+    good = spark.createDataFrame([(0.5,)], "workable_rate double")
+    bad = spark.createDataFrame([(7.0,)], "workable_rate double")
+    Bundle(bundle.meta, {"rates": good}).write(str(tmp_path))
+    with pytest.raises(ContractError):
+        Bundle(bundle.meta, {"rates": bad}).write(str(tmp_path))
+    assert [r[0] for r in read_bundle(spark, str(tmp_path))["rates"].collect()] == [0.5]
+
+
+def test_written_files_keep_the_order_of_a_table(spark, bundle, tmp_path):
+    folder = bundle.write(str(tmp_path))
+    frame = spark.read.parquet(f"{folder}/summary_monthly").coalesce(1).toPandas()
+    for _, rows in frame.groupby("scenario_id"):
+        keys = list(zip(rows.site_id, rows.year, rows.month))
+        assert keys == sorted(keys)
+
+
+def test_rows_without_keys_are_reported_and_refused(spark, hourly):
+    damaged = hourly.withColumn("site_id", F.when(F.hour("time_utc") != 3, F.col("site_id")))
+    found = {r.column_name: r.n_null for r in key_violations(damaged).collect()}
+    assert found == {"site_id": hourly.filter(F.hour("time_utc") == 3).count()}
+    with pytest.raises(Exception, match="site_id must not be null"):
+        streaks.operational_runs(damaged.withColumn("operational_flag", F.lit(True))).count()
 
 
 def test_writing_checks_fractions(spark, bundle, tmp_path):
@@ -180,4 +220,6 @@ def test_output_contract(spark):
 
 def test_staging_folder_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_dir(spark) == (configured.rstrip("/") if configured else shared_dir(spark))
+    own = spark.sparkContext._jsc.sc().getCheckpointDir()
+    assert shared_dir(spark) == (configured or own.get()).rstrip("/")
+    assert stage(spark.range(3), "three").count() == 3

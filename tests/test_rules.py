@@ -1,7 +1,14 @@
 import pytest
 
 from tests.support import config, window
-from workwindow.rules.runwide import RuleSet, expand_scenarios, threshold_limits, week_windows
+from workwindow.rules.runwide import (
+    RuleSet,
+    checked_rules,
+    config_findings,
+    expand_scenarios,
+    threshold_limits,
+    week_windows,
+)
 
 
 def test_scenario_modes():
@@ -18,8 +25,36 @@ def test_scenario_modes():
     assert expand_scenarios("standard_3", ["ignored"]) == ("base", "conservative", "optimistic")
 
 
-def test_scenarios_are_capped_at_ten():
-    assert len(expand_scenarios("standard_3_plus", [f"s{i}" for i in range(20)])) == 10
+def test_more_than_ten_scenarios_are_refused():
+    many = config(scenario_mode="standard_3_plus", custom_scenarios=[f"s{i}" for i in range(12)])
+    assert len(expand_scenarios("standard_3_plus", many["custom_scenarios"])) == 15
+    with pytest.raises(ValueError, match="15 scenarios"):
+        RuleSet.from_config(many)
+
+
+@pytest.mark.parametrize(
+    ("changes", "finding"),
+    [
+        ({"required_parameters": [" "]}, "required_parameters_empty"),
+        ({"required_parameters": ["humidity"]}, "parameter_unsupported: humidity"),
+        ({"scenario_mode": "standard3"}, "scenario_mode_unknown: standard3"),
+        ({"custom_scenarios": ["x"]}, "custom_scenarios_not_allowed"),
+        ({"scenario_mode": "standard_3_plus", "custom_scenarios": [""]}, "custom_scenario_blank"),
+        ({"scenario_mode": "standard_3_plus", "custom_scenarios": ["a b"]}, "scenario_id_invalid: a b"),
+        ({"weather_thresholds": {"storm": {}}}, "threshold_block_unknown: storm"),
+        ({"weather_thresholds": {"base": {"pollen": {"max": 1}}}}, "threshold_parameter_unsupported"),
+        ({"weather_thresholds": {"base": {"rain": {"max": "12"}}}}, "threshold_max_not_numeric"),
+        ({"weather_thresholds": {"base": {"rain": {"min": "low"}}}}, "threshold_min_not_numeric"),
+        ({"weather_thresholds": {"base": {"rain": {"min": 3, "max": 2}}}}, "threshold_min_above_max"),
+    ],
+)
+def test_a_run_refuses_broken_rules(changes, finding):
+    with pytest.raises(ValueError, match=finding):
+        checked_rules(config(**changes))
+
+
+def test_blanks_around_names_are_no_finding():
+    assert config_findings(config(weather_thresholds={" base ": {" rain ": {"max": 1}, "": {}}, "": {}})) == []
 
 
 def test_thresholds_drop_blank_keys_and_non_maps():

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from workwindow.functions.calendar import local_clock
@@ -141,7 +141,8 @@ def _judged(
 
 
 def _spread(judged: DataFrame, kept: Sequence[str], verdicts: Column) -> DataFrame:
-    rows = judged.select(*kept, F.col("operational_flag").alias("_op"), F.inline(verdicts))
+    # no array of verdicts is empty; "outer" keeps Spark from testing that by computing it twice
+    rows = judged.select(*kept, F.col("operational_flag").alias("_op"), F.inline_outer(verdicts))
     flags = _flags(F.col("_op"), F.col("failing"))
     return rows.select(*kept, "scenario_id", *(c.alias(name) for name, c in flags.items()))
 
@@ -191,6 +192,11 @@ def classify_packed_by_site_rules(truth: DataFrame, packed_rules: DataFrame) ->
     ``packed_rules`` (see :func:`workwindow.rules.bysite.packed_rules`) holds one
     row per site, so the join adds no rows. No broadcast is forced: the rule
     table grows with the sites, and its measured size decides the strategy.
+
+    Nothing is judged by doubtful rules: a site without rules, with two rows of
+    rules, with broken rules or with a required parameter that the table lacks
+    fails the run. ``bysite.sites_set_aside`` and ``usable_sites`` tell such sites
+    apart beforehand.
     """
     _require_columns(truth, ["site_id", "time_utc"])
     measured = present(truth, SOURCE_FIELD)
@@ -200,8 +206,25 @@ def classify_packed_by_site_rules(truth: DataFrame, packed_rules: DataFrame) ->
     rules = packed_rules.select(
         "site_id", *(F.col(c).alias(f"_{c}") for c in packed_rules.columns if c != "site_id")
     )
-    joined = truth.join(rules, "site_id").select(
-        *base[:at], local, *base[at:], "_scenarios", "_week"
+    rules = rules.withColumn("_copies", F.count("*").over(Window.partitionBy("site_id")))
+    needed = F.flatten(F.transform("_scenarios", lambda s: F.transform(s.limits, lambda x: x.param)))
+    unmeasured = F.array_except(needed, F.array(*map(F.lit, measured)).cast("array<string>"))
+    site = F.coalesce("site_id", F.lit("NULL"))
+    trouble = (
+        F.when(F.col("_copies").isNull(), F.concat(F.lit("no rules for site "), site))
+        .when(F.col("_copies") > 1, F.concat(F.lit("several rules for site "), site))
+        .when(
+            F.size("_problems") > 0,
+            F.concat(F.lit("broken rules of site "), site, F.lit(": "), F.array_join("_problems", "; ")),
+        )
+        .when(
+            F.size(unmeasured) > 0,
+            F.concat(F.lit("no measurements for site "), site, F.lit(": "), F.array_join(unmeasured, ", ")),
+        )
+    )
+    week = F.when(trouble.isNotNull(), F.raise_error(trouble)).otherwise(F.col("_week"))
+    joined = truth.join(rules, "site_id", "left").select(
+        *base[:at], local, *base[at:], "_scenarios", week.alias("_week")
     )
     t = F.col("time_local")
     today = F.element_at("_week", F.weekday(t) + 1)

@@ -7,8 +7,6 @@ first and last run of a piece take part in joining the pieces up again.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,7 +73,10 @@ def operational_steps(
             named.alias("states"),
         )
         .filter(F.size("states") > 0)
-        .filter(reduce(and_, (F.col(c).isNotNull() for c in ("site_id", "_month", "time_utc"))))
+        .withColumn("site_id", _never_null("site_id"))
+        .withColumn("time_utc", _never_null("time_utc"))
+        # said here, so that both readers of these rows are planned alike and share them
+        .filter("site_id IS NOT NULL AND _month IS NOT NULL AND time_utc IS NOT NULL")
         .groupBy("site_id", "_month", "time_utc", "states")
         .agg(F.count("*").alias("n_steps"))
     )
@@ -83,6 +84,10 @@ def operational_steps(
     return steps.select("site_id", "_month", step).repartition("site_id", "_month")
 
 
+def _never_null(name: str) -> Column:
+    return F.coalesce(name, F.raise_error(F.lit(f"{name} must not be null")))
+
+
 def _has_scenarios(hourly: DataFrame) -> bool:
     return VERDICTS in hourly.columns or "scenario_id" in hourly.columns
 
@@ -106,12 +111,21 @@ def _piece_steps(steps: DataFrame) -> DataFrame:
         .rangeBetween(Window.unboundedPreceding, -1)
     )
     across = hours_between(F.max("last").over(earlier).time_utc, F.col("first.time_utc"))
-    whole_site = Window.partitionBy("site_id")
     full = gaps.withColumn("gap", F.coalesce("gap", across))
+    # The median by running counts over sorted gaps: windows that can spill, as
+    # jittered times give about as many different gaps as hours.
     positive = F.when(F.col("gap") > 0, F.col("gap"))
-    median = F.percentile(positive, F.lit(0.5), F.col("n")).over(whole_site)
+    whole_site = Window.partitionBy("site_id")
+    counted = F.when(F.col("gap") > 0, F.col("n")).otherwise(0)
+    ranked = (
+        full.withColumn("_gap", positive)
+        .withColumn("_upto", F.sum(counted).over(whole_site.orderBy("_gap")))
+        .withColumn("_middle", (F.sum(counted).over(whole_site) - 1) / 2)
+    )
+    lower = F.min(F.when(F.col("_upto") > F.floor("_middle"), F.col("_gap"))).over(whole_site)
+    upper = F.min(F.when(F.col("_upto") > F.ceil("_middle"), F.col("_gap"))).over(whole_site)
     return (
-        full.withColumn("step_hours", F.coalesce(median, F.lit(1.0)))
+        ranked.withColumn("step_hours", F.coalesce((lower + upper) / 2, F.lit(1.0)))
         .groupBy("site_id", "_month")
         .agg(F.first("step_hours").alias("step_hours"))
     )
@@ -136,7 +150,7 @@ def _piece_runs(steps: DataFrame) -> DataFrame:
         steps.join(pieces, ["site_id", "_month"])
         .select("site_id", "_month", "step.*", "step_hours")
         .select("site_id", "_month", "time_utc", F.inline("states"), "n_steps", "step_hours")
-        .filter(F.col("scenario_id").isNotNull())
+        .withColumn("scenario_id", _never_null("scenario_id"))
     )
     in_order = Window.partitionBy(*PIECE).orderBy("time_utc", "workable")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

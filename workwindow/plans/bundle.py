@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import functools
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from workwindow.functions.expr import present
@@ -43,13 +44,18 @@ class Bundle:
     meta: DataFrame
     tables: Mapping[str, DataFrame]
 
-    def write(self, path: str) -> None:
-        """One Parquet folder per table, partitioned by scenario where there is one.
+    def write(self, path: str) -> str:
+        """Write to a new folder below ``path``, check, then publish; returns that folder.
 
+        One Parquet folder per table, partitioned by scenario where there is one.
         Rebalancing lets adaptive execution cut the output into files of even
         size, also where one scenario or site dominates. Fractions are checked
-        while the rows pass by; independent tables are written side by side.
+        while the rows pass by; independent tables are written side by side. Only
+        a run that passes is named in ``path/_current``, so what was published
+        before stays whole until then, and no row of it can survive among new ones.
         """
+        root = path.rstrip("/")
+        path = f"{root}/run-{uuid.uuid4().hex}"
         watches = {name: Observation(name) for name, t in self.tables.items() if fraction_columns(t)}
 
         def save(name: str, table: DataFrame) -> None:
@@ -59,11 +65,33 @@ class Bundle:
                 table = table.observe(watches[name], *outside_counts(table))
             even = table.hint("rebalance", *split)
             even = even.sortWithinPartitions(*order) if order else even
-            even.write.mode("overwrite").partitionBy(*split).parquet(f"{path}/{name}")
+            even.write.mode("errorifexists").partitionBy(*split).parquet(f"{path}/{name}")
 
         named = {**self.tables, "run_meta": self.meta}
         at_once([functools.partial(save, name, table) for name, table in named.items()])
         reject_outside({name: watch.get for name, watch in watches.items()})
+        spark = self.meta.sparkSession
+        current = spark.range(1).select(F.lit(path).alias("folder"), F.array(*map(F.lit, sorted(named))).alias("tables"))
+        current.coalesce(1).write.mode("overwrite").parquet(f"{root}/_current")
+        return path
+
+
+def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of the run that was published last, by name (``run_meta`` among them)."""
+    current = spark.read.parquet(f"{path.rstrip('/')}/_current").first()
+    return {name: spark.read.parquet(f"{current.folder}/{name}") for name in current.tables}
+
+
+def required_tables(weather: bool, curves_: bool, visual: bool, stats_: bool) -> list[str]:
+    """Names that a bundle with these flags must hold."""
+    names = ["summary_run", "summary_monthly", "summary_yearly"]
+    names += ["loss_by_param_monthly", "loss_by_param_yearly"]
+    names += [f"streaks_{x}_operational" for x in ("nonworkable", "workable", "summary")]
+    names += ["weather_stats_monthly", "weather_stats_yearly"] * weather
+    names += ["curves_cumulative_daily", "curve_reliability_monthly"] * curves_
+    names += [f"pivot_{x}_workable_rate" for x in ("month_x_hour", "month_x_weekday", "weekday_x_hour")] * visual
+    names += ["stats_monthly_workable_rate_dist", "reliability_targets_monthly"] * stats_
+    return names
 
 
 def run_meta(rows: DataFrame, config: Mapping[str, Any], run_id: str) -> DataFrame:
@@ -110,7 +138,8 @@ def build_bundle(
     The hourly table is scanned once for both count cubes and once for the runs;
     these are written to shared storage, and every count and streak table reads
     them. Weather statistics and parameter means, which need the measurements,
-    scan it again. ``columns`` may rename ``time_local_col``, ``operational_col``,
+    scan it again. ``validate`` refuses a bundle that lacks a table its flags ask for;
+    values are checked once, while they are written. ``columns`` may rename ``time_local_col``, ``operational_col``,
     ``workable_col`` and ``limiting_col``. ``packed``, the same hours in packed
     form, makes streaks and weather statistics shuffle less.
     """
@@ -172,8 +201,5 @@ def build_bundle(
 
     rows = days.agg(F.coalesce(F.sum("n_hours"), F.lit(0)).alias("rows_hourly"))
     if validate:
-        # Tables that scan the hourly rows again are checked when they are written.
-        rescans = ("weather_stats_", "pivot_month_x_hour_param_")
-        staged = {n: t for n, t in tables.items() if not n.startswith(rescans)}
-        check_tables(staged, ["summary_run", "summary_monthly", "summary_yearly"])
+        check_tables(tables, required_tables(include_weather_stats, include_curves, include_visual, include_stats), values=False)
     return Bundle(meta=run_meta(rows, config, run_id), tables=tables)

@@ -34,6 +34,13 @@ def check_hourly(hourly: DataFrame, weather_params: Sequence[str] | None = None)
         raise ContractError("hourly table is empty")
 
 
+def key_violations(hourly: DataFrame) -> DataFrame:
+    """How many hours lack a key or a time: (column_name, n_null), columns without any left out."""
+    keys = [c for c in ("site_id", "scenario_id", "time_utc", "time_local") if c in hourly.columns]
+    counts = hourly.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in keys))
+    return counts.unpivot([], keys, "column_name", "n_null").filter("n_null > 0")
+
+
 def fraction_columns(table: DataFrame) -> list[str]:
     """Columns that promise values in [0, 1]."""
     return [
@@ -67,14 +74,18 @@ def reject_outside(counts: Mapping[str, Mapping[str, int]]) -> None:
         raise ContractError("values outside [0, 1]: " + "; ".join(bad))
 
 
-def check_tables(tables: Mapping[str, DataFrame], require: Sequence[str]) -> None:
-    """Reject a bundle with absent tables or with fractions outside [0, 1].
+def check_tables(
+    tables: Mapping[str, DataFrame], require: Sequence[str], values: bool = True
+) -> None:
+    """Reject a bundle with absent tables or, with ``values``, with fractions outside [0, 1].
 
-    One row per table comes back to the driver.
+    One row per table comes back to the driver; without ``values`` nothing runs.
     """
     absent = [name for name in require if name not in tables]
     if absent:
         raise ContractError(f"bundle lacks tables {absent}")
+    if not values:
+        return
     checked = {name: table for name, table in tables.items() if fraction_columns(table)}
     counts = at_once([lambda t=t: t.agg(*outside_counts(t)).first() for t in checked.values()])
     reject_outside({name: row.asDict() for name, row in zip(checked, counts)})

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from workwindow.operators.classify import classify, classify_packed
 from workwindow.plans.bundle import Bundle, build_bundle
-from workwindow.rules.runwide import RuleSet
+from workwindow.rules.runwide import checked_rules
 from workwindow.sources.landed import read_landed, truth_from_landed
 from workwindow.sources.truth import analysis_years, in_years, read_truth
 
 
 def run(truth: DataFrame, config: Mapping[str, Any], **options: Any) -> Bundle:
     """Report bundle of an hourly truth table under run-wide rules."""
-    rules = RuleSet.from_config(config)
+    rules = checked_rules(config)
     packed = classify_packed(truth, rules)
     return build_bundle(classify(truth, rules), config, packed=packed, **options)
 
@@ -30,7 +30,7 @@ def run_parquet(
     spark: SparkSession, path: str, config: Mapping[str, Any], **options: Any
 ) -> Bundle:
     """The same from hourly Parquet, limited to the configured years."""
-    rules = RuleSet.from_config(config)
+    rules = checked_rules(config)
     truth = read_truth(spark, path, list(rules.required), rules.timezone, _years(config))
     return run(truth, config, **options)
 
@@ -39,7 +39,7 @@ def run_landed(
     spark: SparkSession, path: str, config: Mapping[str, Any], **options: Any
 ) -> Bundle:
     """The same from landed JSON responses."""
-    rules = RuleSet.from_config(config)
+    rules = checked_rules(config)
     responses = read_landed(spark, path, rules.required)
     truth = truth_from_landed(responses, rules.required, rules.timezone)
     years = _years(config)

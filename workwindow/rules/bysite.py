@@ -36,6 +36,7 @@ CONFIG_SCHEMA = f"""
     weather_thresholds MAP<STRING, MAP<STRING, STRUCT<min: STRING, max: STRING>>>,
     calendar_model STRING,
     weekdays ARRAY<INT>,
+    custom_weekdays ARRAY<INT>,
     time_bounds {_BOUNDS},
     weekly_overrides MAP<STRING, {_BOUNDS}>
 """
@@ -60,7 +61,7 @@ def _mode() -> Column:
 
 
 def _declared_scenarios() -> Column:
-    """Ordered ids without blanks or repeats, before the cap."""
+    """Ordered ids without blanks or repeats."""
     plus = _mode() == "standard_3_plus"
     ids = F.when(plus | (_mode() == "standard_3"), _strings(STANDARD_3)).otherwise(
         _strings(BASE_ONLY)
@@ -73,7 +74,7 @@ def _declared_scenarios() -> Column:
 
 
 def scenario_ids() -> Column:
-    return F.slice(_declared_scenarios(), 1, MAX_SCENARIOS)
+    return _declared_scenarios()
 
 
 def scenario_rules(config: DataFrame) -> DataFrame:
@@ -107,17 +108,23 @@ def threshold_rules(config: DataFrame) -> DataFrame:
     ).filter((F.col("scenario_id") != "") & (F.col("param") != ""))
 
 
+def _custom_days() -> Column:
+    return F.coalesce("weekdays", "custom_weekdays", F.array().cast("array<int>"))
+
+
 def _allowed_days() -> Column:
     calendar = F.coalesce(F.col("calendar_model"), F.lit("all_days"))
     return (
-        F.when(calendar == "custom", _or_empty("weekdays", "int"))
+        F.when(calendar == "custom", _custom_days())
         .when(calendar == "mon_fri", F.sequence(F.lit(0), F.lit(4)))
         .otherwise(F.sequence(F.lit(0), F.lit(6)))
     )
 
 
 def _day_window(day: Column) -> Column:
-    override = F.try_element_at(F.col("weekly_overrides"), day.cast("string"))
+    # the key as a number, as the checks read it; the last of several wins
+    entries = F.filter(_entries("weekly_overrides"), lambda e: e["key"].try_cast("int") == day)
+    override = F.try_element_at(entries, F.lit(-1))["value"]
 
     def minutes(side: str) -> Column:
         return hhmm_to_minutes(F.coalesce(override[side], F.col(f"time_bounds.{side}")))
@@ -152,7 +159,9 @@ def packed_rules(config: DataFrame) -> DataFrame:
 
     Each scenario lists its limits in the order of the required parameters.
     """
-    required = F.filter(_or_empty("required_parameters"), lambda p: F.trim(p) != "")
+    required = F.filter(
+        F.transform(_or_empty("required_parameters"), lambda p: F.trim(p)), lambda p: p != ""
+    )
 
     def limits(scenario: Column) -> Column:
         block = F.map_entries(_named(_entries("weather_thresholds"), scenario))
@@ -175,9 +184,37 @@ def packed_rules(config: DataFrame) -> DataFrame:
         F.coalesce("timezone", F.lit("UTC")).alias("timezone"),
         scenarios.alias("scenarios"),
         week().alias("week"),
+        F.transform(
+            F.concat(_rule_findings(), _window_findings()),
+            lambda x: F.concat_ws(" ", x["rule"], x["key"], x["detail"]),
+        ).alias("problems"),
+    )
+
+
+def sites_set_aside(config: DataFrame) -> DataFrame:
+    """Sites that cannot be classified, and why: (site_id, rule, key, detail).
+
+    Those with broken rules, and those listed more than once.
+    """
+    broken = _report(config, [_rule_findings(), _window_findings()])
+    twice = config.groupBy("site_id").agg(F.count("*").alias("n")).filter("n > 1")
+    return broken.unionByName(
+        twice.select(
+            "site_id",
+            F.lit("site_listed_twice").alias("rule"),
+            F.lit("").alias("key"),
+            F.col("n").cast("string").alias("detail"),
+        )
     )
 
 
+def usable_sites(config: DataFrame) -> DataFrame:
+    """The configurations that are left when ``sites_set_aside`` are taken away."""
+    once = config.groupBy("site_id").agg(F.count("*").alias("_n")).filter("_n = 1").drop("_n")
+    sound = config.filter(F.size(F.concat(_rule_findings(), _window_findings())) == 0)
+    return sound.join(once, "site_id").select(config.columns)
+
+
 def _finding(rule: str, key: Column, detail: Column) -> Column:
     return F.struct(
         F.lit(rule).alias("rule"),
@@ -203,20 +240,31 @@ def _report(config: DataFrame, findings: list[Column]) -> DataFrame:
 
 def rule_violations(config: DataFrame) -> DataFrame:
     """Broken scenario and threshold rules: (site_id, rule, key, detail), none if all is well."""
-    required = _or_empty("required_parameters")
+    return _report(config, [_rule_findings()])
+
+
+def _rule_findings() -> Column:
+    """Names are checked without the blanks around them, blank ones not at all, as they are used."""
+    required = F.filter(
+        F.transform(_or_empty("required_parameters"), lambda p: F.trim(p)), lambda p: p != ""
+    )
     supported = _strings(SOURCE_FIELD)
     declared = _declared_scenarios()
     custom = _or_empty("custom_scenarios")
-    blocks = F.coalesce(F.map_keys("weather_thresholds"), F.array().cast("array<string>"))
+    named_blocks = F.filter(_entries("weather_thresholds"), lambda e: F.trim(e["key"]) != "")
+    blocks = F.transform(named_blocks, lambda e: F.trim(e["key"]))
     misnamed = lambda s: ~s.rlike(SCENARIO_ID_PATTERN)
     limits = F.flatten(
         F.transform(
-            _entries("weather_thresholds"),
+            named_blocks,
             lambda block: F.transform(
-                F.map_entries(block["value"]),
+                F.filter(
+                    F.coalesce(F.map_entries(block["value"]), F.array()),
+                    lambda limit: F.trim(limit["key"]) != "",
+                ),
                 lambda limit: F.struct(
-                    F.concat_ws(".", block["key"], limit["key"]).alias("key"),
-                    limit["key"].alias("param"),
+                    F.concat_ws(".", F.trim(block["key"]), F.trim(limit["key"])).alias("key"),
+                    F.trim(limit["key"]).alias("param"),
                     limit["value"]["min"].alias("min"),
                     limit["value"]["max"].alias("max"),
                 ),
@@ -232,9 +280,8 @@ def rule_violations(config: DataFrame) -> DataFrame:
     def not_numeric(side: str):
         return lambda x: x[side].isNotNull() & x[side].try_cast("double").isNull()
 
-    return _report(
-        config,
-        [
+    return F.concat(
+        *[
             _when("required_parameters_empty", F.size(required) == 0, F.lit(""), F.lit("")),
             _each("parameter_unsupported", F.array_except(required, supported)),
             _when(
@@ -318,8 +365,12 @@ def _bounds_findings(bounds: Column, prefix: str, key: Column, own_times: Column
 
 def window_violations(config: DataFrame) -> DataFrame:
     """Broken operational-window rules: (site_id, rule, key, detail)."""
+    return _report(config, [_window_findings()])
+
+
+def _window_findings() -> Column:
     calendar = F.col("calendar_model")
-    days = _or_empty("weekdays", "int")
+    days = _custom_days()
     custom = calendar == "custom"
     base = F.struct(
         F.coalesce("time_bounds.start", F.lit("fixed_time")).alias("start"),
@@ -339,9 +390,8 @@ def window_violations(config: DataFrame) -> DataFrame:
             *_bounds_findings(effective, "override", entry["key"], given),
         )
 
-    return _report(
-        config,
-        [
+    return F.concat(
+        *[
             _when(
                 "calendar_model_unknown",
                 ~F.coalesce(calendar, F.lit("all_days")).isin(*CALENDAR_MODELS),

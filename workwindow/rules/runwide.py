@@ -6,13 +6,21 @@ Column literals: classification then needs neither a join nor a shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workwindow.rules.fixed import BASE_ONLY, MAX_SCENARIOS, SOURCE_FIELD, STANDARD_3
+from workwindow.rules.fixed import (
+    BASE_ONLY,
+    MAX_SCENARIOS,
+    SCENARIO_ID_PATTERN,
+    SCENARIO_MODES,
+    SOURCE_FIELD,
+    STANDARD_3,
+)
 
 Bounds = tuple[float | None, float | None]
 
@@ -44,6 +52,8 @@ class RuleSet:
         if unknown:
             raise ValueError(f"unsupported parameters: {unknown}")
         scenarios = expand_scenarios(config.get("scenario_mode"), config.get("custom_scenarios"))
+        if len(scenarios) > MAX_SCENARIOS:
+            raise ValueError(f"{len(scenarios)} scenarios; at most {MAX_SCENARIOS} are allowed")
         limits = threshold_limits(config.get("weather_thresholds"))
         location = (config.get("project") or {}).get("location") or {}
         return cls(
@@ -88,12 +98,67 @@ def _listed(value: Any) -> list[Any]:
 
 
 def expand_scenarios(mode: Any, custom: Any = None) -> tuple[str, ...]:
-    """Ordered scenario ids of a mode, without blanks or repeats, at most ten."""
+    """Ordered scenario ids of a mode, without blanks or repeats."""
     mode = mode.strip() if isinstance(mode, str) else ""
     ids: list[str] = list(STANDARD_3 if mode in ("standard_3", "standard_3_plus") else BASE_ONLY)
     if mode == "standard_3_plus":
         ids += [str(c).strip() for c in _listed(custom)]
-    return tuple(dict.fromkeys(i for i in ids if i))[:MAX_SCENARIOS]
+    return tuple(dict.fromkeys(i for i in ids if i))
+
+
+def config_findings(config: Mapping[str, Any]) -> list[str]:
+    """What is wrong with the scenarios and limits of a configuration; empty if all is well.
+
+    Ids and names are checked without the blanks around them, as they are used.
+    """
+    mode = config.get("scenario_mode")
+    mode = mode.strip() if isinstance(mode, str) else "" if mode is None else str(mode)
+    custom = [str(c if c is not None else "").strip() for c in _listed(config.get("custom_scenarios"))]
+    required = [str(p).strip() for p in _listed(config.get("required_parameters"))]
+    required = [p for p in required if p]
+    declared = expand_scenarios(mode, custom)
+    found = [] if required else ["required_parameters_empty"]
+    found += [f"parameter_unsupported: {p}" for p in required if p not in SOURCE_FIELD]
+    if mode and mode not in SCENARIO_MODES:
+        found.append(f"scenario_mode_unknown: {mode}")
+    if custom and mode != "standard_3_plus":
+        found.append(f"custom_scenarios_not_allowed: {mode or 'base_only'}")
+    found += ["custom_scenario_blank" for c in custom if not c]
+    found += [f"scenario_id_invalid: {s}" for s in declared if not re.search(SCENARIO_ID_PATTERN, s)]
+    if len(declared) > MAX_SCENARIOS:
+        found.append(f"too_many_scenarios: {len(declared)}")
+    blocks = config.get("weather_thresholds") or {}
+    for name, block in blocks.items() if isinstance(blocks, Mapping) else ():
+        name = str(name if name is not None else "").strip()
+        if not name:
+            continue
+        if name not in declared:
+            found.append(f"threshold_block_unknown: {name}")
+        if not re.search(SCENARIO_ID_PATTERN, name):
+            found.append(f"threshold_block_id_invalid: {name}")
+        for param, limit in block.items() if isinstance(block, Mapping) else ():
+            param = str(param if param is not None else "").strip()
+            if not param:
+                continue
+            if param not in SOURCE_FIELD:
+                found.append(f"threshold_parameter_unsupported: {name}.{param}")
+            sides = [limit.get(s) for s in ("min", "max")] if isinstance(limit, Mapping) else []
+            numeric = [isinstance(v, (int, float)) and not isinstance(v, bool) for v in sides]
+            found += [
+                f"threshold_{s}_not_numeric: {name}.{param}"
+                for s, v, ok in zip(("min", "max"), sides, numeric)
+                if v is not None and not ok
+            ]
+            if sides and all(numeric) and sides[0] > sides[1]:
+                found.append(f"threshold_min_above_max: {name}.{param}")
+    return found
+
+
+def checked_rules(config: Mapping[str, Any]) -> RuleSet:
+    """The rules of a configuration, refused before any work if something is wrong."""
+    if findings := config_findings(config):
+        raise ValueError("configuration refused: " + "; ".join(findings))
+    return RuleSet.from_config(config)
 
 
 def threshold_limits(thresholds: Any) -> dict[str, dict[str, Bounds]]:

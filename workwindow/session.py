@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -21,7 +19,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot never compiles longer methods; above this, plain operators are faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # A report run has a few hundred generated classes; the default keeps a hundred.
@@ -44,21 +41,14 @@ def build_session(app: str = "workwindow", **extra: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder of its own.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir`` or the context's own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
+        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        configured = found.get() if found.isDefined() else None
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_fallback(spark.sparkContext.applicationId)
-
-
-@functools.cache
-def _local_fallback(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"workwindow-{application_id}-")
+    return configured.rstrip("/")
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
