@@ -336,5 +336,6 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     rows that repeat a doc_id one stays. Rows without doc_id stay."""
     stay = near_duplicates(documents).filter("doc_id = class_id").select("doc_id").distinct()
     columns = documents.columns
-    named = documents.join(stay, "doc_id").dropDuplicates(["doc_id"]).select(columns)
+    # one exchange of the texts by doc_id serves the join and the removal of repeated rows
+    named = documents.join(stay.hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select(columns)
     return named.unionByName(documents.filter("doc_id IS NULL"))
