@@ -206,7 +206,7 @@ QUERIES: dict[str, Query] = {
     "weather_stats_monthly": _packed(lambda h: weather.weather_stats_monthly(h, fx.PARAMS)),
     "weather_stats_yearly": _packed(lambda h: weather.weather_stats_yearly(h, fx.PARAMS)),
     "weather_stats_yearly_ranged": _lineitem(
-        lambda h: weather.weather_stats_yearly(h, fx.PARAMS, hot_hours=1000)
+        lambda h: weather.weather_stats_yearly(h, fx.PARAMS)
     ),
     "curves_cumulative_daily": _lineitem(curves.curves_cumulative_daily),
     "monthly_rate": _lineitem(stats.monthly_rate),

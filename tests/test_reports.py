@@ -8,7 +8,6 @@ from workwindow.functions.calendar import with_calendar
 from workwindow.operators import curves, loss, pivots, stats, summary, weather
 from workwindow.operators.classify import classify
 from workwindow.operators.counts import clock_cube, count_cubes, day_cube
-from workwindow.operators.quantiles import ranged_percentiles
 from workwindow.rules.runwide import RuleSet
 
 
@@ -174,14 +173,9 @@ def test_weather_of_a_large_steady_reading(spark):
 def test_weather_with_missing_values(spark):
     values = [1.0, float("nan"), None, 4.0] * 6
     df = classify(truth(spark, hours(24), temperature=values), RuleSet.from_config(config()))
-    for hot in (1_000_000, 5):
-        row = (
-            weather.weather_stats_monthly(df, ["temperature"], hot_hours=hot)
-            .filter("context = 'all'")
-            .first()
-        )
-        assert (row.n_hours, row.missing_rate, row["min"], row["max"]) == (24, 0.5, 1.0, 4.0)
-        assert row["mean"] == 2.5 and row.p50 == 2.5
+    row = weather.weather_stats_monthly(df, ["temperature"]).filter("context = 'all'").first()
+    assert (row.n_hours, row.missing_rate, row["min"], row["max"]) == (24, 0.5, 1.0, 4.0)
+    assert row["mean"] == 2.5 and row.p50 == 2.5
     mean = pivots.pivot_month_x_hour_param_mean_operational(df, ["temperature"])
     assert mean.agg(F.sum("n_hours")).first()[0] == 8
     with pytest.raises(ValueError):
@@ -191,22 +185,14 @@ def test_weather_with_missing_values(spark):
 def test_context_without_a_reading_still_has_a_row(spark):
     cfg = config(weather_thresholds={"base": {}})
     df = classify(truth(spark, hours(24), temperature=[None] * 24), RuleSet.from_config(cfg))
-    for hot in (1_000_000, 5):
-        row = weather.weather_stats_monthly(df, ["temperature"], hot_hours=hot).filter("context='all'").first()
-        assert (row.n_hours, row.missing_rate, row["mean"], row.p50) == (24, 1.0, None, None)
+    row = weather.weather_stats_monthly(df, ["temperature"]).filter("context='all'").first()
+    assert (row.n_hours, row.missing_rate, row["mean"], row.p50) == (24, 1.0, None, None)
 
 
-def test_ranged_percentiles_match_the_built_in(spark):
-    probabilities = [0.0, 0.05, 0.5, 0.9, 1.0]
-    values = spark.range(20_000).select(
-        (F.col("id") % 3).alias("k"),
-        F.round(F.rand(7) * F.when(F.col("id") % 3 == 0, 10).otherwise(100), 2).alias("value"),
-    )
-    values = values.groupBy("k", "value").agg(F.count("*").alias("n")).cache()
-    levels = F.array(*(F.lit(p) for p in probabilities))
-    want = values.groupBy("k").agg(F.percentile("value", levels, F.col("n")).alias("q"))
-    got = ranged_percentiles(values, ["k"], probabilities)
-    pairs = got.join(want, "k").collect()
-    assert len(pairs) == 3
-    for row in pairs:
-        assert row.quantiles == pytest.approx(row.q)
+def test_quantiles_match_the_built_in_ones(spark):
+    values = [float(v) for v in (3, 1, 1, 1, 8, 2, 2, 9, 4, 4, 4, 7)] * 2
+    df = classify(truth(spark, hours(24), temperature=values), RuleSet.from_config(config()))
+    row = weather.weather_stats_monthly(df, ["temperature"]).filter("context = 'all'").first()
+    for name, level in weather.QUANTILES.items():
+        want = df.agg(F.percentile("temperature", F.lit(level))).first()[0]
+        assert row[name] == pytest.approx(want)

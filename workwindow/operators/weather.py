@@ -9,17 +9,11 @@ from pyspark.sql import functions as F
 
 from workwindow.functions.expr import known, present, ratio_or_null
 from workwindow.operators.classify import KEYS, scenario_states
-from workwindow.operators.quantiles import ranged_percentiles
-from workwindow.session import stage
 
 # Reported quantiles and contexts.
 QUANTILES = {"p05": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
 CONTEXTS = ("all", "operational", "workable", "blocked_operational")
 
-# Groups of more hours than this are ranked in value ranges, not in one buffer.
-# A year of one-minute rows is 527,040, so ordinary series stay below.
-HOT_HOURS = 1_000_000
-
 
 def _value_counts(
     hourly: DataFrame, params: Sequence[str], period: Sequence[str], columns: dict[str, str]
@@ -84,67 +78,52 @@ def _moments() -> dict[str, Column]:
     }
 
 
-def _in_buffers(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Figures of groups that fit one task each: moments and buffered percentiles.
+def _figures(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Moments and exact quantiles of every group, whatever its size.
 
-    The window places all values of a site, period and parameter; scenarios and
-    contexts multiply them only after that exchange.
+    The window over ``dims`` places all values of a site, period and parameter;
+    scenarios and contexts multiply them only after that exchange, and the ranks
+    inside a group are running counts over its sorted values, which can spill.
     """
     centered = counts.withColumn("center", F.avg("value").over(Window.partitionBy(*dims)))
     members = _in_contexts(centered, dims)
-    levels = F.array(*(F.lit(q) for q in QUANTILES.values()))
-    return members.groupBy(*_groups(members, dims)).agg(
+    groups = _groups(members, dims)
+    group = Window.partitionBy(*groups)
+    known_n = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    ranked = members.withColumn("_upto", F.sum(known_n).over(group.orderBy("value"))).withColumn(
+        "_last", F.sum(known_n).over(group) - 1
+    )
+
+    def ranks(i: int, p: float) -> list[Column]:
+        at = F.col("_last") * F.lit(float(p))
+        ends = {"low": F.floor(at), "high": F.ceil(at)}
+        return [
+            F.min(F.when(F.col("_upto") > rank, F.col("value"))).alias(f"_{end}{i}")
+            for end, rank in ends.items()
+        ]
+
+    levels = list(QUANTILES.values())
+    picked = ranked.groupBy(*groups).agg(
         *(c.alias(name) for name, c in _moments().items()),
-        F.percentile("value", levels, F.col("n")).alias("quantiles"),
+        *(c for i, p in enumerate(levels) for c in ranks(i, p)),
     )
 
+    def between(i: int, p: float) -> Column:
+        at = (F.col("n_known") - 1) * F.lit(float(p))
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        return low + (at - F.floor(at)) * (high - low)
 
-def _in_ranges(counts: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """The same figures for groups of any size, ranked in value ranges."""
-    centers = counts.groupBy(*dims).agg(F.avg("value").alias("center"))
-    members = _in_contexts(counts.join(F.broadcast(centers), dims), dims)
-    groups = _groups(members, dims)
-    moments = members.groupBy(*groups).agg(*(c.alias(name) for name, c in _moments().items()))
-    measured = members.filter(F.col("value").isNotNull())
-    quantiles = ranged_percentiles(measured, groups, list(QUANTILES.values()))
-    return moments.join(quantiles, groups, "left")
+    return picked.withColumn("quantiles", F.array(*(between(i, p) for i, p in enumerate(levels))))
 
 
 def _weather_stats(
     hourly: DataFrame,
     params: Sequence[str],
     period: Sequence[str],
-    group_hours: DataFrame | None,
-    hot_hours: int,
     columns: dict[str, str],
 ) -> DataFrame:
-    keys = [*present(hourly, ["site_id"]), *period]
-    dims = [*keys, "param"]
-    counts = _value_counts(hourly, params, period, columns)
-    if group_hours is None:
-        t = F.col(columns.get("time_local_col", "time_local"))
-        group_hours = hourly.select(
-            *present(hourly, ["site_id"]),
-            F.year(t).alias("year"),
-            F.month(t).alias("month"),
-            F.lit(1).alias("n_hours"),
-        )
-    # Every hot group has over hot_hours rows behind it, so there is at most one per
-    # hot_hours input rows and the list can be broadcast at any table size.
-    oversized = (
-        group_hours.groupBy(*keys)
-        .agg(F.sum("n_hours").alias("n"))
-        .filter(F.col("n") > hot_hours)
-        .select(*keys)
-    )
-    if oversized.isEmpty():
-        figures = _in_buffers(counts, dims)
-    else:
-        hot = F.broadcast(stage(oversized, "oversized-groups"))
-        hot_counts = stage(counts.join(hot, keys, "left_semi"), "oversized-values")
-        figures = _in_buffers(counts.join(hot, keys, "left_anti"), dims).unionByName(
-            _in_ranges(hot_counts, dims)
-        )
+    dims = [*present(hourly, ["site_id"]), *period, "param"]
+    figures = _figures(_value_counts(hourly, params, period, columns), dims)
     known_hours, off = F.col("n_known"), F.col("off")
     spread = F.greatest(F.col("off2") - F.try_divide(off * off, known_hours), F.lit(0.0))
     return figures.select(
@@ -163,26 +142,14 @@ def _weather_stats(
 
 
 def weather_stats_monthly(
-    hourly: DataFrame,
-    params: Sequence[str],
-    group_hours: DataFrame | None = None,
-    hot_hours: int = HOT_HOURS,
-    **columns: str,
+    hourly: DataFrame, params: Sequence[str], **columns: str
 ) -> DataFrame:
     """Count, missing rate, mean, sample deviation, extremes and exact quantiles per month.
 
-    One small job looks for oversized groups before the plan is chosen;
-    ``group_hours``, a counts frame of the same hours, spares its scan. ``hourly``
-    may be packed or have one row per scenario.
+    ``hourly`` may be packed or have one row per scenario.
     """
-    return _weather_stats(hourly, params, ("year", "month"), group_hours, hot_hours, columns)
+    return _weather_stats(hourly, params, ("year", "month"), columns)
 
 
-def weather_stats_yearly(
-    hourly: DataFrame,
-    params: Sequence[str],
-    group_hours: DataFrame | None = None,
-    hot_hours: int = HOT_HOURS,
-    **columns: str,
-) -> DataFrame:
-    return _weather_stats(hourly, params, ("year",), group_hours, hot_hours, columns)
+def weather_stats_yearly(hourly: DataFrame, params: Sequence[str], **columns: str) -> DataFrame:
+    return _weather_stats(hourly, params, ("year",), columns)

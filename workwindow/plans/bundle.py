@@ -171,7 +171,7 @@ def build_bundle(
             ("weather_stats_monthly", weather.weather_stats_monthly),
             ("weather_stats_yearly", weather.weather_stats_yearly),
         ):
-            tables[name] = op(dense, params, group_hours=days, **columns)
+            tables[name] = op(dense, params, **columns)
     if include_curves:
         tables["curves_cumulative_daily"] = curves.curves_cumulative_daily(days)
         tables["curve_reliability_monthly"] = curves.curve_reliability_monthly(days)
