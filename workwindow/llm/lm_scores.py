@@ -1,9 +1,8 @@
 """Stupid-backoff language model scores of documents against the rest of the corpus.
 
 The model has words and word pairs; each text starts with a start mark. A word w after v
-scores c(v w) / c(v) if the pair occurs elsewhere, else ``BACKOFF`` * c(w) / N. All counts
-are of the whole corpus less the document's own, so no document vouches for itself; a
-word that occurs nowhere else counts once.
+scores c'(v w) / c(v) if the pair occurs in other documents, c' times, else ``BACKOFF`` *
+c(w) / N: no document vouches for its own pairs. Counts are of the whole corpus.
 
 1. The unigram table counts all words, combined per task before its shuffle.
 2. Pairs are exploded once per document and carried in blocks: one row per slice of
@@ -38,12 +37,12 @@ from workwindow.llm.common import mix, parts_of, slices, text_buffers, word_hash
 from workwindow.session import stage
 
 BACKOFF = 0.4
-PASSES = 5
+PASSES = 3
 #: Bytes of text that make one slice, and of a part of the pairs in one pass.
-SLICE, PART = 2 << 20, 64 << 20
+SLICE, PART = 2 << 20, 24 << 20
 START = 0x2545F4914F6CDD1D
 _PAIR = np.uint64(0x9FB21C651E98DF25)
-_BLOCK = "part int, slice bigint, docs array<int>, a array<bigint>, b array<bigint>, n array<int>, na array<int>, nb array<int>"
+_BLOCK = "part int, slice bigint, docs array<smallint>, a array<bigint>, b array<bigint>, n array<int>"
 
 
 def unigrams(documents: DataFrame) -> DataFrame:
@@ -85,7 +84,7 @@ def _list(values: np.ndarray, ends: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
 
 
-def _lists(parts: np.ndarray, slice_ids: np.ndarray, n_parts: int, columns: list[tuple[np.ndarray, object]]):
+def _lists(parts: np.ndarray, slice_ids: np.ndarray, columns: list[tuple[np.ndarray, object]]):
     """Block rows from entries: grouped by part and slice."""
     order = np.lexsort((slice_ids, parts))
     parts, slice_ids = parts[order], slice_ids[order]
@@ -100,7 +99,8 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
     word counts of its documents."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 20
+        names = ["part", "slice", "docs", "a", "b", "n"]
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 number += 1
@@ -110,36 +110,35 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
                 before = np.empty_like(words)
                 before[1:] = words[:-1]
                 before[first[:-1][n_words > 0]] = START
-                own = mix(row.astype(np.uint64) + np.uint64(1))
-                # counts of words and pairs in their own text
-                _, inverse, n_own = np.unique(words ^ own, return_inverse=True, return_counts=True)
-                of_word = n_own[inverse]
-                of_before = np.ones(len(words), np.int64)
-                of_before[1:] = of_word[:-1]
-                of_before[first[:-1][n_words > 0]] = 1
                 pair = mix(before * _PAIR + words)
                 chosen = np.flatnonzero(pair % np.uint64(passes) == range_)
-                _, at, n_pair = np.unique(pair[chosen] ^ own[chosen], return_index=True, return_counts=True)
+                own = mix(row[chosen].astype(np.uint64) + np.uint64(1))
+                _, at, n_pair = np.unique(pair[chosen] ^ own, return_index=True, return_counts=True)
                 at = chosen[at]
+                # contexts side by side, so that they pack well
+                order = np.argsort(before[at])
+                at, n_pair = at[order], n_pair[order]
                 parts = ((pair[at] >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-                columns = [(row[at], pa.int32()), (before[at].view(np.int64), pa.int64()), (words[at].view(np.int64), pa.int64()),
-                           (n_pair, pa.int32()), (of_before[at], pa.int32()), (of_word[at], pa.int32())]
+                columns = [
+                    (row[at], pa.int16()),
+                    (before[at].view(np.int64), pa.int64()),
+                    (words[at].view(np.int64), pa.int64()),
+                    (n_pair, pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(_lists(parts, np.full(len(at), number), columns), names)
+                ids = part.column("doc_id").cast(pa.int64())
+                # the ids and word counts of the slice travel along, told by a null b
                 yield pa.RecordBatch.from_arrays(
-                    _lists(parts, np.full(len(at), number), n_parts, columns), ["part", "slice", "docs", "a", "b", "n", "na", "nb"]
+                    [
+                        pa.array([number % n_parts], pa.int32()),
+                        pa.array([number], pa.int64()),
+                        _list(np.arange(len(ids)), [0, len(ids)], pa.int16()),
+                        pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                        pa.array([None], pa.list_(pa.int64())),
+                        _list(n_words, [0, len(ids)], pa.int32()),
+                    ],
+                    names,
                 )
-                ids = part.column("doc_id").cast(pa.int64())
-                # the ids and word counts of the slice travel along, told by a null nb
-                everyone = [
-                    pa.array([number % n_parts], pa.int32()),
-                    pa.array([number], pa.int64()),
-                    _list(np.arange(len(ids)), [0, len(ids)], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                    pa.array([[]], pa.list_(pa.int64())),
-                    _list(n_words, [0, len(ids)], pa.int32()),
-                    pa.array([[]], pa.list_(pa.int32())),
-                    pa.array([None], pa.list_(pa.int32())),
-                ]
-                yield pa.RecordBatch.from_arrays(everyone, ["part", "slice", "docs", "a", "b", "n", "na", "nb"])
 
     return documents.select("doc_id", "text").mapInArrow(explode, _BLOCK)
 
@@ -153,18 +152,20 @@ def _slices_of(table: pa.Table) -> np.ndarray:
     return np.repeat(np.asarray(table.column("slice")), lengths)
 
 
-_REQUEST = "part int, slice bigint, docs array<int>, word array<bigint>, n array<int>, own array<int>, score array<double>"
+_REQUEST = (
+    "part int, slice bigint, docs array<smallint>, word array<bigint>, n array<int>, score array<double>, whole boolean"
+)
 
 
 def _count_pairs(n_parts: int):
     def count(group: pa.Table) -> pa.Table:
-        passing = group.filter(group.column("nb").is_null()).select(["part", "slice", "docs", "a", "n"])
+        passing = group.filter(group.column("b").is_null()).select(["part", "slice", "docs", "a", "n"])
         passing = passing.rename_columns(["part", "slice", "docs", "word", "n"])
-        group = group.filter(group.column("nb").is_valid())
+        passing = passing.append_column("whole", pa.array([True] * len(passing), pa.bool_()))
+        group = group.filter(group.column("b").is_valid())
         slice_ids, docs = _slices_of(group), _flat(group, "docs")
-        a, b = _flat(group, "a").view(np.uint64), _flat(group, "b").view(np.uint64)
-        n, na, nb = (_flat(group, c).astype(np.int64) for c in ("n", "na", "nb"))
-        pair = mix(a * _PAIR + b)
+        a, b, n = _flat(group, "a"), _flat(group, "b"), _flat(group, "n").astype(np.int64)
+        pair = mix(a.view(np.uint64) * _PAIR + b.view(np.uint64))
         order = np.argsort(pair)
         starts = _runs(pair[order])
         total = np.add.reduceat(n[order], starts) if len(starts) else n
@@ -173,58 +174,72 @@ def _count_pairs(n_parts: int):
         elsewhere -= n
         found = elsewhere > 0
         # found: log of the pair's count now, less that of its context; else the word's count
-        word, own, sign = np.where(found, a, b), np.where(found, na, nb), np.where(found, -n, n)
-        score = np.where(found, n * np.log(np.maximum(elsewhere, 1)), 0.0)
-        parts = ((word >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-        columns = [(docs, pa.int32()), (word.view(np.int64), pa.int64()), (sign, pa.int32()), (own, pa.int32()), (score, pa.float64())]
-        asked = pa.table(_lists(parts, slice_ids, n_parts, columns), ["part", "slice", "docs", "word", "n", "own", "score"])
-        return _both(asked, passing)
+        word = np.where(found, a, b)
+        parts = ((word.view(np.uint64) >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
+        columns = [(docs, pa.int16()), (word, pa.int64()), (np.where(found, -n, n), pa.int32())]
+        asked = pa.table(_lists(parts, slice_ids, columns), ["part", "slice", "docs", "word", "n"])
+        asked = asked.append_column("score", pa.nulls(len(asked), pa.list_(pa.float64())))
+        asked = asked.append_column("whole", pa.array([False] * len(asked), pa.bool_()))
+        # what is known now, added up per document
+        sums = _summed_up(slice_ids, docs, {"score": np.where(found, n * np.log(np.maximum(elsewhere, 1)), 0.0)})
+        part = pa.array(np.mod(np.asarray(sums.column("slice")), n_parts), pa.int32())
+        return _both(asked, sums.append_column("part", part), passing)
 
     return count
 
 
-_SUMS = "slice bigint, docs array<int>, ids array<bigint>, n_words array<int>, score array<double>, backed array<bigint>"
+def _summed_up(slice_ids: np.ndarray, docs: np.ndarray, values: dict[str, np.ndarray]) -> pa.Table:
+    """Sums by slice and document, a row a slice."""
+    key = slice_ids * 65536 + docs  # a slice has fewer rows
+    key, at = np.unique(key, return_inverse=True)
+    slice_ids, docs = key >> 16, key & 65535
+    starts = _runs(slice_ids)
+    ends = np.append(starts, len(key))
+    columns = {"slice": pa.array(slice_ids[starts], pa.int64()), "docs": _list(docs, ends, pa.int16())}
+    for name, value in values.items():
+        kind = pa.float64() if value.dtype == np.float64 else pa.int64()
+        columns[name] = _list(np.bincount(at, value, len(key)).astype(value.dtype), ends, kind)
+    return pa.table(columns)
+
+
+_SUMS = "slice bigint, docs array<smallint>, ids array<bigint>, n_words array<int>, score array<double>, backed array<bigint>"
 
 
 def _score(total: int):
     """Joins requests with the unigram counts of their part and adds up per document."""
 
     def score(requests: pa.Table, table: pa.Table) -> pa.Table:
-        passing = requests.filter(requests.column("own").is_null()).select(["slice", "docs", "word", "n"])
+        has_score = requests.column("score").is_valid()
+        known = requests.filter(has_score).select(["slice", "docs", "score"])
+        requests = requests.filter(pa.compute.invert(has_score))
+        whole = requests.column("whole")
+        passing = requests.filter(whole).select(["slice", "docs", "word", "n"])
         passing = passing.rename_columns(["slice", "docs", "ids", "n_words"])
-        requests = requests.filter(requests.column("own").is_valid())
+        requests = requests.filter(pa.compute.invert(whole))
         names, counts = np.asarray(table.column("word")), np.asarray(table.column("n"))
         order = np.argsort(names)
         names, counts = names[order], counts[order]
         slice_ids, docs = _slices_of(requests), _flat(requests, "docs").astype(np.int64)
-        word, n, own = _flat(requests, "word"), _flat(requests, "n").astype(np.int64), _flat(requests, "own").astype(np.int64)
-        elsewhere = counts[np.searchsorted(names, word)] - own if len(word) else own
-        value = n * np.log(np.maximum(elsewhere, 1)) + _flat(requests, "score")
-        value += np.where(n > 0, n * np.log(BACKOFF / max(total, 1)), 0.0)
-        places, at = np.unique(np.stack((slice_ids, docs), 1), axis=0, return_inverse=True) if len(docs) else (np.zeros((0, 2), np.int64), docs)
-        at = at.ravel()
-        sums = np.bincount(at, value, len(places))
-        backed = np.bincount(at, np.maximum(n, 0), len(places)).astype(np.int64)
-        starts = _runs(places[:, 0])
-        ends = np.append(starts, len(places))
-        found = pa.table(
-            [pa.array(places[starts, 0], pa.int64()), _list(places[:, 1], ends, pa.int32()), _list(sums, ends, pa.float64()), _list(backed, ends, pa.int64())],
-            ["slice", "docs", "score", "backed"],
-        )
-        none = {"ids": pa.nulls(len(found), pa.list_(pa.int64())), "n_words": pa.nulls(len(found), pa.list_(pa.int32()))}
-        for name, column in none.items():
-            found = found.append_column(name, column)
-        return _both(found, passing).select(["slice", "docs", "ids", "n_words", "score", "backed"])
+        word, n = _flat(requests, "word"), _flat(requests, "n").astype(np.int64)
+        count = counts[np.searchsorted(names, word)] if len(word) else n
+        value = n * np.log(count) + np.where(n > 0, n * np.log(BACKOFF / max(total, 1)), 0.0)
+        found = _summed_up(slice_ids, docs, {"score": value, "backed": np.maximum(n, 0)})
+        for name, kind in (("ids", pa.int64()), ("n_words", pa.int32())):
+            found = found.append_column(name, pa.nulls(len(found), pa.list_(kind)))
+        return _both(found, known, passing).select(["slice", "docs", "ids", "n_words", "score", "backed"])
 
     return score
 
 
-def _both(rows: pa.Table, passing: pa.Table) -> pa.Table:
-    """``rows`` and those that only pass through, which lack some of the columns."""
-    missing = [f for f in rows.schema if f.name not in passing.column_names]
-    for field in missing:
-        passing = passing.append_column(field.name, pa.nulls(len(passing), field.type))
-    return pa.concat_tables([rows, passing.select(rows.column_names).cast(rows.schema)])
+def _both(rows: pa.Table, *others: pa.Table) -> pa.Table:
+    """``rows`` and tables that lack some of their columns."""
+    tables = [rows]
+    for other in others:
+        for field in rows.schema:
+            if field.name not in other.column_names:
+                other = other.append_column(field.name, pa.nulls(len(other), field.type))
+        tables.append(other.select(rows.column_names).cast(rows.schema))
+    return pa.concat_tables(tables)
 
 
 def _by_document(group: pa.Table) -> pa.Table:
@@ -237,11 +252,16 @@ def _by_document(group: pa.Table) -> pa.Table:
             "doc_id": ids,
             "n_words": pa.array(_flat(holder, "n_words"), pa.int64()),
             "score": pa.array(np.bincount(docs, _flat(sums, "score"), len(ids)), pa.float64()),
-            "backed": pa.array(np.bincount(docs, _flat(sums, "backed"), len(ids)).astype(np.int64)),
+            "backed": pa.array(_backed(sums, len(ids))),
         }
     )
 
 
+def _backed(sums: pa.Table, n: int) -> np.ndarray:
+    sums = sums.filter(sums.column("backed").is_valid())
+    return np.bincount(_flat(sums, "docs").astype(np.int64), _flat(sums, "backed"), n).astype(np.int64)
+
+
 def _release(spark: SparkSession) -> None:
     """Let Spark drop the shuffles of a pass whose result is written."""
     gc.collect()
@@ -256,7 +276,7 @@ def lm_scores(documents: DataFrame, passes: int = PASSES) -> DataFrame:
         documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0],
         counts.filter(F.col("word") != START).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0],
     )
-    n_parts = max(1, -(-size // (PART * passes)) * 2)
+    n_parts = max(1, -(-size // (PART * passes)))
     part_of = F.pmod(F.shiftrightunsigned("word", 20), F.lit(n_parts)).cast("int")
     counts = counts.withColumn("part", part_of)
     results = []

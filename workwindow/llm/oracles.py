@@ -202,16 +202,17 @@ WITH words AS (
 pairs AS (
   SELECT doc_id, unnest(['<start>'] || ['=' || x for x in w[:-2]]) AS a, unnest(['=' || x for x in w]) AS b
   FROM words WHERE len(w) > 0),
-own AS (SELECT doc_id, b AS word, count(*) AS n FROM pairs GROUP BY ALL
-  UNION ALL SELECT doc_id, '<start>', 1 FROM pairs GROUP BY doc_id),
-unigrams AS (SELECT word, sum(n)::BIGINT AS n FROM own GROUP BY word),
+unigrams AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT b AS word FROM pairs
+    UNION ALL SELECT a FROM pairs WHERE a = '<start>')
+  GROUP BY word),
 own_pairs AS (SELECT doc_id, a, b, count(*) AS n FROM pairs GROUP BY ALL),
 bigrams AS (SELECT a, b, sum(n)::BIGINT AS n FROM own_pairs GROUP BY ALL),
 scored AS (
-  SELECT p.doc_id, p.n, g.n - p.n AS pair, ua.n - oa.n AS context, greatest(ub.n - ob.n, 1) AS word
+  SELECT p.doc_id, p.n, g.n - p.n AS pair, ua.n AS context, ub.n AS word
   FROM own_pairs p JOIN bigrams g ON p.a = g.a AND p.b = g.b
-    JOIN unigrams ua ON ua.word = p.a JOIN own oa ON oa.doc_id = p.doc_id AND oa.word = p.a
-    JOIN unigrams ub ON ub.word = p.b JOIN own ob ON ob.doc_id = p.doc_id AND ob.word = p.b),
+    JOIN unigrams ua ON ua.word = p.a JOIN unigrams ub ON ub.word = p.b),
 sums AS (
   SELECT doc_id, sum(n) AS n_words, sum(CASE WHEN pair > 0 THEN 0 ELSE n END) AS n_backed_off,
     sum(n * CASE WHEN pair > 0 THEN ln(pair / context)
