@@ -15,7 +15,7 @@ def with_shared_dir(spark: SparkSession) -> SparkSession:
     set_already = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not set_already and context._jsc.sc().getCheckpointDir().isEmpty():
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="workwindow-"))
     return spark

@@ -3,11 +3,55 @@
 from __future__ import annotations
 
 import json
+from typing import NamedTuple
 
 from checks import fixtures as fx
-from workwindow.operators.curves import RELIABILITY_THRESHOLDS
-from workwindow.operators.weather import QUANTILES
-from workwindow.rules.fixed import SOURCE_FIELD
+
+# Stated here once more, not taken from the code under test.
+RELIABILITY_THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 1.0)
+QUANTILES = {"p05": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
+SOURCE_FIELD = {"wind_speed": "wind_speed_10m", "precipitation": "precipitation"}
+
+
+class Day(NamedTuple):
+    allowed: bool
+    start_min: int
+    end_min: int
+
+
+class Stated(NamedTuple):
+    """What a fixture's configuration means: limits as (min, max), hours as minutes."""
+
+    limits: dict[str, dict[str, tuple]]
+    week: list[Day]
+    scenarios: tuple = ("base", "conservative", "optimistic")
+    required: tuple = ("temperature", "wind_speed", "precipitation")
+
+    def bounds(self, scenario: str, param: str) -> tuple:
+        return self.limits[scenario][param]
+
+
+def _at_most(temperature, wind, rain) -> dict:
+    return {"temperature": (None, temperature), "wind_speed": (None, wind), "precipitation": (None, rain)}
+
+
+def _cold(temperature, wind, rain) -> dict:
+    return {"temperature": (temperature, None), "wind_speed": (None, wind), "precipitation": (None, rain)}
+
+
+NINE_TO_FIVE = [Day(True, 540, 1020)] * 7
+EVENTS_FACTS = Stated(
+    {"base": _at_most(100, 90, 7), "conservative": _at_most(60, 70, 5), "optimistic": _at_most(200, 98, 9)},
+    NINE_TO_FIVE,
+)
+LINEITEM_FACTS = Stated(
+    {"base": _cold(0.01, 45, 0.09), "conservative": _cold(0.02, 35, 0.07), "optimistic": _cold(0.01, 49, 0.1)},
+    NINE_TO_FIVE,
+)
+OVERRIDE_FACTS = EVENTS_FACTS._replace(
+    week=[*NINE_TO_FIVE[:4], Day(True, 540, 720), NINE_TO_FIVE[5], Day(True, 390, 1215)]
+)
+WEEKDAYS_FACTS = EVENTS_FACTS._replace(week=[Day(d in (0, 2, 4, 5), 540, 1020) for d in range(7)])
 
 LOCAL = f"(time_utc AT TIME ZONE 'UTC') AT TIME ZONE '{fx.ZONE}'"
 MEASURED = ", ".join(fx.PARAMS)
@@ -74,8 +118,8 @@ c AS (SELECT site_id, time_utc, time_local, {MEASURED}, scenario_id,
   FROM stacked)"""
 
 
-EVENTS = _classified(TRUTH_EVENTS, fx.EVENTS_RULES)
-LINEITEM = _classified(TRUTH_LINEITEM, fx.LINEITEM_RULES)
+EVENTS = _classified(TRUTH_EVENTS, EVENTS_FACTS)
+LINEITEM = _classified(TRUTH_LINEITEM, LINEITEM_FACTS)
 K = "site_id, scenario_id"
 TIMES = "site_id, CAST(time_utc AS VARCHAR) AS time_utc, CAST(time_local AS VARCHAR) AS time_local"
 FLAGS = "operational_flag, workable_flag, loss_flag, limiting_param"
@@ -418,13 +462,12 @@ UNION ALL SELECT site_id, CAST(d AS VARCHAR), 'missing_field', '{rain}', '' FROM
 WHERE day(d) % 5 = 0"""
 
 
-def _mask_query(config: dict) -> str:
-    rules = fx.RuleSet.from_config(config)
+def _mask_query(rules: Stated) -> str:
     return f"WITH {TRUTH_EVENTS} SELECT {TIMES}, {_mask(rules)} AS is_operational FROM truth"
 
 
 def _threshold_eval() -> str:
-    rules, s = fx.LINEITEM_RULES, "conservative"
+    rules, s = LINEITEM_FACTS, "conservative"
     oks = ", ".join(f"{_ok(rules, s, p)} AS ok_{p}" for p in fx.PARAMS)
     every = " AND ".join(_ok(rules, s, p) for p in fx.PARAMS)
     rounded = ", ".join(f"round({p}, 6) AS {p}" for p in fx.PARAMS)
@@ -469,7 +512,7 @@ FROM site, (VALUES ('base', 'temperature', 0.01, NULL), ('base', 'wind_speed', N
   AS x(scenario_id, param, low, high)"""
 
 ORACLES: dict[str, str] = {
-    "classify_base": f"""{_classified(TRUTH_EVENTS, fx.EVENTS_RULES, ["base"])}
+    "classify_base": f"""{_classified(TRUTH_EVENTS, EVENTS_FACTS, ["base"])}
 SELECT {TIMES}, {PARAM_VALUES}, scenario_id, {FLAGS} FROM c""",
     "classify_all_scenarios": f"{EVENTS} SELECT {TIMES}, scenario_id, {FLAGS} FROM c",
     "classify_site_rules": f"{SITE_CLASSIFIED} SELECT {TIMES}, scenario_id, {FLAGS} FROM c",
@@ -480,13 +523,13 @@ SELECT site_id, year(time_local) AS year, month(time_local) AS month,
   CASE WHEN month(time_local) IN (12, 1, 2) THEN 'DJF' WHEN month(time_local) IN (3, 4, 5)
     THEN 'MAM' WHEN month(time_local) IN (6, 7, 8) THEN 'JJA' ELSE 'SON' END AS season,
   count(*) AS n_hours, count(DISTINCT week(time_local)) AS n_weeks FROM truth GROUP BY ALL""",
-    "operational_mask": _mask_query(fx.EVENTS_CONFIG),
-    "operational_mask_override": _mask_query(fx.OVERRIDE_CONFIG),
-    "operational_mask_custom_weekdays": _mask_query(fx.WEEKDAYS_CONFIG),
+    "operational_mask": _mask_query(EVENTS_FACTS),
+    "operational_mask_override": _mask_query(OVERRIDE_FACTS),
+    "operational_mask_custom_weekdays": _mask_query(WEEKDAYS_FACTS),
     "threshold_eval": _threshold_eval(),
     "limiting_param": f"""WITH {TRUTH_LINEITEM}
-SELECT site_id, CAST(time_utc AS VARCHAR) AS time_utc, {_mask(fx.LINEITEM_RULES)} AS is_operational,
-  {_limiting(fx.LINEITEM_RULES, "base")} AS limiting_param FROM truth""",
+SELECT site_id, CAST(time_utc AS VARCHAR) AS time_utc, {_mask(LINEITEM_FACTS)} AS is_operational,
+  {_limiting(LINEITEM_FACTS, "base")} AS limiting_param FROM truth""",
     "evaluation_summary": f"""{EVENTS}
 SELECT {K}, total_hours, operational_hours, workable_hours,
   {_percent("workable_hours", "operational_hours")} AS workable_pct_of_operational,
