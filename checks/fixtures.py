@@ -227,6 +227,27 @@ def customer_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_documents(base.withColumn("doc", doc))
 
 
+def customers_some_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configurations of which every eighth site is listed twice; every fourth of the sound
+    suppliers' sites is among them, under the name ``s<key>``."""
+    customers = customer_config(spark, sf_dir)
+    sound = sound_supplier_config(spark, sf_dir).withColumn("site_id", F.concat(F.lit("s"), "site_id"))
+    key = F.regexp_extract("site_id", r"\d+", 0).cast("long")
+    both = customers.unionByName(sound.filter(key % 4 == 0))
+    return both.unionByName(both.filter(key % 8 == 0))
+
+
+def damaged_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the hour, with keys and times missing at some hours."""
+    hour = F.hour("time_utc")
+    return truth_events(spark, sf_dir).withColumns(
+        {
+            "site_id": F.when(hour % 5 != 0, F.col("site_id")),
+            "time_local": F.when(hour % 7 != 0, F.col("time_local")),
+        }
+    )
+
+
 def _from_documents(rows: DataFrame) -> DataFrame:
     own = ("site_id", "timezone", "scenario_mode", "calendar_model")
     return rows.select(

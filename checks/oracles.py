@@ -601,6 +601,25 @@ SELECT site_id, weekday, list_contains(days, weekday) AS allowed,
 FROM site, (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS weekday)""",
     "rule_violations": f"WITH {CUSTOMERS} {_findings(RULE_FINDINGS)}",
     "window_violations": f"WITH {CUSTOMERS} {_findings(WINDOW_FINDINGS)}",
+    "sites_set_aside": f"""WITH {CUSTOMERS},
+broken AS (SELECT *, CAST(site_id AS BIGINT) % 8 = 0 AS twice FROM (
+  {_findings(RULE_FINDINGS)} UNION ALL {_findings(WINDOW_FINDINGS)}))
+SELECT site_id, rule, key, detail FROM broken
+UNION ALL SELECT site_id, rule, key, detail FROM broken WHERE twice
+UNION ALL SELECT site_id, 'site_listed_twice', '', '2' FROM cust WHERE k % 8 = 0
+UNION ALL SELECT 's' || s_suppkey, 'site_listed_twice', '', '2' FROM supplier WHERE s_suppkey % 8 = 0""",
+    "usable_sites": f"""WITH {CUSTOMERS},
+broken AS ({_findings(RULE_FINDINGS)} UNION ALL {_findings(WINDOW_FINDINGS)})
+SELECT site_id, mode AS scenario_mode FROM cust
+WHERE k % 8 <> 0 AND site_id NOT IN (SELECT site_id FROM broken)
+UNION ALL SELECT 's' || s_suppkey,
+  CASE s_suppkey % 3 WHEN 0 THEN 'base_only' WHEN 1 THEN 'standard_3' ELSE 'standard_3_plus' END
+FROM supplier WHERE s_suppkey % 4 = 0 AND s_suppkey % 8 <> 0""",
+    "hourly_key_violations": f"""WITH {TRUTH_EVENTS}
+SELECT * FROM (
+  SELECT 'site_id' AS column_name, count(*) FILTER (hour(time_utc) % 5 = 0) AS n_null FROM truth
+  UNION ALL SELECT 'time_local', count(*) FILTER (hour(time_utc) % 7 = 0) FROM truth)
+WHERE n_null > 0""",
     "landed_json_truth": f"WITH {TRUTH_EVENTS} SELECT {TIMES}, {PARAM_VALUES} FROM truth",
     "landed_json_violations": _landed_findings(),
 }

@@ -19,7 +19,7 @@ from workwindow.operators.classify import (
 )
 from workwindow.operators.counts import as_counts, clock_cube, count_cubes, day_cube
 from workwindow.plans.bundle import run_meta
-from workwindow.plans.contracts import rate_violations
+from workwindow.plans.contracts import key_violations, rate_violations
 from workwindow.rules import bysite
 from workwindow.rules.runwide import RuleSet
 from workwindow.sources.landed import landed_violations, parse_landed, truth_from_landed
@@ -237,6 +237,11 @@ QUERIES: dict[str, Query] = {
     "threshold_rules": lambda s, d: portable(bysite.threshold_rules(fx.supplier_config(s, d))),
     "window_rules": lambda s, d: bysite.window_rules(fx.supplier_config(s, d)),
     "rule_violations": lambda s, d: bysite.rule_violations(fx.customer_config(s, d)),
+    "sites_set_aside": lambda s, d: bysite.sites_set_aside(fx.customers_some_twice(s, d)),
+    "usable_sites": lambda s, d: bysite.usable_sites(fx.customers_some_twice(s, d)).select(
+        "site_id", "scenario_mode"
+    ),
+    "hourly_key_violations": lambda s, d: key_violations(fx.damaged_hourly(s, d)),
     "window_violations": lambda s, d: bysite.window_violations(fx.customer_config(s, d)),
     "landed_json_truth": landed_json_truth,
     "landed_json_violations": landed_json_violations,
