@@ -37,9 +37,9 @@ from workwindow.llm.common import mix, parts_of, slices, text_buffers, word_hash
 from workwindow.session import stage
 
 BACKOFF = 0.4
-PASSES = 3
+PASSES = 4
 #: Bytes of text that make one slice, and of a part of the pairs in one pass.
-SLICE, PART = 2 << 20, 24 << 20
+SLICE, PART = 2 << 20, 16 << 20
 START = 0x2545F4914F6CDD1D
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 _BLOCK = "part int, slice bigint, docs array<smallint>, a array<bigint>, b array<bigint>, n array<int>"
