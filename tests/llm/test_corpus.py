@@ -77,6 +77,30 @@ def test_neighbours_against_brute_force(spark):
     assert [v for _, v in copies] == [40, *range(6001, 6020)]
 
 
+def test_search_goes_on_until_all_it_knows_is_expanded(spark, monkeypatch):
+    for name, value in (("ENTRIES", 1), ("KNOWN", 4)):
+        monkeypatch.setattr(neighbours, name, value)
+    x = [[float(np.cos(i / 15)), float(np.sin(i / 15))] for i in range(40)]
+    table = spark.createDataFrame(list(enumerate(x)), "node bigint, vector array<double>")
+    edges = [(i, [k for k in (i - 2, i - 1, i + 1, i + 2) if 0 <= k < 40]) for i in range(40)]
+    lists = spark.createDataFrame([(i, k, [0.0] * len(k)) for i, k in edges], "node bigint, nbrs array<bigint>, scores array<float>")
+    graph = stage(neighbours.quantised(table).join(lists, "node"), "test-arc")
+    asked = spark.createDataFrame([(100, x[0]), (139, x[39])], "node bigint, vector array<double>")
+    found = {}
+    for r in neighbours.search(graph, neighbours.quantised(asked), width=2).collect():
+        found.setdefault(r["query"], set()).add(r["node"])
+    assert {0, 1, 2} <= found[100] and {37, 38, 39} <= found[139]
+
+
+def test_the_graph_goes_on_until_it_has_settled(spark, monkeypatch):
+    for name, value in (("K", 8), ("REVERSE", 2), ("TREES", 1), ("CELL", 16), ("NAMED", 2)):
+        monkeypatch.setattr(neighbours, name, value)
+    x = np.random.default_rng(6).normal(size=(1200, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node bigint, vector array<double>")
+    graph = neighbours.neighbour_graph(stage(neighbours.quantised(table), "test-nodes"), 8)
+    assert graph.agg(F.sum("changed")).first()[0] <= neighbours.SETTLED * 1200 * 8
+
+
 def test_few_vectors_and_none(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id bigint, embedding array<float>")
     found = neighbours.nearest(table, F.col("vec_id") % 20 == 0).collect()

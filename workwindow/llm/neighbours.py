@@ -8,17 +8,18 @@ each other's lists; a node's name is a hash of its vector.
 2. NN-descent: every node sends its vector (8-bit) to its neighbours and to a sample of
    the nodes that list it. Each node so becomes the centre of a join of neighbours of
    neighbours: numpy compares all who have sent, and pairs nearer than what they have go
-   back. Lists keep ``K`` neighbours. Rounds are tables in shared storage and end when
-   few entries change.
+   back. Lists keep ``K`` neighbours. Rounds are tables in shared storage and go on until
+   at most a share of ``SETTLED`` of the entries changes.
 3. Search: a query starts at its own node, if it is in the graph, and at the nearest of
-   ``ENTRIES`` entry nodes. In each of ``ROUNDS`` rounds it expands the ``WIDTH`` nearest
-   nodes that it has not expanded; their neighbours are scored where their vectors lie,
-   one message a query and bucket of nodes.
+   ``ENTRIES`` entry nodes. In each round it expands the ``WIDTH`` nearest nodes that it
+   has not expanded; their neighbours are scored where their vectors lie, one message a
+   query and bucket of nodes. It ends when all of its ``KNOWN`` nearest are expanded.
 4. The nodes found are scored again on the original vectors in double precision, and
    copies are spelled out, at most as many as a result can hold.
 
 Lists, messages and cells have fixed bounds, hot centres are sampled (as NN-descent
-does), and every row is indexed.
+does), and every row is indexed. Rounds have no bound but ``GUARD``, beyond which the run
+fails rather than give lists that are not done.
 
 Defined results: vectors that are null, zero, of another length than most (ties: the
 longer), or hold null or non-finite numbers take no part; repeated rows count once; a
@@ -29,6 +30,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,12 @@ from workwindow.session import stage
 
 K, REVERSE = 48, 40
 TREES, CELL = 8, 1024
-ITERATIONS, SETTLED = 4, 0.01
+SETTLED = 0.01
 #: New neighbours that a centre may name to one node in a round.
 NAMED = 16
-ENTRIES, ROUNDS, WIDTH, KNOWN = 256, 3, 48, 96
+ENTRIES, WIDTH, KNOWN = 256, 48, 96
+#: Rounds after which descent or search is taken to have failed.
+GUARD = 200
 #: Nodes in a bucket: what one group of a shuffle holds.
 BUCKET = 512
 _LISTS = "node bigint, v binary, s float, nbrs array<bigint>, scores array<float>, changed int"
@@ -246,14 +250,14 @@ def _local_joins(named: int, n_buckets: int):
     return join
 
 
-def neighbour_graph(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, k: int = K) -> DataFrame:
     """node, v, s, nbrs and scores (nearest first) of every node."""
     n = nodes.count()
     first = nodes.first()
     dim = len(first.v) if first else 1
     n_buckets = max(1, -(-n // BUCKET))
     graph = stage(_merged(start_graph(nodes, n, dim, k, TREES, CELL), n_buckets, k), "ann-graph")
-    for round_ in range(iterations):
+    for round_ in range(GUARD):
         full = F.size("nbrs") >= k
         worst = F.when(full, F.element_at("scores", -1)).otherwise(F.lit(float("-inf")).cast("float"))
         sent = _with_reverse(graph, REVERSE, round_).select(
@@ -267,11 +271,11 @@ def neighbour_graph(nodes: DataFrame, k: int = K, iterations: int = ITERATIONS)
         graph = stage(_merged(_with_candidates(graph, found), n_buckets, k), "ann-graph")
         changed = graph.agg(F.sum("changed")).first()[0] or 0
         if changed <= SETTLED * n * k:
-            break
-    return graph
+            return graph
+    raise RuntimeError(f"the graph has not settled after {GUARD} rounds")
 
 
-def search(graph: DataFrame, queries: DataFrame, rounds: int = ROUNDS, width: int = WIDTH) -> DataFrame:
+def search(graph: DataFrame, queries: DataFrame, width: int = WIDTH) -> DataFrame:
     """query and node for the ``KNOWN`` nearest nodes that each query finds.
 
     ``queries``: node, v, s (a row a query; the node may or may not be in the graph).
@@ -366,9 +370,13 @@ def search(graph: DataFrame, queries: DataFrame, rounds: int = ROUNDS, width: in
                         ["query", "v", "s", "ids", "scores", "done"])
 
     held = adjacency.select(_bucket("node", n_buckets).alias("bucket"), "node", "v", "s")
-    for _ in range(rounds):
-        fresh = F.slice(F.array_except("ids", "done"), 1, width)
-        state = state.withColumn("next", fresh)
+    ended = []
+    for _ in range(GUARD):
+        state = state.withColumn("next", F.slice(F.array_except("ids", "done"), 1, width))
+        ended.append(state.filter(F.size("next") == 0).select("query", "ids"))
+        state = state.filter(F.size("next") > 0)
+        if state.isEmpty():
+            break
         asked = state.select("query", "v", "s", "ids", "scores", F.explode("next").alias("at"))
         met = asked.join(adjacency.select(F.col("node").alias("at"), "all"), "at")
         messages = met.groupBy("query").applyInArrow(
@@ -381,7 +389,9 @@ def search(graph: DataFrame, queries: DataFrame, rounds: int = ROUNDS, width: in
         nothing = [F.lit(None).cast(t).alias(c) for c, t in (("v", "binary"), ("s", "float"), ("done", "array<bigint>"))]
         both = state.unionByName(answers.filter(F.size("ids") > 0).select("query", "ids", "scores", *nothing))
         state = stage(both.groupBy("query").applyInArrow(update, schema), "ann-state")
-    return state.select("query", F.explode("ids").alias("node"))
+    else:
+        raise RuntimeError(f"queries have nodes to expand after {GUARD} rounds")
+    return reduce(DataFrame.unionByName, ended).select("query", F.explode("ids").alias("node"))
 
 
 def nearest(embeddings: DataFrame, is_query: Column, n: int = 20) -> DataFrame:
