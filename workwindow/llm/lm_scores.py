@@ -1,8 +1,9 @@
 """Stupid-backoff language model scores of documents against the rest of the corpus.
 
 The model has words and word pairs; each text starts with a start mark. A word w after v
-scores c'(v w) / c(v) if the pair occurs in other documents, c' times, else ``BACKOFF`` *
-c(w) / N: no document vouches for its own pairs. Counts are of the whole corpus.
+scores c(v w) / c(v) if the pair occurs elsewhere, else ``BACKOFF`` * c(w) / N. All counts
+but N are of the whole corpus less the document's own, so no document vouches for itself; a
+word that occurs nowhere else counts once.
 
 1. The unigram table counts all words, combined per task before its shuffle.
 2. Pairs are exploded once per document and carried in blocks: one row per slice of
@@ -42,7 +43,7 @@ PASSES = 4
 SLICE, PART = 2 << 20, 16 << 20
 START = 0x2545F4914F6CDD1D
 _PAIR = np.uint64(0x9FB21C651E98DF25)
-_BLOCK = "part int, slice bigint, docs array<smallint>, a array<bigint>, b array<bigint>, n array<int>"
+_BLOCK = "part int, slice bigint, docs array<smallint>, a array<bigint>, b array<bigint>, n array<int>, na array<int>, nb array<int>"
 
 
 def unigrams(documents: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 20
-        names = ["part", "slice", "docs", "a", "b", "n"]
+        names = ["part", "slice", "docs", "a", "b", "n", "na", "nb"]
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 number += 1
@@ -111,9 +112,15 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
                 before[1:] = words[:-1]
                 before[first[:-1][n_words > 0]] = START
                 pair = mix(before * _PAIR + words)
+                # counts of words and contexts in their own text
+                own = mix(row.astype(np.uint64) + np.uint64(1))
+                _, inverse, n_own = np.unique(words ^ own, return_inverse=True, return_counts=True)
+                of_word = n_own[inverse]
+                of_before = np.ones(len(words), np.int64)
+                of_before[1:] = of_word[:-1]
+                of_before[first[:-1][n_words > 0]] = 1
                 chosen = np.flatnonzero(pair % np.uint64(passes) == range_)
-                own = mix(row[chosen].astype(np.uint64) + np.uint64(1))
-                _, at, n_pair = np.unique(pair[chosen] ^ own, return_index=True, return_counts=True)
+                _, at, n_pair = np.unique(pair[chosen] ^ own[chosen], return_index=True, return_counts=True)
                 at = chosen[at]
                 # contexts side by side, so that they pack well
                 order = np.argsort(before[at])
@@ -124,6 +131,8 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
                     (before[at].view(np.int64), pa.int64()),
                     (words[at].view(np.int64), pa.int64()),
                     (n_pair, pa.int32()),
+                    (of_before[at], pa.int32()),
+                    (of_word[at], pa.int32()),
                 ]
                 yield pa.RecordBatch.from_arrays(_lists(parts, np.full(len(at), number), columns), names)
                 ids = part.column("doc_id").cast(pa.int64())
@@ -136,6 +145,7 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
                         pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                         pa.array([None], pa.list_(pa.int64())),
                         _list(n_words, [0, len(ids)], pa.int32()),
+                        *[pa.array([None], pa.list_(pa.int32()))] * 2,
                     ],
                     names,
                 )
@@ -153,7 +163,8 @@ def _slices_of(table: pa.Table) -> np.ndarray:
 
 
 _REQUEST = (
-    "part int, slice bigint, docs array<smallint>, word array<bigint>, n array<int>, score array<double>, whole boolean"
+    "part int, slice bigint, docs array<smallint>, word array<bigint>, n array<int>, own array<int>,"
+    " score array<double>, whole boolean"
 )
 
 
@@ -174,10 +185,10 @@ def _count_pairs(n_parts: int):
         elsewhere -= n
         found = elsewhere > 0
         # found: log of the pair's count now, less that of its context; else the word's count
-        word = np.where(found, a, b)
+        word, own = np.where(found, a, b), np.where(found, _flat(group, "na"), _flat(group, "nb"))
         parts = ((word.view(np.uint64) >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-        columns = [(docs, pa.int16()), (word, pa.int64()), (np.where(found, -n, n), pa.int32())]
-        asked = pa.table(_lists(parts, slice_ids, columns), ["part", "slice", "docs", "word", "n"])
+        columns = [(docs, pa.int16()), (word, pa.int64()), (np.where(found, -n, n), pa.int32()), (own, pa.int32())]
+        asked = pa.table(_lists(parts, slice_ids, columns), ["part", "slice", "docs", "word", "n", "own"])
         asked = asked.append_column("score", pa.nulls(len(asked), pa.list_(pa.float64())))
         asked = asked.append_column("whole", pa.array([False] * len(asked), pa.bool_()))
         # what is known now, added up per document
@@ -221,7 +232,8 @@ def _score(total: int):
         names, counts = names[order], counts[order]
         slice_ids, docs = _slices_of(requests), _flat(requests, "docs").astype(np.int64)
         word, n = _flat(requests, "word"), _flat(requests, "n").astype(np.int64)
-        count = counts[np.searchsorted(names, word)] if len(word) else n
+        own = _flat(requests, "own").astype(np.int64)
+        count = np.maximum(counts[np.searchsorted(names, word)] - own, 1) if len(word) else n
         value = n * np.log(count) + np.where(n > 0, n * np.log(BACKOFF / max(total, 1)), 0.0)
         found = _summed_up(slice_ids, docs, {"score": value, "backed": np.maximum(n, 0)})
         for name, kind in (("ids", pa.int64()), ("n_words", pa.int32())):
