@@ -28,7 +28,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates, the one with the smallest doc_id."""
+    """One row of each group of near-duplicates, the one with the smallest doc_id (null last)."""
     ship_code(spark)
     return near_duplicates.keep_one_of_each(docs)
 

@@ -244,6 +244,15 @@ def test_bands_reach_the_recall_asked_for():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and bands * rows <= near_duplicates.MAX_HASHES
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(docs, prose):
+    copied, alone = prose(1, 6), prose(2, 6)
+    rows = [(3, copied), (5, alone), (5, copied), (None, prose(7, 6)), (None, prose(7, 6)), (None, copied), (None, prose(8, 6))]
+    rows += [(-4, prose(9, 6)), (4, prose(9, 6)), (6, None), (6, ""), (8, prose(9, 6)), (8, prose(9, 6))]
+    found = near_duplicates.keep_one_of_each(docs(rows, more=True)).collect()
+    want = [(3, copied), (5, alone), (None, prose(7, 6)), (None, prose(8, 6)), (-4, prose(9, 6)), (6, None), (6, "")]
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(want, key=str)
+
+
 # mixing
 
 

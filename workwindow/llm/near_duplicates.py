@@ -30,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workwindow.llm.common import (
+    WORD,
     gram_hashes,
     mix,
     runs_in_rows,
@@ -331,11 +332,24 @@ def near_duplicates(
     )
 
 
+def _row_key(documents: DataFrame) -> Column:
+    """Of a row's whole content, equal for equal rows only; sorts by doc_id, null last."""
+    others = [F.col(c) for c in documents.columns if c != "text"]
+    lowest = F.lit(-(1 << 63)).cast("long")
+    order = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(lowest)), 16, "0")
+    content = F.concat_ws("\0", F.xxhash64(*others).cast("string"), F.coalesce("text", F.lit("")))
+    return F.concat(F.coalesce(order, F.lit("null")), F.md5(content))
+
+
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that stay when each group keeps its smallest doc_id; of
-    rows that repeat a doc_id one stays. Rows without doc_id stay."""
-    stay = near_duplicates(documents).filter("doc_id = class_id").select("doc_id").distinct()
+    """The rows of ``documents`` that stay when each group keeps one row, the first by
+    doc_id (null last), then by a hash of the row. Each row is compared by its own text,
+    whatever its doc_id. Rows without words have no copies and stay."""
     columns = documents.columns
-    # one exchange of the texts by doc_id serves the join and the removal of repeated rows
-    named = documents.join(stay.hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select(columns)
-    return named.unionByName(documents.filter("doc_id IS NULL"))
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    keyed = documents.filter(has_words).withColumn("near_row_key", _row_key(documents))
+    found = near_duplicates(keyed.select(F.col("near_row_key").alias("doc_id"), "text"))
+    stay = found.filter("doc_id = class_id").select(F.col("doc_id").alias("near_row_key")).distinct()
+    # one exchange of the texts by key serves the join and the removal of equal rows
+    named = keyed.join(stay.hint("merge"), "near_row_key").dropDuplicates(["near_row_key"]).select(columns)
+    return named.unionByName(documents.filter(~has_words))
