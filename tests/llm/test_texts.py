@@ -206,3 +206,15 @@ def test_text_buffers_of_a_sliced_column_with_nulls():
     column = pa.array(["zero", None, "äb", ""], pa.string()).slice(1)
     data, offsets = text_buffers(column)
     assert bytes(data) == "äb".encode() and offsets.tolist() == [0, 0, 3, 3]
+
+
+def test_lm_scores_ask_nothing_for_hot_words_and_pairs(docs, prose, monkeypatch):
+    monkeypatch.setattr(lm_scores, "HOT", 5)
+    asked, lists = [], lm_scores.explode_pairs
+    monkeypatch.setattr(lm_scores, "explode_pairs", lambda *a: asked.append(lists(*a)) or asked[-1])
+    texts = [None, "", "a b", "a b c", *["a b a b"] * 4, *(prose(i) for i in range(12)), "x " * 300]
+    found = {r.doc_id: r for r in lm_scores.lm_scores(docs(enumerate(texts), more=True), passes=2).collect()}
+    for i, want in enumerate(brute_scores(texts)):
+        assert (found[i].n_words, found[i].n_backed_off, round(found[i].log_score, 6)) == pytest.approx(want, abs=1e-5)
+    pairs = [(a, b) for rows in asked for r in rows.collect() if r.b is not None for a, b in zip(r.a, r.b)]
+    assert max(pairs.count(p) for p in set(pairs)) <= 5

@@ -14,6 +14,11 @@ word that occurs nowhere else counts once.
    on, as blocks again, to the part of that word, to be joined with the unigram table.
 4. Sums go back by slice and are added up per document.
 
+Words and pairs that occur more than ``HOT`` times, of which there are few, do not take
+that way: their counts go to the tasks, hot pairs are scored where the texts are read and
+requests for hot words where they arise. So no group holds more than ``HOT`` entries of
+one word or pair.
+
 ``PASSES`` ranges of the pairs' hashes are worked off one after the other, each ending in
 a table of sums, so that the shuffles on disk are a fraction of the input. Words are
 named by 64-bit hashes.
@@ -41,6 +46,8 @@ BACKOFF = 0.4
 PASSES = 4
 #: Bytes of text that make one slice, and of a part of the pairs in one pass.
 SLICE, PART = 2 << 20, 16 << 20
+#: Occurrences above which tasks know the count of a word or pair.
+HOT = 1 << 18
 START = 0x2545F4914F6CDD1D
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 _BLOCK = "part int, slice bigint, docs array<smallint>, a array<bigint>, b array<bigint>, n array<int>, na array<int>, nb array<int>"
@@ -95,7 +102,86 @@ def _lists(parts: np.ndarray, slice_ids: np.ndarray, columns: list[tuple[np.ndar
             *(_list(c[order], ends, kind) for c, kind in columns)]
 
 
-def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int) -> DataFrame:
+def _known(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Counts of ``keys`` in a table sorted by key; 0 of those that it lacks."""
+    names, counts = table
+    if not len(names):
+        return np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+    return np.where(names[at] == keys, counts[at], 0)
+
+
+def _hot(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Words and counts of the rows above ``HOT``: at most one for each ``HOT`` words of text."""
+    rows = sorted(counts.filter(F.col("n") > HOT).select("word", "n").collect())
+    return np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
+
+
+def _pairs_in(part: pa.RecordBatch):
+    """Of every word: its row, the word before, the word, their pair; word counts of the rows."""
+    words, first = word_hashes(*text_buffers(part.column("text")))
+    n_words = np.diff(first)
+    row = np.repeat(np.arange(part.num_rows), n_words)
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[first[:-1][n_words > 0]] = START
+    return row, before, words, mix(before * _PAIR + words), n_words, first
+
+
+def _own_counts(row: np.ndarray, words: np.ndarray, n_words: np.ndarray, first: np.ndarray):
+    """A hash of each word's row; how often the word before and the word are in their own text."""
+    own = mix(row.astype(np.uint64) + np.uint64(1))
+    _, inverse, n_own = np.unique(words ^ own, return_inverse=True, return_counts=True)
+    of_word = n_own[inverse]
+    of_before = np.ones(len(words), np.int64)
+    of_before[1:] = of_word[:-1]
+    of_before[first[:-1][n_words > 0]] = 1
+    return own, of_before, of_word
+
+
+def pair_counts(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """word (hash of a pair) and n of the pairs of two hot words; no other can be hot."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts_of(batches, "text"):
+            _, before, words, pair, _, _ = _pairs_in(part)
+            both = (_known(hot, before.view(np.int64)) > 0) & (_known(hot, words.view(np.int64)) > 0)
+            yield _counted(*np.unique(pair[both], return_counts=True))
+
+    return documents.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def score_hot_pairs(documents: DataFrame, hot, hot_pairs, total: int) -> DataFrame:
+    """doc_id, n_words (0), score and backed of the hot pairs of every row."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts_of(batches, "text"):
+            row, before, words, pair, n_words, first = _pairs_in(part)
+            own, of_before, of_word = _own_counts(row, words, n_words, first)
+            chosen = np.flatnonzero(_known(hot_pairs, pair.view(np.int64)))
+            _, at, n = np.unique(pair[chosen] ^ own[chosen], return_index=True, return_counts=True)
+            at = chosen[at]
+            elsewhere = _known(hot_pairs, pair[at].view(np.int64)) - n
+            found = elsewhere > 0
+            word = np.where(found, before[at], words[at]).view(np.int64)
+            count = np.maximum(_known(hot, word) - np.where(found, of_before[at], of_word[at]), 1)
+            value = n * np.where(
+                found, np.log(np.maximum(elsewhere, 1)) - np.log(count), np.log(count) + np.log(BACKOFF / max(total, 1))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id").cast(pa.int64()),
+                    pa.array(np.zeros(part.num_rows, np.int64)),
+                    pa.array(np.bincount(row[at], value, part.num_rows)),
+                    pa.array(np.bincount(row[at], np.where(found, 0, n), part.num_rows).astype(np.int64)),
+                ],
+                ["doc_id", "n_words", "score", "backed"],
+            )
+
+    return documents.select("doc_id", "text").mapInArrow(score, "doc_id bigint, n_words bigint, score double, backed bigint")
+
+
+def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int, hot_pairs) -> DataFrame:
     """Block rows of the pairs in one range of hashes, and a row per slice with the ids and
     word counts of its documents."""
 
@@ -105,21 +191,9 @@ def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int)
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 number += 1
-                words, first = word_hashes(*text_buffers(part.column("text")))
-                n_words = np.diff(first)
-                row = np.repeat(np.arange(part.num_rows), n_words)
-                before = np.empty_like(words)
-                before[1:] = words[:-1]
-                before[first[:-1][n_words > 0]] = START
-                pair = mix(before * _PAIR + words)
-                # counts of words and contexts in their own text
-                own = mix(row.astype(np.uint64) + np.uint64(1))
-                _, inverse, n_own = np.unique(words ^ own, return_inverse=True, return_counts=True)
-                of_word = n_own[inverse]
-                of_before = np.ones(len(words), np.int64)
-                of_before[1:] = of_word[:-1]
-                of_before[first[:-1][n_words > 0]] = 1
-                chosen = np.flatnonzero(pair % np.uint64(passes) == range_)
+                row, before, words, pair, n_words, first = _pairs_in(part)
+                own, of_before, of_word = _own_counts(row, words, n_words, first)
+                chosen = np.flatnonzero((pair % np.uint64(passes) == range_) & (_known(hot_pairs, pair.view(np.int64)) == 0))
                 _, at, n_pair = np.unique(pair[chosen] ^ own[chosen], return_index=True, return_counts=True)
                 at = chosen[at]
                 # contexts side by side, so that they pack well
@@ -164,11 +238,11 @@ def _slices_of(table: pa.Table) -> np.ndarray:
 
 _REQUEST = (
     "part int, slice bigint, docs array<smallint>, word array<bigint>, n array<int>, own array<int>,"
-    " score array<double>, whole boolean"
+    " score array<double>, backed array<bigint>, whole boolean"
 )
 
 
-def _count_pairs(n_parts: int):
+def _count_pairs(n_parts: int, hot: tuple[np.ndarray, np.ndarray], n_all: int):
     def count(group: pa.Table) -> pa.Table:
         passing = group.filter(group.column("b").is_null()).select(["part", "slice", "docs", "a", "n"])
         passing = passing.rename_columns(["part", "slice", "docs", "word", "n"])
@@ -186,13 +260,18 @@ def _count_pairs(n_parts: int):
         found = elsewhere > 0
         # found: log of the pair's count now, less that of its context; else the word's count
         word, own = np.where(found, a, b), np.where(found, _flat(group, "na"), _flat(group, "nb"))
-        parts = ((word.view(np.uint64) >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-        columns = [(docs, pa.int16()), (word, pa.int64()), (np.where(found, -n, n), pa.int32()), (own, pa.int32())]
-        asked = pa.table(_lists(parts, slice_ids, columns), ["part", "slice", "docs", "word", "n", "own"])
+        known = _known(hot, word)
+        ask = known == 0
+        parts = ((word[ask].view(np.uint64) >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
+        columns = [(docs[ask], pa.int16()), (word[ask], pa.int64()), (np.where(found, -n, n)[ask], pa.int32()), (own[ask], pa.int32())]
+        asked = pa.table(_lists(parts, slice_ids[ask], columns), ["part", "slice", "docs", "word", "n", "own"])
         asked = asked.append_column("score", pa.nulls(len(asked), pa.list_(pa.float64())))
+        asked = asked.append_column("backed", pa.nulls(len(asked), pa.list_(pa.int64())))
         asked = asked.append_column("whole", pa.array([False] * len(asked), pa.bool_()))
         # what is known now, added up per document
-        sums = _summed_up(slice_ids, docs, {"score": np.where(found, n * np.log(np.maximum(elsewhere, 1)), 0.0)})
+        score = n * np.where(found, np.log(np.maximum(elsewhere, 1)), np.log(BACKOFF / max(n_all, 1)))
+        score += np.where(ask, 0.0, np.where(found, -n, n) * np.log(np.maximum(known - own, 1)))
+        sums = _summed_up(slice_ids, docs.astype(np.int64), {"score": score, "backed": np.where(found, 0, n)})
         part = pa.array(np.mod(np.asarray(sums.column("slice")), n_parts), pa.int32())
         return _both(asked, sums.append_column("part", part), passing)
 
@@ -216,12 +295,12 @@ def _summed_up(slice_ids: np.ndarray, docs: np.ndarray, values: dict[str, np.nda
 _SUMS = "slice bigint, docs array<smallint>, ids array<bigint>, n_words array<int>, score array<double>, backed array<bigint>"
 
 
-def _score(total: int):
+def _score():
     """Joins requests with the unigram counts of their part and adds up per document."""
 
     def score(requests: pa.Table, table: pa.Table) -> pa.Table:
         has_score = requests.column("score").is_valid()
-        known = requests.filter(has_score).select(["slice", "docs", "score"])
+        known = requests.filter(has_score).select(["slice", "docs", "score", "backed"])
         requests = requests.filter(pa.compute.invert(has_score))
         whole = requests.column("whole")
         passing = requests.filter(whole).select(["slice", "docs", "word", "n"])
@@ -234,9 +313,8 @@ def _score(total: int):
         word, n = _flat(requests, "word"), _flat(requests, "n").astype(np.int64)
         own = _flat(requests, "own").astype(np.int64)
         count = np.maximum(counts[np.searchsorted(names, word)] - own, 1) if len(word) else n
-        value = n * np.log(count) + np.where(n > 0, n * np.log(BACKOFF / max(total, 1)), 0.0)
-        found = _summed_up(slice_ids, docs, {"score": value, "backed": np.maximum(n, 0)})
-        for name, kind in (("ids", pa.int64()), ("n_words", pa.int32())):
+        found = _summed_up(slice_ids, docs, {"score": n * np.log(count)})
+        for name, kind in (("ids", pa.int64()), ("n_words", pa.int32()), ("backed", pa.int64())):
             found = found.append_column(name, pa.nulls(len(found), pa.list_(kind)))
         return _both(found, known, passing).select(["slice", "docs", "ids", "n_words", "score", "backed"])
 
@@ -291,11 +369,13 @@ def lm_scores(documents: DataFrame, passes: int = PASSES) -> DataFrame:
     n_parts = max(1, -(-size // (PART * passes)))
     part_of = F.pmod(F.shiftrightunsigned("word", 20), F.lit(n_parts)).cast("int")
     counts = counts.withColumn("part", part_of)
+    hot = _hot(counts)
+    hot_pairs = _hot(pair_counts(documents, hot)) if len(hot[0]) else hot
     results = []
     for range_ in range(passes):
-        blocks = explode_pairs(documents, n_parts, range_, passes)
-        asked = blocks.groupBy("part").applyInArrow(_count_pairs(n_parts), _REQUEST)
-        sums = asked.groupBy("part").cogroup(counts.groupBy("part")).applyInArrow(_score(total), _SUMS)
+        blocks = explode_pairs(documents, n_parts, range_, passes, hot_pairs)
+        asked = blocks.groupBy("part").applyInArrow(_count_pairs(n_parts, hot, total), _REQUEST)
+        sums = asked.groupBy("part").cogroup(counts.groupBy("part")).applyInArrow(_score(), _SUMS)
         scored = sums.groupBy("slice").applyInArrow(
             _by_document, "doc_id bigint, n_words bigint, score double, backed bigint"
         )
@@ -306,6 +386,8 @@ def lm_scores(documents: DataFrame, passes: int = PASSES) -> DataFrame:
     rows = results[0]
     for other in results[1:]:
         rows = rows.unionByName(other.withColumn("n_words", F.lit(0).cast("long")))
+    if len(hot_pairs[0]):
+        rows = rows.unionByName(score_hot_pairs(documents, hot, hot_pairs, total))
     return rows.groupBy("doc_id").agg(
         F.sum("n_words").alias("n_words"),
         F.sum("backed").alias("n_backed_off"),
