@@ -165,6 +165,22 @@ def test_blocks_of_broken_pages():
     assert [b.text for b in extraction.blocks_of("<i " * 3000 + "x>end")][-1:] == ["end"]
 
 
+def test_only_raw_elements_are_swallowed():
+    page = (
+        "<p>a</p><svg width='1'/><p>b</p><template-x><p>c</p></template-x><object-list><p>d</p>"
+        "<svg><title>no</title></svg><p>e</p><script src=x>no</script><template>no</template><p>f"
+    )
+    assert [b.text for b in extraction.blocks_of(page)] == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_training_sees_whole_pages(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(extraction, "fit", seen.extend)
+    html = "<p>" + "word " * 8_000 + "</p><footer>foot</footer>"
+    extraction.train(spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string"))
+    assert seen == [html]
+
+
 def test_extraction_of_held_out_layouts_and_real_pages(spark):
     sf = "/root/testdata/sf0.001"
     pages = spark.read.parquet(f"{sf}/pages.parquet")

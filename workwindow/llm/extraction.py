@@ -8,7 +8,7 @@ of a page in order and classifies each as main text or not, so every decision se
 whole page. Character references are decoded, white space inside a block becomes one
 space, and main blocks are joined by line breaks in page order.
 
-Training: at most ``SAMPLE`` pages (``SAMPLE_CHARS`` characters of each), chosen by a
+Training: at most ``SAMPLE`` whole pages, chosen by a
 hash of the url, reach the driver. Pages whose tags name their parts give blocks with
 labels; around their texts layouts are also drawn at random (menus, headers, adverts,
 notices, sidebars, forms, comments, footers, with usual or meaningless names), labelled
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from workwindow.llm.common import parts_of, word_hashes
 
-SAMPLE, SAMPLE_CHARS, LAYOUTS = 150, 20_000, 450
+SAMPLE, LAYOUTS = 150, 450
 PATH_DIM, WORD_DIM, N_NUMBERS = 192, 48, 8
 DIM = PATH_DIM + WORD_DIM + N_NUMBERS
 HIDDEN = 16
@@ -61,7 +61,8 @@ _SAME_LEVEL = {
 _SCOPES = frozenset("ul ol dl table select menu".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/>])(?:[^'\">]|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|canvas)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^'\">]|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-z][^<>]*(?:>|\Z)",
     re.I | re.S,
@@ -455,7 +456,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Network:
     chosen = (
         there.filter(key.isin(keys))
         .groupBy(key.alias("k"))
-        .agg(F.min(F.substring("html", 1, SAMPLE_CHARS)).alias("html"))
+        .agg(F.min("html").alias("html"))
     )
     return fit([r.html for r in sorted(chosen.collect(), key=lambda r: r.k)])
 
