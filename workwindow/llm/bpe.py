@@ -7,10 +7,12 @@
    shared suffixes. Numbers on the arcs add up to a word's place, and that place gives
    its ids: a transducer from words to id sequences. It is shipped as a file and
    memory-mapped by the workers of an executor, which share its pages.
-3. Encoding: texts are cut at the special tokens, normalised (NFC, white space, lower
-   case) and split as the tokenizer file says; each word is looked up, and a word that
-   the lexicon lacks is merged exactly by rank.
-4. Decoding: the file names no decoder, so decoding joins the pieces by spaces.
+3. Encoding: slices of texts are cut at the special tokens and at white space; what is
+   new in a slice is normalised (NFC, lower case) and split as the tokenizer file says.
+   All new words walk the automaton side by side, one byte a step, and those that it lacks
+   are merged exactly by rank, also side by side, one merge of every word a step. Ids of
+   the slice are gathered from those of its distinct chunks.
+4. Decoding: the file names no decoder, so decoding joins the pieces of the ids by spaces.
 
 Defined results: a null or empty text has no ids and decodes to the empty string; very
 long words are merged in n log n steps; repeated rows stay; an empty table gives an
@@ -26,29 +28,32 @@ import json
 import mmap
 import re
 import unicodedata
-from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from workwindow.llm.common import mapped_bytes, parts_of, shared_bytes
+from workwindow.llm.common import mapped_bytes, parts_of, shared_bytes, text_buffers
 from workwindow.session import stage
 
 LEXICON = 1 << 16
-#: Counters that a task's summary keeps, and words that a worker remembers.
-SUMMARY, MEMO = 1 << 17, 150_000
-#: Words longer than this are never remembered or put in the lexicon.
+#: Counters that a task's summary keeps, and chunks that a worker remembers.
+SUMMARY, MEMO = 1 << 17, 400_000
+#: Longer words are never put in the lexicon.
 LONGEST = 64
+#: Bytes of text that are encoded at once.
+SLICE = 2 << 20
 
-_ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^ \t-\ra-z0-9]+").findall
+# line breaks, which no chunk holds, come through so that chunks can be split together
+_ASCII_WORDS = re.compile(r"\n|[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^ \t-\ra-z0-9]+").findall
 _WORDS = regex.compile(
-    r"\p{L}+|\p{N}|'(?:[stmd]|re|ve|ll)|[^\p{White_Space}\p{L}\p{N}]+"
+    r"\n|\p{L}+|\p{N}|'(?:[stmd]|re|ve|ll)|[^\p{White_Space}\p{L}\p{N}]+"
 ).findall
 
 
@@ -68,6 +73,15 @@ def byte_letters() -> list[str]:
 _BYTE_OF = {c: b for b, c in enumerate(byte_letters())}
 
 
+_NEVER = np.iinfo(np.int32).max
+
+
+def _ranks(keys: np.ndarray, ranks: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Ranks of ``pairs`` among sorted ``keys``, ``_NEVER`` of those that do not merge."""
+    at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+    return np.where(keys[at] == pairs, ranks[at], _NEVER) if len(keys) else np.full(len(pairs), _NEVER)
+
+
 class Merges:
     """Vocabulary and ranked merges of a word-end BPE tokenizer file."""
 
@@ -80,17 +94,47 @@ class Merges:
         self.made = pairs[:, 2].tolist()
         self.split = re.compile("(" + "|".join(map(re.escape, special)) + ")").split
 
-    def words_of(self, text: str) -> list[str]:
-        """Normalised words of a text without special tokens."""
-        if text.isascii():
-            return _ASCII_WORDS(text.lower())
-        if any(c > _LAST_SETTLED and unicodedata.category(c) == "Cn" for c in set(text)):
-            # characters younger than Python's tables: the file's own steps decide
-            steps = self.steps()
-            pieces = steps.pre_tokenizer.pre_tokenize_str(steps.normalizer.normalize_str(text))
-            return [bytes(map(_BYTE_OF.__getitem__, piece)).decode() for piece, _ in pieces]
+    def words_of(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        """Normalised words of chunks without white space or special tokens, and how many
+        each chunk has. A line break composes with no character, so chunks joined by line
+        breaks are normalised as they are alone."""
+        words, counts = [], np.zeros(len(chunks), np.int64)
+        place: list[np.ndarray] = []
+        for which, split in self._kinds(chunks):
+            if which:
+                found = split("\n".join([chunks[i] for i in which]))
+                breaks = np.flatnonzero(np.asarray(pc.equal(pa.array(found, pa.string()), "\n")))
+                ends = np.append(breaks, len(found))
+                sizes = np.diff(np.append(-1, ends)) - 1
+                counts[which] = sizes
+                words += [w for w in found if w != "\n"]
+                place.append(np.repeat(which, sizes))
+        order = np.argsort(np.concatenate(place), kind="stable") if place else np.zeros(0, np.int64)
+        return [words[i] for i in order.tolist()] if len(place) > 1 else words, counts
+
+    def _kinds(self, chunks: list[str]):
+        """Numbers of the chunks of each kind, with the function that splits them."""
+        ascii_ = [c.isascii() for c in chunks]
+        plain = [i for i, yes in enumerate(ascii_) if yes]
+        wide, young = [i for i, yes in enumerate(ascii_) if not yes], []
+        unknown = {
+            c for c in set().union(*(chunks[i] for i in wide)) if c > _LAST_SETTLED and unicodedata.category(c) == "Cn"
+        }
+        if unknown:
+            young = [i for i in wide if not unknown.isdisjoint(chunks[i])]
+            wide = [i for i in wide if unknown.isdisjoint(chunks[i])]
+        yield plain, lambda text: _ASCII_WORDS(text.lower())
         # one character at a time: no word-final form of sigma
-        return _WORDS(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        yield wide, lambda text: _WORDS(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        # characters younger than Python's tables: the file's own steps decide
+        yield young, self._by_file
+
+    def _by_file(self, text: str) -> list[str]:
+        steps, out = self.steps(), []
+        for chunk in text.split("\n"):
+            pieces = steps.pre_tokenizer.pre_tokenize_str(steps.normalizer.normalize_str(chunk))
+            out += ["\n", *(bytes(map(_BYTE_OF.__getitem__, piece)).decode() for piece, _ in pieces)]
+        return out[1:]
 
     @functools.cache
     def steps(self) -> Tokenizer:
@@ -119,6 +163,80 @@ class Merges:
         tokens, special, head, pairs = json.loads(content)
         return cls(tokens, special, head, np.array(pairs, np.int64))
 
+    def segments(self, column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Texts cut at special tokens: the pieces, the id of the special token that a piece
+        stands for (-1: none, else the piece is empty), and where each row's pieces start."""
+        if column.null_count:
+            column = column.fill_null("")
+        if not any(pc.any(pc.match_substring(column, token)).as_py() for token in self.special):
+            return column, np.full(len(column), -1), np.arange(len(column) + 1)
+        pieces, marks, rows = [], [], [0]
+        for text in column.to_pylist():
+            for piece in self.split(text):
+                mark = self.special.get(piece, -1)
+                pieces.append("" if mark >= 0 else piece)
+                marks.append(mark)
+            rows.append(len(pieces))
+        return pa.array(pieces, pa.string()), np.array(marks), np.array(rows)
+
+    @functools.cache
+    def _tables(self) -> tuple[np.ndarray, ...]:
+        """Ids of first and last bytes, ranks of byte pairs (the second first or last), keys
+        of merges in order and their ranks."""
+        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        order = np.argsort(keys)
+        first, last = np.array(self.first), np.array(self.last)
+        keys, ranks = keys[order], order.astype(np.int32)
+        pairs = first[:, None] << 20 | np.append(first, last)[None, :]
+        return first, last, _ranks(keys, ranks, pairs.ravel()).reshape(pairs.shape), keys, ranks
+
+    def encode_all(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at byte ranges of ``data`` one after the other, and how many each
+        has. Every step merges, in all words, the leftmost pair of the word's lowest rank."""
+        first, last, of_bytes, keys, ranks = self._tables()
+        made = np.array(self.made)
+        size = ends - starts
+        long = np.flatnonzero(size > 48)
+        done = [(np.full(len(ids), i), np.array(ids)) for i in long for ids in [self.encode_word(bytes(data[starts[i] : ends[i]]))]]
+        which = np.flatnonzero((size > 0) & (size <= 48))
+        size = size[which]
+        word = np.repeat(np.arange(len(which)), size)
+        stop = np.cumsum(size)
+        at = np.arange(len(word)) + np.repeat(starts[which] - (stop - size), size)
+        byte = data[at].astype(np.int64)
+        closing = np.zeros(len(word), bool)
+        closing[stop - 1] = True
+        symbol = np.where(closing, last[byte], first[byte])
+        rank = np.full(len(word), _NEVER, np.int32)
+        rank[:-1] = of_bytes[byte[:-1], byte[1:] + 256 * closing[1:]]
+        rank[closing] = _NEVER
+        while len(word):
+            begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            size = np.diff(np.append(begin, len(word)))
+            lowest = np.minimum.reduceat(rank, begin)
+            ready = lowest == _NEVER
+            if ready.any():
+                out = np.repeat(ready, size)
+                done.append((which[word[out]], symbol[out]))
+                word, symbol, rank = word[~out], symbol[~out], rank[~out]
+                size, lowest = size[~ready], lowest[~ready]
+            if not len(word):
+                break
+            hits = np.flatnonzero(rank == np.repeat(lowest, size))
+            hits = hits[np.append(True, word[hits[1:]] != word[hits[:-1]])]
+            symbol[hits] = made[lowest]
+            stay = np.ones(len(word), bool)
+            stay[hits + 1] = False
+            word, symbol, rank = word[stay], symbol[stay], rank[stay]
+            hits -= np.arange(len(hits))
+            for left in (hits, hits[(hits > 0) & (word[hits - 1] == word[hits])] - 1):
+                right = np.minimum(left + 1, len(word) - 1)
+                pair = np.where((word[right] == word[left]) & (right > left), symbol[left] << 20 | symbol[right], -1)
+                rank[left] = _ranks(keys, ranks, pair)
+        word = np.concatenate([np.zeros(0, np.int64), *(w for w, _ in done)])
+        ids = np.concatenate([np.zeros(0, np.int64), *(i for _, i in done)])
+        return ids[np.argsort(word, kind="stable")].astype(np.uint32), np.bincount(word, minlength=len(starts))
+
     def encode_word(self, word: bytes) -> list[int]:
         """Merge the pair of lowest rank, leftmost first, until none is left."""
         ids = [self.first[b] for b in word[:-1]] + [self.last[word[-1]]]
@@ -163,7 +281,8 @@ class Lexicon:
     """Words to id sequences in a minimal acyclic automaton, read in place.
 
     Layout: five counts, then the arrays of arc starts of states, arc targets, arc
-    numbers, starts of id sequences, ids, then final flags and arc labels (bytes).
+    numbers, starts of id sequences, ids, arc keys (state and label, ascending), then final
+    flags and arc labels (bytes).
     """
 
     @staticmethod
@@ -201,107 +320,139 @@ class Lexicon:
         close(0)
         root = freeze(path[0][0], path[0][1])
 
-        arc_starts, targets, numbers, labels = [0], [], [], bytearray()
-        for final, arcs in states:
+        arc_starts, targets, numbers, labels, keys = [0], [], [], bytearray(), []
+        for state, (final, arcs) in enumerate(states):
             number = int(final)
             for label, target in arcs:
                 labels.append(label)
+                keys.append(state << 8 | label)
                 targets.append(target)
                 numbers.append(number)
                 number += words[target]
             arc_starts.append(len(targets))
         head = [len(states), len(targets), len(starts), len(ids), root]
         finals = bytes(final for final, _ in states)
-        return np.array([*head, *arc_starts, *targets, *numbers, *starts, *ids], np.int32).tobytes() + finals + labels
+        return np.array([*head, *arc_starts, *targets, *numbers, *starts, *ids, *keys], np.int32).tobytes() + finals + labels
 
     def __init__(self, data: mmap.mmap | bytes):
         self.data = data
-        ints = memoryview(data)
-        n_states, n_arcs, n_starts, n_ids, self.root = ints[:20].cast("i")
+        n_states, n_arcs, n_starts, n_ids, self.root = np.frombuffer(data, np.int32, 5).tolist()
         at = 20
         parts = []
-        for n in (n_states + 1, n_arcs, n_arcs, n_starts, n_ids):
-            parts.append(ints[at : at + 4 * n].cast("i"))
+        for n in (n_states + 1, n_arcs, n_arcs, n_starts, n_ids, n_arcs):
+            parts.append(np.frombuffer(data, np.int32, n, at))
             at += 4 * n
-        self.arcs, self.targets, self.numbers, self.starts, self.ids = parts
-        self.finals = ints[at : at + n_states]
+        self.arcs, self.targets, self.numbers, self.starts, self.ids, self.keys = parts
+        self.finals = np.frombuffer(data, np.bool_, n_states, at)
         self.labels_at = at + n_states
 
     def find(self, word: bytes) -> list[int] | None:
-        state, place, shift = self.root, 0, self.labels_at
-        arcs, find = self.arcs, self.data.find
-        for i in range(len(word)):
-            arc = find(word[i : i + 1], arcs[state] + shift, arcs[state + 1] + shift) - shift
-            if arc < 0:
-                return None
-            place += self.numbers[arc]
-            state = self.targets[arc]
-        if not self.finals[state]:
-            return None
-        return self.ids[self.starts[place] : self.starts[place + 1]].tolist()
-
-
-class _Words(dict):
-    """Ids of normalised words as bytes: a bounded number of words, emptied when full."""
-
-    def __init__(self, merges: Merges, lexicon: Lexicon):
-        super().__init__()
-        self.merges, self.lexicon = merges, lexicon
-
-    def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        short = len(raw) <= LONGEST
-        found = self.lexicon.find(raw) if short else None
-        ids = found if found is not None else self.merges.encode_word(raw)
-        out = array("I", ids).tobytes()
-        if short:
-            if len(self) >= MEMO:
-                self.clear()
-            self[word] = out
-        return out
-
-
-class _Chunks(dict):
-    """The same for what stands between ASCII white space in a raw text. No word
-    reaches over white space, and white space composes with no character."""
-
-    def __init__(self, merges: Merges, lexicon: Lexicon):
-        super().__init__()
-        self.words_of, self.word = merges.words_of, _Words(merges, lexicon).__getitem__
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        out = b"".join(map(self.word, self.words_of(chunk.decode())))
-        if len(chunk) <= LONGEST:
-            if len(self) >= 2 * MEMO:
-                self.clear()
-            self[chunk] = out
-        return out
+        data = np.frombuffer(word, np.uint8)
+        place = int(self.find_all(data, np.array([0]), np.array([len(word)]))[0])
+        return self.ids[self.starts[place] : self.starts[place + 1]].tolist() if place >= 0 else None
+
+    def find_all(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of the words at byte ranges of ``data``, -1 of those that it lacks."""
+        places = np.full(len(starts), -1)
+        which = np.flatnonzero(ends - starts <= LONGEST)
+        at, state = starts[which], np.full(len(which), self.root)
+        number = np.zeros(len(which), np.int64)
+        while len(which):
+            over = at == ends[which]
+            final = over & self.finals[state]
+            places[which[final]] = number[final]
+            if not len(self.keys):
+                break
+            which, at, state, number = which[~over], at[~over], state[~over], number[~over]
+            key = state << 8 | data[at]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[arc] == key
+            which, at, arc = which[hit], at[hit] + 1, arc[hit]
+            state, number = self.targets[arc].astype(np.int64), number[hit] + self.numbers[arc]
+        return places
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ranges of ``flat`` one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
 
 
 class Encoder:
-    """Texts to ids and back."""
+    """Columns of texts to ids, and back to the bytes of the decoded texts.
 
-    def __init__(self, merges: Merges, lexicon: Lexicon):
-        self.merges = merges
-        self.ids = _Chunks(merges, lexicon).__getitem__
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for part in self._parts(text):
-            if part in self.merges.special:
-                out.append(array("I", [self.merges.special[part]]).tobytes())
-            else:
-                out.extend(map(self.ids, part.encode().split()))
-        return b"".join(out)
-
-    def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.merges.tokens.__getitem__, memoryview(ids).cast("I")))
+    Remembers ids of at most ``MEMO`` chunks, of 16 ids on average, and those of one
+    slice, then starts anew.
+    """
 
-    def _parts(self, text: str) -> list[str]:
-        if "<|" not in text:
-            return [text] if text else []
-        return [p for p in self.merges.split(text) if p]
+    def __init__(self, merges: Merges, lexicon: Lexicon):
+        self.merges, self.lexicon = merges, lexicon
+        pieces = pa.array([token + " " for token in merges.tokens], pa.large_string())
+        self.pieces = pieces
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after the other (unsigned 32-bit), and where each row starts."""
+        pieces, marks, rows = self.merges.segments(column)
+        chunks = pc.ascii_split_whitespace(pieces)
+        coded = chunks.flatten().dictionary_encode()
+        at = self._at(coded.dictionary.to_numpy(False).tolist())[np.asarray(coded.indices)]
+        sizes = self.sizes[at]
+        ids = _gather(self.flat, self.starts[at], sizes)
+        ends = np.append(0, np.cumsum(sizes))
+        offsets = np.asarray(chunks.offsets)
+        starts = ends[offsets - offsets[0]]
+        special = marks >= 0
+        if special.any():
+            ids = np.insert(ids, starts[:-1][special], marks[special])
+            starts = starts + np.append(0, np.cumsum(special))
+        return ids, starts[rows]
+
+    def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[memoryview]:
+        """Per row the pieces of its ids joined by spaces, as UTF-8."""
+        taken = self.pieces.take(pa.array(ids))
+        data, offsets = text_buffers(taken)
+        view, cut = memoryview(data), offsets[starts].tolist()
+        return [view[a : max(a, b - 1)] for a, b in zip(cut, cut[1:])]
+
+    def _at(self, chunks: list[str]) -> np.ndarray:
+        """Where the ids of the chunks are remembered."""
+        known = self.places.get
+        found = np.array([known(c, -1) for c in chunks], np.int64)
+        missing = np.flatnonzero(found < 0)
+        if len(self.sizes) + len(missing) > MEMO or len(self.flat) > 16 * MEMO:
+            self._forget()
+            missing = np.arange(len(chunks))
+        if len(missing):
+            new = [chunks[i] for i in missing.tolist()]
+            ids, sizes = self._ids_of(new)
+            found[missing] = len(self.sizes) + np.arange(len(missing))
+            self.places.update(zip(new, found[missing].tolist()))
+            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.sizes, self.flat = np.append(self.sizes, sizes), np.append(self.flat, ids)
+        return found
+
+    def _ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks one after the other, and how many each has."""
+        words, counts = self.merges.words_of(chunks)
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        data, offsets = text_buffers(coded.dictionary)
+        place = self.lexicon.find_all(data, offsets[:-1], offsets[1:])
+        lacking = np.flatnonzero(place < 0)
+        merged, n_merged = self.merges.encode_all(data, offsets[lacking], offsets[lacking + 1])
+        listed = np.append(self.lexicon.ids.view(np.uint32), merged)
+        starts, sizes = self.lexicon.starts[place].astype(np.int64), np.zeros(len(place), np.int64)
+        known = place >= 0
+        sizes[known] = self.lexicon.starts[place[known] + 1] - starts[known]
+        starts[lacking] = len(self.lexicon.ids) + np.cumsum(n_merged) - n_merged
+        sizes[lacking] = n_merged
+        word = np.asarray(coded.indices)
+        upto = np.append(0, np.cumsum(sizes[word]))[np.append(0, np.cumsum(counts))]
+        return _gather(listed, starts[word], sizes[word]), np.diff(upto)
 
 
 def frequent_words(documents: DataFrame, tokenizer_path: str, size: int = LEXICON) -> list[str]:
@@ -322,17 +473,17 @@ def frequent_words(documents: DataFrame, tokenizer_path: str, size: int = LEXICO
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _merges_of(name)
         chunks: Counter = Counter()
-        for part in parts_of(batches, "text"):
-            for text in part.column("text").to_pylist():
-                for piece in merges.split(text) if text and "<|" in text else [text or ""]:
-                    if piece not in merges.special:
-                        chunks.update(piece.encode().split())
+        for part in parts_of(batches, "text", SLICE):
+            pieces, _, _ = merges.segments(part.column("text"))
+            seen = pc.ascii_split_whitespace(pieces).flatten().value_counts()
+            for chunk, n in zip(seen.field(0).to_numpy(False).tolist(), seen.field(1).to_numpy(False).tolist()):
+                chunks[chunk] += n
             if len(chunks) > 2 * SUMMARY:
                 chunks = lower(chunks, SUMMARY)
         counts: Counter = Counter()
-        for chunk, n in chunks.items():
-            for word in merges.words_of(chunk.decode()):
-                counts[word] += n
+        words, n_words = merges.words_of(list(chunks))
+        for word, n in zip(words, np.repeat(np.fromiter(chunks.values(), np.int64, len(chunks)), n_words).tolist()):
+            counts[word] += n
         kept = [(w, n) for w, n in lower(counts, size).items() if len(w) <= LONGEST // 4]
         for i in range(0, len(kept), 10_000):
             words, numbers = zip(*kept[i : i + 10_000])
@@ -395,11 +546,10 @@ def encode_documents(
     (doc_id, text)."""
 
     def rows(part: pa.RecordBatch, encoder: Encoder) -> list[pa.Array]:
-        ids = [encoder.encode(t or "") for t in part.column("text").to_pylist()]
-        ends = np.cumsum([0, *map(len, ids)]) // 4
-        flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-        return [lists, *([pa.array(map(encoder.decode, ids), pa.string())] if decode else [])]
+        ids, starts = encoder.encode(part.column("text"))
+        lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.view(np.int32)))
+        texts = [str(text, "utf-8") for text in encoder.decode(ids, starts)] if decode else []
+        return [lists, *([pa.array(texts, pa.string())] if decode else [])]
 
     schema = "ids array<int>" + ", decoded string" * decode
     return _encoded(documents, tokenizer_path, words, rows, schema)
@@ -410,11 +560,13 @@ def encode_digests(documents: DataFrame, tokenizer_path: str, words: list[str] |
     or pieces back to Spark."""
 
     def rows(part: pa.RecordBatch, encoder: Encoder) -> list[pa.Array]:
-        both = [(i := encoder.encode(t or ""), encoder.decode(i)) for t in part.column("text").to_pylist()]
+        ids, starts = encoder.encode(part.column("text"))
+        raw, cut = memoryview(ids.astype("<u4", copy=False)).cast("B"), (4 * starts).tolist()
+        sha256 = hashlib.sha256
         return [
-            pa.array([len(ids) // 4 for ids, _ in both], pa.int64()),
-            pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in both], pa.string()),
-            pa.array([hashlib.sha256(text.encode()).hexdigest() for _, text in both], pa.string()),
+            pa.array(np.diff(starts), pa.int64()),
+            pa.array([sha256(raw[a:b]).hexdigest() for a, b in zip(cut, cut[1:])], pa.string()),
+            pa.array([sha256(text).hexdigest() for text in encoder.decode(ids, starts)], pa.string()),
         ]
 
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -429,7 +581,7 @@ def _encoded(documents: DataFrame, tokenizer_path: str, words, rows, schema: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder_of(*names)
-        for part in parts_of(batches, "text"):
+        for part in parts_of(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *rows(part, encoder)], columns)
 
     kind = documents.schema["doc_id"].dataType.simpleString()

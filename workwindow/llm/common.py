@@ -70,11 +70,13 @@ def _trim():
         return lambda _: None
 
 
-def parts_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def parts_of(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """All slices of all batches of a task. Python workers live on after a task, so at
     its end what is free goes back to the system."""
     for batch in batches:
-        yield from slices(batch, column)
+        yield from slices(batch, column, limit)
         del batch
     pa.default_memory_pool().release_unused()
     _trim()(0)
