@@ -526,7 +526,7 @@ def _merges_of(name: str) -> Merges:
 
 
 @functools.lru_cache(1)
-def _encoder_of(merges: str, lexicon: str) -> Encoder:
+def encoder_of(merges: str, lexicon: str) -> Encoder:
     """The encoder of a worker, made once."""
     return Encoder(_merges_of(merges), Lexicon(mapped_bytes(lexicon)))
 
@@ -580,7 +580,7 @@ def _encoded(documents: DataFrame, tokenizer_path: str, words, rows, schema: str
     columns = ["doc_id", *(c.split()[0] for c in schema.split(", "))]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder_of(*names)
+        encoder = encoder_of(*names)
         for part in parts_of(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *rows(part, encoder)], columns)
 

@@ -222,4 +222,87 @@ SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backed_off,
 FROM documents d LEFT JOIN sums USING (doc_id)
 """
 
-SQL = {"op8_lm_scores": OP8, "op2_license_scan": OP2, "op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10}
+OP11 = """
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS bytes
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, b:
+      list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i:
+        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS kind
+  FROM keyed
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))
+  WHERE kind <> 0
+), ordered AS (
+  SELECT conv_id, turn, role, text, substr(role, 1, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS body
+  FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM ordered
+), counted AS (
+  SELECT conv_id, count(*) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+), inserts(x, z, said) AS (
+  VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 2, 'I'), (1, 3, 'II'), (2, 3, 'I'), (3, 2, 'I')
+), edits(initial, z, y, said, cost) AS (
+  VALUES ('s', 0, 1, 'K', 0), ('u', 0, 2, 'K', 0), ('u', 1, 2, 'K', 0), ('u', 3, 2, 'K', 0), ('a', 2, 3, 'K', 0),
+         ('*', 0, 2, 'R', 3), ('*', 1, 2, 'R', 3), ('*', 3, 2, 'R', 3), ('*', 2, 3, 'R', 3),
+         ('*', 0, 0, 'D', 4), ('*', 1, 1, 'D', 4), ('*', 2, 2, 'D', 4), ('*', 3, 3, 'D', 4)
+), moves AS (
+  SELECT f.conv_id, f.i, a.x, e.y, a.said || e.said AS said,
+         3 * length(a.said) + e.cost + CASE WHEN f.fault = 'truncated' AND e.said <> 'D' THEN 3 ELSE 0 END AS cost
+  FROM faulty f JOIN edits e ON e.initial IN (f.initial, '*') AND (e.said = 'D' OR f.fault IN ('truncated', 'none'))
+  JOIN inserts a ON a.z = e.z
+), paths AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, struct_pack(cost := 0::BIGINT, audit := '') AS best FROM counted
+  UNION ALL
+  SELECT p.conv_id, m.i, m.y, min(struct_pack(cost := p.best.cost + m.cost, audit := p.best.audit || m.said))
+  FROM paths p JOIN moves m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.i = p.i + 1 AND m.x = p.state
+  GROUP BY p.conv_id, m.i, m.y
+), chosen AS (
+  SELECT p.conv_id, min(struct_pack(cost := p.best.cost + 3 * length(a.said), audit := p.best.audit || a.said)) AS best
+  FROM paths p JOIN counted c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i
+  JOIN inserts a ON a.x = p.state WHERE a.z IN (0, 3)
+  GROUP BY p.conv_id
+), letters AS (
+  SELECT conv_id, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS k FROM chosen
+), said AS (
+  SELECT conv_id, k, audit[k] AS edit,
+         count(*) FILTER (audit[k] <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i,
+         count(*) FILTER (audit[k] <> 'D') OVER (PARTITION BY conv_id ORDER BY k) AS place
+  FROM letters
+), lines AS (
+  SELECT s.conv_id, s.k, s.place, s.edit, f.role, f.text,
+         bool_or(s.edit = 'K' AND f.initial = 's') OVER (PARTITION BY s.conv_id) AS system
+  FROM said s LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i AND s.edit <> 'I'
+  WHERE s.edit <> 'D'
+), repaired AS (
+  SELECT conv_id, string_agg(
+           CASE WHEN edit = 'K' THEN role WHEN (place + CASE WHEN system THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || coalesce(text, ''), chr(10) ORDER BY k) AS body
+  FROM lines GROUP BY conv_id
+)
+SELECT DISTINCT v.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(h.best.cost, 0)::BIGINT AS cost,
+       coalesce(h.best.audit, '') AS audit, sha256(coalesce(r.body, '')) AS repaired_sha256
+FROM conversations v
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN chosen h ON h.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
+
+SQL = {"op8_lm_scores": OP8, "op2_license_scan": OP2, "op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10, "op11_conversation_repair": OP11}

@@ -14,7 +14,9 @@ from workwindow.llm import (
     mixing,
     near_duplicates,
     neighbours,
+    packing,
     quality,
+    repair,
     token_counts,
 )
 from workwindow.llm.common import table, tokenizer
@@ -101,6 +103,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.report(conversations, repair.damaged(conversations))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    pieces = packing.pieces_of(documents, tokenizer("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(pieces)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -112,5 +125,7 @@ QUERIES = {
     "op8_lm_scores": op8_lm_scores,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_mixing": op10_mixing,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_best_fit_packing": op12_best_fit_packing,
 }
 ORACLES = {name: SQL[name] for name in QUERIES if name in SQL}
