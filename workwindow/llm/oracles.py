@@ -305,4 +305,37 @@ LEFT JOIN chosen h ON h.conv_id IS NOT DISTINCT FROM v.conv_id
 LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM v.conv_id
 """
 
-SQL = {"op8_lm_scores": OP8, "op2_license_scan": OP2, "op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10, "op11_conversation_repair": OP11}
+OP13 = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), totals AS (
+  SELECT count(*) AS n_docs, sum(len(terms)) AS n_all FROM split WHERE len(terms) > 0
+), tf AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM split) GROUP BY d, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, totals GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id,
+         list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM benchmark WHERE text IS NOT NULL
+), asked AS (
+  SELECT i, item_id, unnest(terms) AS term FROM items
+), lengths AS (
+  SELECT d, doc_id, 100 - 50 + (50 * len(terms) * n_docs)::BIGINT // n_all::BIGINT AS m FROM split, totals
+), scores AS (
+  SELECT a.i, a.item_id, l.d, l.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked a JOIN tf USING (term) JOIN weights USING (term) JOIN lengths l USING (d)
+  GROUP BY a.i, a.item_id, l.d, l.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+SQL = {"op8_lm_scores": OP8, "op2_license_scan": OP2, "op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10, "op11_conversation_repair": OP11, "op13_lexical_search": OP13}

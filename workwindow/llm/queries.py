@@ -16,6 +16,7 @@ from workwindow.llm import (
     neighbours,
     packing,
     quality,
+    ranking,
     repair,
     token_counts,
 )
@@ -114,6 +115,10 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -127,5 +132,6 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLES = {name: SQL[name] for name in QUERIES if name in SQL}
