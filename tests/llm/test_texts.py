@@ -171,29 +171,41 @@ def test_short_and_long_merges_agree(path):
 # LM scores
 
 
-def brute_scores(texts):
+def brute_scores(texts, order=2):
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
-    pairs = [Counter(zip([0, *w[:-1]], w)) for w in words]
-    ones = [Counter(w) + Counter({0: 1} if w else {}) for w in words]
-    all_pairs, all_ones = sum(pairs, Counter()), sum(ones, Counter())
-    total = sum(n for w, n in all_ones.items() if w != 0)
+
+    def grams(w, k):
+        padded = [0] * (k - 1) + w
+        return Counter(tuple(padded[i : i + k]) for i in range(len(w)))
+
+    own = [[Counter(), *(grams(w, k) for k in range(1, order + 1))] for w in words]
+    for w, counts in zip(words, own):
+        for k in range(1, order):
+            counts[k][(0,) * k] += bool(w)
+    everywhere = [sum((counts[k] for counts in own), Counter()) for k in range(order + 1)]
+    total = sum(map(len, words))
     out = []
-    for w, p, o in zip(words, pairs, ones):
+    for w, counts in zip(words, own):
+        rest = [Counter({g: n - counts[k][g] for g, n in everywhere[k].items()}) for k in range(order + 1)]
         score, backed = 0.0, 0
-        for (a, b), n in p.items():
-            if all_pairs[a, b] > n:
-                score += n * log((all_pairs[a, b] - n) / (all_ones[a] - o[a]))
-            else:
-                score += n * log(0.4 * max(all_ones[b] - o[b], 1) / total)
-                backed += n
+        for i in range(len(w)):
+            gram = tuple(([0] * (order - 1) + w)[i : i + order])
+            k = next((k for k in range(order, 1, -1) if rest[k][gram[order - k :]] > 0), 1)
+            gram = gram[order - k :]
+            score += (order - k) * log(0.4) + (
+                log(rest[k][gram] / rest[k - 1][gram[:-1]]) if k > 1 else log(max(rest[1][gram], 1) / total)
+            )
+            backed += k < order
         out.append((len(w), backed, round(score, 6)))
     return out
 
 
-def test_lm_scores_leave_the_own_text_out(docs, prose):
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_scores_leave_the_own_text_out(docs, prose, order):
     texts = [None, "", "one", "the the the", *(prose(i) for i in range(12)), prose(2), "x " * 3000]
-    found = {r.doc_id: r for r in lm_scores.lm_scores(docs(enumerate(texts), more=True), passes=3).collect()}
-    for i, want in enumerate(brute_scores(texts)):
+    found = lm_scores.lm_scores(docs(enumerate(texts), more=True), order, slice_bytes=500, part_bytes=900)
+    found = {r.doc_id: r for r in found.collect()}
+    for i, want in enumerate(brute_scores(texts, order)):
         got = (found[i].n_words, found[i].n_backed_off, round(found[i].log_score, 6))
         assert got[:2] == want[:2] and got[2] == pytest.approx(want[2], abs=2e-5)
     assert found[0].mean_log_score is None
@@ -208,13 +220,14 @@ def test_text_buffers_of_a_sliced_column_with_nulls():
     assert bytes(data) == "äb".encode() and offsets.tolist() == [0, 0, 3, 3]
 
 
-def test_lm_scores_ask_nothing_for_hot_words_and_pairs(docs, prose, monkeypatch):
-    monkeypatch.setattr(lm_scores, "HOT", 5)
-    asked, lists = [], lm_scores.explode_pairs
-    monkeypatch.setattr(lm_scores, "explode_pairs", lambda *a: asked.append(lists(*a)) or asked[-1])
-    texts = [None, "", "a b", "a b c", *["a b a b"] * 4, *(prose(i) for i in range(12)), "x " * 300]
-    found = {r.doc_id: r for r in lm_scores.lm_scores(docs(enumerate(texts), more=True), passes=2).collect()}
-    for i, want in enumerate(brute_scores(texts)):
-        assert (found[i].n_words, found[i].n_backed_off, round(found[i].log_score, 6)) == pytest.approx(want, abs=1e-5)
-    pairs = [(a, b) for rows in asked for r in rows.collect() if r.b is not None for a, b in zip(r.a, r.b)]
-    assert max(pairs.count(p) for p in set(pairs)) <= 5
+def test_frequent_grams_have_one_entry_a_slice(docs, prose):
+    texts = [None, "", "a b", "a b c", *["a b a b"] * 40, *(prose(i) for i in range(12)), "x " * 300]
+    slices = lm_scores.sliced(docs(enumerate(texts)).repartition(3), 200)
+    n_slices = slices.select("slice").distinct().count()
+    blocks = lm_scores.explode(slices, 3, 2).collect()
+    assert len({(r.part, r.slice) for r in blocks}) == len(blocks) and {r.part for r in blocks} <= set(range(8))
+    entries = Counter(h for r in blocks for h in lm_scores._values([r.hashes], np.uint64).tolist())
+    assert 3 < n_slices < len(texts) and max(entries.values()) <= n_slices
+    n = sum(int(lm_scores._values([r.n], np.int64).sum()) for r in blocks)
+    words = [len((t or "").split()) for t in texts]
+    assert n == 2 * sum(words) + sum(map(bool, words))

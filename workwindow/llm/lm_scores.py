@@ -1,395 +1,186 @@
 """Stupid-backoff language model scores of documents against the rest of the corpus.
 
-The model has words and word pairs; each text starts with a start mark. A word w after v
-scores c(v w) / c(v) if the pair occurs elsewhere, else ``BACKOFF`` * c(w) / N. All counts
-but N are of the whole corpus less the document's own, so no document vouches for itself; a
-word that occurs nowhere else counts once.
-
-1. The unigram table counts all words, combined per task before its shuffle.
-2. Pairs are exploded once per document and carried in blocks: one row per slice of
-   documents and hash part, with arrays of words, counts and places of documents. A
-   document has a pair once, so no pair holds more entries than there are documents.
-3. In a part all entries of a pair meet: its count, and which documents find it. What
-   then needs a unigram count (the context of a found pair, the word of another) goes
-   on, as blocks again, to the part of that word, to be joined with the unigram table.
-4. Sums go back by slice and are added up per document.
-
-Words and pairs that occur more than ``HOT`` times, of which there are few, do not take
-that way: their counts go to the tasks, hot pairs are scored where the texts are read and
-requests for hot words where they arise. So no group holds more than ``HOT`` entries of
-one word or pair.
-
-``PASSES`` ranges of the pairs' hashes are worked off one after the other, each ending in
-a table of sums, so that the shuffles on disk are a fraction of the input. Words are
-named by 64-bit hashes.
+A word scores the count of its longest n-gram that occurs elsewhere over that of the words
+before it, times ``BACKOFF`` for every order given up; a word that occurs nowhere else
+counts once. Texts start with start marks. All counts are of the whole corpus less the
+document's own, so no document vouches for itself; only the number of all words is not.
+
+1. Texts are dealt out in slices of about ``SLICE`` bytes. A slice explodes its n-grams of
+   all orders, adds up equal ones, and sends them by the first bits of their hashes: a row
+   for each slice and part. So no n-gram, however frequent, has more entries than there
+   are slices.
+2. In a part all entries of an n-gram meet: the count table of the part, joined to the
+   entries at once. Each row goes back to its slice with the totals in the same order.
+3. The slice, again with its texts, subtracts own counts and adds up the scores of each
+   document; rows of one doc_id are added up last.
+
+N-grams are named by 64-bit hashes; a part holds those of about ``PART`` bytes of text, and
+the number of parts follows from the size of the texts.
 
 Defined results: one row per doc_id; rows that share one are scored as texts of their
 own and added, those without one likewise; a null or blank text has no words, score 0 and
-a null mean; an empty table gives an empty result.
+a null mean; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import gc
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workwindow.llm.common import mix, parts_of, slices, text_buffers, word_hashes
+from workwindow.llm.common import mix, slices, text_buffers, word_hashes
 from workwindow.session import stage
 
-BACKOFF = 0.4
-PASSES = 4
-#: Bytes of text that make one slice, and of a part of the pairs in one pass.
-SLICE, PART = 2 << 20, 16 << 20
-#: Occurrences above which tasks know the count of a word or pair.
-HOT = 1 << 18
-START = 0x2545F4914F6CDD1D
-_PAIR = np.uint64(0x9FB21C651E98DF25)
-_BLOCK = "part int, slice bigint, docs array<smallint>, a array<bigint>, b array<bigint>, n array<int>, na array<int>, nb array<int>"
+BACKOFF, ORDER = 0.4, 2
+#: Bytes of text that make one slice, and whose n-grams make a part.
+SLICE, PART = 4 << 20, 8 << 20
+START = np.uint64(0x2545F4914F6CDD1D)
+_NEXT = np.uint64(0x9FB21C651E98DF25)
 
 
-def unigrams(documents: DataFrame) -> DataFrame:
-    """word (hash) and n; the start mark counts the texts that have words."""
+def sliced(documents: DataFrame, size: int = SLICE) -> DataFrame:
+    """slice, doc_id and text: the documents of a task, cut by bytes."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for part in parts_of(batches, "text"):
-            found, first = word_hashes(*text_buffers(part.column("text")))
-            found = np.append(found, np.full(int((np.diff(first) > 0).sum()), START, np.uint64))
-            new, n = np.unique(found, return_counts=True)
-            words, counts = np.append(words, new), np.append(counts, n)
-            if len(words) > 1 << 21:
-                words, counts = _summed(words, counts)
-                if len(words) > 1 << 20:  # a bounded table: the rest is added up after the shuffle
-                    yield _counted(words, counts)
-                    words, counts = words[:0], counts[:0]
-        yield _counted(*_summed(words, counts))
-
-    rows = documents.select("text").mapInArrow(count, "word bigint, n bigint")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _summed(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    words, at = np.unique(words, return_inverse=True)
-    return words, np.bincount(at, counts, len(words)).astype(np.int64)
-
-
-def _counted(words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
-
-
-def _runs(keys: np.ndarray) -> np.ndarray:
-    """Where the runs of equal keys start."""
-    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-
-
-def _list(values: np.ndarray, ends: np.ndarray, kind) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
-
-
-def _lists(parts: np.ndarray, slice_ids: np.ndarray, columns: list[tuple[np.ndarray, object]]):
-    """Block rows from entries: grouped by part and slice."""
-    order = np.lexsort((slice_ids, parts))
-    parts, slice_ids = parts[order], slice_ids[order]
-    starts = np.flatnonzero(np.append(True, (parts[1:] != parts[:-1]) | (slice_ids[1:] != slice_ids[:-1]))) if len(parts) else np.zeros(0, np.int64)
-    ends = np.append(starts, len(parts))
-    return [pa.array(parts[starts], pa.int32()), pa.array(slice_ids[starts], pa.int64()),
-            *(_list(c[order], ends, kind) for c, kind in columns)]
-
-
-def _known(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    """Counts of ``keys`` in a table sorted by key; 0 of those that it lacks."""
-    names, counts = table
-    if not len(names):
-        return np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
-    return np.where(names[at] == keys, counts[at], 0)
-
-
-def _hot(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Words and counts of the rows above ``HOT``: at most one for each ``HOT`` words of text."""
-    rows = sorted(counts.filter(F.col("n") > HOT).select("word", "n").collect())
-    return np.array([r.word for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
-
-
-def _pairs_in(part: pa.RecordBatch):
-    """Of every word: its row, the word before, the word, their pair; word counts of the rows."""
-    words, first = word_hashes(*text_buffers(part.column("text")))
-    n_words = np.diff(first)
-    row = np.repeat(np.arange(part.num_rows), n_words)
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    before[first[:-1][n_words > 0]] = START
-    return row, before, words, mix(before * _PAIR + words), n_words, first
-
-
-def _own_counts(row: np.ndarray, words: np.ndarray, n_words: np.ndarray, first: np.ndarray):
-    """A hash of each word's row; how often the word before and the word are in their own text."""
-    own = mix(row.astype(np.uint64) + np.uint64(1))
-    _, inverse, n_own = np.unique(words ^ own, return_inverse=True, return_counts=True)
-    of_word = n_own[inverse]
-    of_before = np.ones(len(words), np.int64)
-    of_before[1:] = of_word[:-1]
-    of_before[first[:-1][n_words > 0]] = 1
-    return own, of_before, of_word
-
-
-def pair_counts(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """word (hash of a pair) and n of the pairs of two hot words; no other can be hot."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts_of(batches, "text"):
-            _, before, words, pair, _, _ = _pairs_in(part)
-            both = (_known(hot, before.view(np.int64)) > 0) & (_known(hot, words.view(np.int64)) > 0)
-            yield _counted(*np.unique(pair[both], return_counts=True))
-
-    return documents.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def score_hot_pairs(documents: DataFrame, hot, hot_pairs, total: int) -> DataFrame:
-    """doc_id, n_words (0), score and backed of the hot pairs of every row."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts_of(batches, "text"):
-            row, before, words, pair, n_words, first = _pairs_in(part)
-            own, of_before, of_word = _own_counts(row, words, n_words, first)
-            chosen = np.flatnonzero(_known(hot_pairs, pair.view(np.int64)))
-            _, at, n = np.unique(pair[chosen] ^ own[chosen], return_index=True, return_counts=True)
-            at = chosen[at]
-            elsewhere = _known(hot_pairs, pair[at].view(np.int64)) - n
-            found = elsewhere > 0
-            word = np.where(found, before[at], words[at]).view(np.int64)
-            count = np.maximum(_known(hot, word) - np.where(found, of_before[at], of_word[at]), 1)
-            value = n * np.where(
-                found, np.log(np.maximum(elsewhere, 1)) - np.log(count), np.log(count) + np.log(BACKOFF / max(total, 1))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id").cast(pa.int64()),
-                    pa.array(np.zeros(part.num_rows, np.int64)),
-                    pa.array(np.bincount(row[at], value, part.num_rows)),
-                    pa.array(np.bincount(row[at], np.where(found, 0, n), part.num_rows).astype(np.int64)),
-                ],
-                ["doc_id", "n_words", "score", "backed"],
-            )
-
-    return documents.select("doc_id", "text").mapInArrow(score, "doc_id bigint, n_words bigint, score double, backed bigint")
-
-
-def explode_pairs(documents: DataFrame, n_parts: int, range_: int, passes: int, hot_pairs) -> DataFrame:
-    """Block rows of the pairs in one range of hashes, and a row per slice with the ids and
-    word counts of its documents."""
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 20
-        names = ["part", "slice", "docs", "a", "b", "n", "na", "nb"]
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in slices(batch, "text", size):
                 number += 1
-                row, before, words, pair, n_words, first = _pairs_in(part)
-                own, of_before, of_word = _own_counts(row, words, n_words, first)
-                chosen = np.flatnonzero((pair % np.uint64(passes) == range_) & (_known(hot_pairs, pair.view(np.int64)) == 0))
-                _, at, n_pair = np.unique(pair[chosen] ^ own[chosen], return_index=True, return_counts=True)
-                at = chosen[at]
-                # contexts side by side, so that they pack well
-                order = np.argsort(before[at])
-                at, n_pair = at[order], n_pair[order]
-                parts = ((pair[at] >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-                columns = [
-                    (row[at], pa.int16()),
-                    (before[at].view(np.int64), pa.int64()),
-                    (words[at].view(np.int64), pa.int64()),
-                    (n_pair, pa.int32()),
-                    (of_before[at], pa.int32()),
-                    (of_word[at], pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays(_lists(parts, np.full(len(at), number), columns), names)
-                ids = part.column("doc_id").cast(pa.int64())
-                # the ids and word counts of the slice travel along, told by a null b
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([number % n_parts], pa.int32()),
-                        pa.array([number], pa.int64()),
-                        _list(np.arange(len(ids)), [0, len(ids)], pa.int16()),
-                        pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                        pa.array([None], pa.list_(pa.int64())),
-                        _list(n_words, [0, len(ids)], pa.int32()),
-                        *[pa.array([None], pa.list_(pa.int32()))] * 2,
-                    ],
-                    names,
-                )
-
-    return documents.select("doc_id", "text").mapInArrow(explode, _BLOCK)
-
-
-def _flat(table: pa.Table, column: str) -> np.ndarray:
-    return np.asarray(table.column(column).combine_chunks().flatten())
-
-
-def _slices_of(table: pa.Table) -> np.ndarray:
-    lengths = np.asarray(pa.compute.list_value_length(table.column("docs").combine_chunks()), np.int64)
-    return np.repeat(np.asarray(table.column("slice")), lengths)
-
-
-_REQUEST = (
-    "part int, slice bigint, docs array<smallint>, word array<bigint>, n array<int>, own array<int>,"
-    " score array<double>, backed array<bigint>, whole boolean"
-)
-
-
-def _count_pairs(n_parts: int, hot: tuple[np.ndarray, np.ndarray], n_all: int):
-    def count(group: pa.Table) -> pa.Table:
-        passing = group.filter(group.column("b").is_null()).select(["part", "slice", "docs", "a", "n"])
-        passing = passing.rename_columns(["part", "slice", "docs", "word", "n"])
-        passing = passing.append_column("whole", pa.array([True] * len(passing), pa.bool_()))
-        group = group.filter(group.column("b").is_valid())
-        slice_ids, docs = _slices_of(group), _flat(group, "docs")
-        a, b, n = _flat(group, "a"), _flat(group, "b"), _flat(group, "n").astype(np.int64)
-        pair = mix(a.view(np.uint64) * _PAIR + b.view(np.uint64))
-        order = np.argsort(pair)
-        starts = _runs(pair[order])
-        total = np.add.reduceat(n[order], starts) if len(starts) else n
-        elsewhere = np.empty_like(n)
-        elsewhere[order] = np.repeat(total, np.diff(np.append(starts, len(n))))
-        elsewhere -= n
-        found = elsewhere > 0
-        # found: log of the pair's count now, less that of its context; else the word's count
-        word, own = np.where(found, a, b), np.where(found, _flat(group, "na"), _flat(group, "nb"))
-        known = _known(hot, word)
-        ask = known == 0
-        parts = ((word[ask].view(np.uint64) >> np.uint64(20)) % np.uint64(n_parts)).astype(np.int32)
-        columns = [(docs[ask], pa.int16()), (word[ask], pa.int64()), (np.where(found, -n, n)[ask], pa.int32()), (own[ask], pa.int32())]
-        asked = pa.table(_lists(parts, slice_ids[ask], columns), ["part", "slice", "docs", "word", "n", "own"])
-        asked = asked.append_column("score", pa.nulls(len(asked), pa.list_(pa.float64())))
-        asked = asked.append_column("backed", pa.nulls(len(asked), pa.list_(pa.int64())))
-        asked = asked.append_column("whole", pa.array([False] * len(asked), pa.bool_()))
-        # what is known now, added up per document
-        score = n * np.where(found, np.log(np.maximum(elsewhere, 1)), np.log(BACKOFF / max(n_all, 1)))
-        score += np.where(ask, 0.0, np.where(found, -n, n) * np.log(np.maximum(known - own, 1)))
-        sums = _summed_up(slice_ids, docs.astype(np.int64), {"score": score, "backed": np.where(found, 0, n)})
-        part = pa.array(np.mod(np.asarray(sums.column("slice")), n_parts), pa.int32())
-        return _both(asked, sums.append_column("part", part), passing)
-
-    return count
-
-
-def _summed_up(slice_ids: np.ndarray, docs: np.ndarray, values: dict[str, np.ndarray]) -> pa.Table:
-    """Sums by slice and document, a row a slice."""
-    key = slice_ids * 65536 + docs  # a slice has fewer rows
-    key, at = np.unique(key, return_inverse=True)
-    slice_ids, docs = key >> 16, key & 65535
-    starts = _runs(slice_ids)
-    ends = np.append(starts, len(key))
-    columns = {"slice": pa.array(slice_ids[starts], pa.int64()), "docs": _list(docs, ends, pa.int16())}
-    for name, value in values.items():
-        kind = pa.float64() if value.dtype == np.float64 else pa.int64()
-        columns[name] = _list(np.bincount(at, value, len(key)).astype(value.dtype), ends, kind)
-    return pa.table(columns)
-
-
-_SUMS = "slice bigint, docs array<smallint>, ids array<bigint>, n_words array<int>, score array<double>, backed array<bigint>"
-
-
-def _score():
-    """Joins requests with the unigram counts of their part and adds up per document."""
-
-    def score(requests: pa.Table, table: pa.Table) -> pa.Table:
-        has_score = requests.column("score").is_valid()
-        known = requests.filter(has_score).select(["slice", "docs", "score", "backed"])
-        requests = requests.filter(pa.compute.invert(has_score))
-        whole = requests.column("whole")
-        passing = requests.filter(whole).select(["slice", "docs", "word", "n"])
-        passing = passing.rename_columns(["slice", "docs", "ids", "n_words"])
-        requests = requests.filter(pa.compute.invert(whole))
-        names, counts = np.asarray(table.column("word")), np.asarray(table.column("n"))
-        order = np.argsort(names)
-        names, counts = names[order], counts[order]
-        slice_ids, docs = _slices_of(requests), _flat(requests, "docs").astype(np.int64)
-        word, n = _flat(requests, "word"), _flat(requests, "n").astype(np.int64)
-        own = _flat(requests, "own").astype(np.int64)
-        count = np.maximum(counts[np.searchsorted(names, word)] - own, 1) if len(word) else n
-        found = _summed_up(slice_ids, docs, {"score": n * np.log(count)})
-        for name, kind in (("ids", pa.int64()), ("n_words", pa.int32()), ("backed", pa.int64())):
-            found = found.append_column(name, pa.nulls(len(found), pa.list_(kind)))
-        return _both(found, known, passing).select(["slice", "docs", "ids", "n_words", "score", "backed"])
-
-    return score
-
-
-def _both(rows: pa.Table, *others: pa.Table) -> pa.Table:
-    """``rows`` and tables that lack some of their columns."""
-    tables = [rows]
-    for other in others:
-        for field in rows.schema:
-            if field.name not in other.column_names:
-                other = other.append_column(field.name, pa.nulls(len(other), field.type))
-        tables.append(other.select(rows.column_names).cast(rows.schema))
-    return pa.concat_tables(tables)
-
-
-def _by_document(group: pa.Table) -> pa.Table:
-    holder = group.filter(group.column("ids").is_valid())
-    sums = group.filter(group.column("ids").is_null())
-    ids = holder.column("ids")[0].values
-    docs = _flat(sums, "docs").astype(np.int64)
-    return pa.table(
-        {
-            "doc_id": ids,
-            "n_words": pa.array(_flat(holder, "n_words"), pa.int64()),
-            "score": pa.array(np.bincount(docs, _flat(sums, "score"), len(ids)), pa.float64()),
-            "backed": pa.array(_backed(sums, len(ids))),
+                columns = [pa.array(np.full(part.num_rows, number)), part.column("doc_id").cast(pa.int64()), part.column("text")]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "doc_id", "text"])
+
+    return documents.select("doc_id", "text").mapInArrow(cut, "slice bigint, doc_id bigint, text string")
+
+
+class Grams:
+    """The n-grams that end at each word of a slice, by order."""
+
+    def __init__(self, texts: pa.ChunkedArray, order: int):
+        column = texts.combine_chunks()
+        words, first = word_hashes(*text_buffers(column))
+        self.n_words = np.diff(first)
+        self.row = np.repeat(np.arange(len(column)), self.n_words)
+        self.opens = np.zeros(len(words), bool)
+        self.opens[first[:-1][self.n_words > 0]] = True
+        self.by_order = [words]
+        for k in range(1, order):
+            before = np.empty_like(words)
+            before[1:] = self.by_order[-1][:-1]
+            before[self.opens] = START
+            # orders apart, also after a start mark alone
+            self.by_order.append(mix(before * _NEXT + words + np.uint64(k)))
+        # different hashes in order: blocks by their first bits are ranges of them
+        all_ = np.append(np.concatenate(self.by_order), np.full(self.opens.sum(), START))
+        self.hashes, self.at, self.n = np.unique(all_, return_inverse=True, return_counts=True)
+
+    def blocks(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Parts that the hashes fall into, and where each part's hashes start."""
+        part = (self.hashes >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        return part[starts], np.append(starts, len(part))
+
+    def scores(self, totals: np.ndarray) -> dict[str, np.ndarray]:
+        """Per text: words, words scored by lower orders, words scored alone, and the sum of
+        log scores but for the number of all words, which the latter are divided by."""
+        n, order = len(self.row), len(self.by_order)
+        texts = len(self.n_words)
+        elsewhere, whole = [], totals[self.at]
+        for k, grams in enumerate(self.by_order):
+            _, inverse, own = np.unique(grams ^ mix(self.row.astype(np.uint64) + np.uint64(1)), return_inverse=True, return_counts=True)
+            elsewhere.append(whole[k * n : (k + 1) * n] - own[inverse])
+        start = whole[-1] - 1 if n else 0  # other texts with words
+        value = np.log(np.maximum(elsewhere[0], 1)) + (order - 1) * np.log(BACKOFF)
+        level = np.zeros(n, np.int64)
+        for k in range(1, order):
+            before = np.empty(n, np.int64)
+            before[1:] = elsewhere[k - 1][:-1]
+            before[self.opens] = start
+            found = elsewhere[k] > 0
+            level[found] = k
+            higher = np.log(np.maximum(elsewhere[k], 1)) - np.log(np.maximum(before, 1)) + (order - 1 - k) * np.log(BACKOFF)
+            value = np.where(found, higher, value)
+        by_text = functools.partial(np.bincount, self.row, minlength=texts)
+        return {
+            "n_words": self.n_words.astype(np.int64),
+            "backed": by_text(level < order - 1).astype(np.int64),
+            "alone": by_text(level == 0).astype(np.int64),
+            "score": by_text(value).astype(np.float64),
         }
-    )
-
-
-def _backed(sums: pa.Table, n: int) -> np.ndarray:
-    sums = sums.filter(sums.column("backed").is_valid())
-    return np.bincount(_flat(sums, "docs").astype(np.int64), _flat(sums, "backed"), n).astype(np.int64)
-
-
-def _release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffles of a pass whose result is written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def lm_scores(documents: DataFrame, passes: int = PASSES) -> DataFrame:
-    """doc_id, n_words, n_backed_off, log_score (sum of natural logs) and mean_log_score."""
-    spark = documents.sparkSession
-    counts = stage(unigrams(documents), "lm-unigrams")
-    size, total = (
-        documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0],
-        counts.filter(F.col("word") != START).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0],
-    )
-    n_parts = max(1, -(-size // (PART * passes)))
-    part_of = F.pmod(F.shiftrightunsigned("word", 20), F.lit(n_parts)).cast("int")
-    counts = counts.withColumn("part", part_of)
-    hot = _hot(counts)
-    hot_pairs = _hot(pair_counts(documents, hot)) if len(hot[0]) else hot
-    results = []
-    for range_ in range(passes):
-        blocks = explode_pairs(documents, n_parts, range_, passes, hot_pairs)
-        asked = blocks.groupBy("part").applyInArrow(_count_pairs(n_parts, hot, total), _REQUEST)
-        sums = asked.groupBy("part").cogroup(counts.groupBy("part")).applyInArrow(_score(), _SUMS)
-        scored = sums.groupBy("slice").applyInArrow(
-            _by_document, "doc_id bigint, n_words bigint, score double, backed bigint"
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """First all lowest bytes, last all highest: of sorted values the latter pack well."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _values(planes: list[bytes], kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = [np.frombuffer(p, np.uint8).reshape(size, -1).T for p in planes]
+    return np.concatenate([np.zeros((0, size), np.uint8), *flat]).copy().view(kind).ravel()
+
+
+def explode(slice_rows: DataFrame, bits: int, order: int) -> DataFrame:
+    """part, slice, hashes and n: a row for each part that a slice has n-grams of."""
+
+    def exploded(group: pa.Table) -> pa.Table:
+        grams = Grams(group.column("text"), order)
+        parts, cuts = grams.blocks(bits)
+        n = grams.n.astype(np.int64)
+        cut = list(zip(cuts.tolist(), cuts[1:].tolist()))
+        return pa.table(
+            {
+                "part": pa.array(parts, pa.int64()),
+                "slice": pa.array(np.full(len(parts), group.column("slice")[0].as_py()), pa.int64()),
+                "hashes": pa.array([_planes(grams.hashes[a:b]) for a, b in cut], pa.binary()),
+                "n": pa.array([_planes(n[a:b]) for a, b in cut], pa.binary()),
+            }
         )
-        results.append(stage(scored, "lm-sums"))
-        del blocks, asked, sums, scored
-        _release(spark)
-    # every pass has all documents, with their word counts in the first
-    rows = results[0]
-    for other in results[1:]:
-        rows = rows.unionByName(other.withColumn("n_words", F.lit(0).cast("long")))
-    if len(hot_pairs[0]):
-        rows = rows.unionByName(score_hot_pairs(documents, hot, hot_pairs, total))
-    return rows.groupBy("doc_id").agg(
-        F.sum("n_words").alias("n_words"),
-        F.sum("backed").alias("n_backed_off"),
-        F.sum("score").alias("log_score"),
+
+    return slice_rows.groupBy("slice").applyInArrow(exploded, "part bigint, slice bigint, hashes binary, n binary")
+
+
+def total_counts(blocks: DataFrame) -> DataFrame:
+    """part, slice and totals: for each hash of a block, in order, its count in all blocks."""
+
+    def count(group: pa.Table) -> pa.Table:
+        hashes = group.column("hashes").to_pylist()
+        sizes = [len(h) // 8 for h in hashes]
+        _, at = np.unique(_values(hashes, np.uint64), return_inverse=True)
+        totals = np.bincount(at, _values(group.column("n").to_pylist(), np.int64)).astype(np.int64)[at]
+        ends = np.cumsum(sizes).tolist()
+        back = [_planes(totals[e - s : e]) for s, e in zip(sizes, ends)]
+        return group.select(["part", "slice"]).append_column("totals", pa.array(back, pa.binary()))
+
+    return blocks.groupBy("part").applyInArrow(count, "part bigint, slice bigint, totals binary")
+
+
+def lm_scores(documents: DataFrame, order: int = ORDER, slice_bytes: int = SLICE, part_bytes: int = PART) -> DataFrame:
+    """doc_id, n_words, n_backed_off (not scored by the highest order), log_score (sum of
+    natural logs) and mean_log_score."""
+    size = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(0, (-(-size * order // part_bytes) - 1).bit_length())
+    texts = sliced(documents, slice_bytes)
+    totals = total_counts(explode(texts, bits, order))
+
+    def score(rows: pa.Table, replies: pa.Table) -> pa.Table:
+        grams = Grams(rows.column("text"), order)
+        replies = replies.sort_by("part")
+        found = _values(replies.column("totals").to_pylist(), np.int64)
+        if len(found) != len(grams.hashes):
+            raise ValueError("a slice changed between its two readings: stage the documents first")
+        return pa.table({"doc_id": rows.column("doc_id"), **grams.scores(found)})
+
+    by_slice = texts.groupBy("slice").cogroup(totals.groupBy("slice"))
+    scored = by_slice.applyInArrow(score, "doc_id bigint, n_words bigint, backed bigint, alone bigint, score double")
+    scored = scored.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("n_words", "backed", "alone", "score")))
+    scored = stage(scored, "lm-sums")
+    n_all = scored.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    log_score = F.col("score") - F.col("alone") * F.lit(float(np.log(max(n_all, 1))))
+    return scored.select(
+        "doc_id", "n_words", F.col("backed").alias("n_backed_off"), log_score.alias("log_score")
     ).withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))
