@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from checks import fixtures as fx
 from checks.local import local_session
 from workwindow.operators import curves, loss, pivots, stats, streaks, summary, weather
-from workwindow.operators.classify import classify, classify_packed, evaluation_summary
+from workwindow.operators.classify import classify, classify_by_site_rules, classify_packed, evaluation_summary
 from workwindow.plans.bundle import build_bundle
+from workwindow.rules import bysite
 from workwindow.session import stage
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -47,6 +48,9 @@ def main() -> None:
     rules, params = fx.LINEITEM_RULES, fx.PARAMS
     hourly = classify(truth, rules)
     packed = classify_packed(truth, rules)
+    many = stage(fx.truth_suppliers(spark, SF_DIR), "bench-suppliers")
+    site_rules = stage(bysite.packed_rules(fx.sound_supplier_config(spark, SF_DIR)), "bench-rules")
+    by_site = classify_by_site_rules(many, site_rules)
 
     def write_bundle() -> None:
         bundle = build_bundle(
@@ -60,6 +64,8 @@ def main() -> None:
 
     plans = {
         "classify": lambda: hourly,
+        "classify_site_rules": lambda: by_site,
+        "summary_site_rules": lambda: summary.summary_run(by_site),
         "evaluation_summary": lambda: evaluation_summary(hourly),
         "summary_run": lambda: summary.summary_run(hourly),
         "summary_monthly": lambda: summary.summary_monthly(hourly),

@@ -183,6 +183,21 @@ def sound_supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of seven suppliers one has a broken calendar, one is listed twice, one is missing, one
+    asks for a parameter that is not measured."""
+    sound = sound_supplier_config(spark, sf_dir)
+    kind = F.col("site_id").cast("long") % 7
+    asked = F.when(kind == 3, F.array_append("required_parameters", F.lit("rain")))
+    mixed = sound.filter(kind != 2).withColumns(
+        {
+            "calendar_model": F.when(kind == 0, "weekends").otherwise(F.col("calendar_model")),
+            "required_parameters": F.coalesce(asked, "required_parameters"),
+        }
+    )
+    return mixed.unionByName(mixed.filter(kind == 1))
+
+
 def customer_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One configuration per customer, most of them broken in some way."""
     key = F.col("c_custkey")
@@ -227,6 +242,38 @@ def customer_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_documents(base.withColumn("doc", doc))
 
 
+def part_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One configuration per part, each with one of the faults that customers never have."""
+    key = F.col("p_partkey")
+    kind = key % 9
+    plus = kind.isin(0, 2, 4)
+    many = ", ".join(f'"extra{i}"' for i in range(8))
+    base = table(spark, sf_dir, "part").select(
+        key.cast("string").alias("site_id"),
+        F.lit("UTC").alias("timezone"),
+        F.when(plus, "standard_3_plus").otherwise("base_only").alias("scenario_mode"),
+        F.lit("all_days").alias("calendar_model"),
+        key,
+        kind.alias("kind"),
+    )
+    kind = F.col("kind")
+    doc = F.format_string(
+        """{"custom_scenarios": [%s],
+            "required_parameters": ["wind_speed"],
+            "weather_thresholds": {"base": {"wind_speed": {"min": "%s"}}%s},
+            "time_bounds": {"start": "fixed_time", "end": "%s", "start_time": "08:00", "end_time": "17:00"},
+            "weekly_overrides": {"3": {%s"start_time": "%s", "end_time": "%s"}}}""",
+        F.when(kind == 0, '"", "fine"').when(kind == 1, '"one"').when(kind == 2, '"bad id"').when(kind == 4, many).otherwise(""),
+        F.when(kind == 3, F.concat(F.lit("low"), key.cast("string"))).otherwise("1"),
+        F.when(kind == 2, ', "bad id": {}').otherwise(""),
+        F.when(kind == 5, "dusk").otherwise("fixed_time"),
+        F.when(kind == 6, '"start": "dawn", ').otherwise(""),
+        F.when(kind == 7, "7:00").otherwise("08:00"),
+        F.when(kind == 8, "25:00").otherwise("12:00"),
+    )
+    return _from_documents(base.withColumn("doc", doc))
+
+
 def customers_some_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configurations of which every eighth site is listed twice; every fourth of the sound
     suppliers' sites is among them, under the name ``s<key>``."""

@@ -149,11 +149,11 @@ def _summary(base: str, *dims: str) -> str:
     return f"{base} SELECT {keys}, {METRICS} FROM (SELECT {keys}, {HOURS} FROM c GROUP BY ALL)"
 
 
-def _loss(*dims: str) -> str:
+def _loss(*dims: str, base: str = LINEITEM) -> str:
     keys = ", ".join([K, *dims])
     on = " AND ".join(f"l.{k.strip()} = d.{k.strip()}" for k in keys.split(","))
     cols = ", ".join(f"l.{k.strip()}" for k in keys.split(","))
-    return f"""{LINEITEM},
+    return f"""{base},
 lost AS (SELECT {keys}, limiting_param AS param, count(*) AS hours_lost
   FROM c WHERE loss_flag GROUP BY ALL),
 den AS (SELECT {keys}, count(*) FILTER (is_operational) AS op, count(*) FILTER (loss_flag) AS wl
@@ -342,6 +342,19 @@ c AS (SELECT *, op AS operational_flag, op AND failing IS NULL AS workable_flag,
   op AND failing IS NOT NULL AS loss_flag, CASE WHEN op THEN failing END AS limiting_param,
   op AS is_operational, op AND failing IS NULL AS is_workable FROM judged)"""
 
+# What fixtures.mixed_supplier_config leaves, and why the others are set aside.
+MIXED_CLASSIFIED = SITE_CLASSIFIED.replace("FROM supplier)", "FROM supplier WHERE s_suppkey % 7 > 3)")
+SET_ASIDE = f"""WITH hours AS ({LINEITEM_HOURS.format(site="l_suppkey")}),
+counted AS (SELECT site_id, count(*) AS n FROM hours GROUP BY site_id),
+site AS (SELECT CAST(s_suppkey AS VARCHAR) AS site_id, s_suppkey % 7 AS kind FROM supplier)
+SELECT coalesce(s.site_id, c.site_id) AS site_id,
+  CASE kind WHEN 0 THEN 'calendar_model_unknown' WHEN 1 THEN 'site_listed_twice'
+    WHEN 3 THEN 'parameter_not_measured' ELSE 'site_without_rules' END AS rule,
+  CASE kind WHEN 0 THEN 'weekends' WHEN 3 THEN 'rain' ELSE '' END AS key,
+  CASE kind WHEN 1 THEN '2' ELSE '' END AS detail, coalesce(n, 0) AS n_hours
+FROM site s FULL JOIN counted c ON s.site_id = c.site_id
+WHERE kind IN (0, 1, 3) OR (kind IS NULL OR kind = 2) AND n > 0"""
+
 # Faults planted by fixtures.customer_config.
 CUSTOMERS = """
 cust AS (SELECT CAST(c_custkey AS VARCHAR) AS site_id, c_custkey AS k,
@@ -383,6 +396,21 @@ RULE_FINDINGS = [
     ),
 ]
 
+# Faults planted by fixtures.part_config, one kind for each remainder by nine.
+RARE_FINDINGS = [
+    ("custom_scenario_blank", "''", "''", "k % 9 = 0"),
+    ("custom_scenarios_not_allowed", "'base_only'", "'1'", "k % 9 = 1"),
+    ("scenario_id_invalid", "'bad id'", "''", "k % 9 = 2"),
+    ("threshold_block_id_invalid", "'bad id'", "''", "k % 9 = 2"),
+    ("threshold_min_not_numeric", "'base.wind_speed'", "'low' || k", "k % 9 = 3"),
+    ("too_many_scenarios", "''", "'11'", "k % 9 = 4"),
+    ("bounds_end_unknown", "''", "'dusk'", "k % 9 = 5"),
+    ("override_end_unknown", "'3'", "'dusk'", "k % 9 = 5"),
+    ("override_start_unknown", "'3'", "'dawn'", "k % 9 = 6"),
+    ("override_start_time_invalid", "'3'", "'7:00'", "k % 9 = 7"),
+    ("override_end_time_invalid", "'3'", "'25:00'", "k % 9 = 8"),
+]
+
 START = "CASE k % 10 WHEN 0 THEN 'sunset' WHEN 1 THEN 'noon' ELSE 'fixed_time' END"
 END = "CASE k % 11 WHEN 0 THEN 'sunrise' WHEN 1 THEN 'sunset' ELSE 'fixed_time' END"
 START_TIME = "CASE k % 12 WHEN 0 THEN '9:00' WHEN 1 THEN '24:00' ELSE '09:00' END"
@@ -517,6 +545,11 @@ SELECT {TIMES}, {PARAM_VALUES}, scenario_id, {FLAGS} FROM c""",
     "classify_all_scenarios": f"{EVENTS} SELECT {TIMES}, scenario_id, {FLAGS} FROM c",
     "classify_site_rules": f"{SITE_CLASSIFIED} SELECT {TIMES}, scenario_id, {FLAGS} FROM c",
     "summary_site_rules": _summary(SITE_CLASSIFIED),
+    "site_run_summary": _summary(MIXED_CLASSIFIED),
+    "site_run_loss": _loss(
+        "year", base=MIXED_CLASSIFIED.replace("c AS (SELECT *,", "c AS (SELECT *, year(time_local) AS year,")
+    ),
+    "site_run_set_aside": SET_ASIDE,
     "time_features": f"WITH {TRUTH_EVENTS} SELECT {TIMES}, {CALENDAR} FROM truth",
     "time_features_season": f"""WITH {TRUTH_LINEITEM}
 SELECT site_id, year(time_local) AS year, month(time_local) AS month,
@@ -601,6 +634,8 @@ SELECT site_id, weekday, list_contains(days, weekday) AS allowed,
 FROM site, (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS weekday)""",
     "rule_violations": f"WITH {CUSTOMERS} {_findings(RULE_FINDINGS)}",
     "window_violations": f"WITH {CUSTOMERS} {_findings(WINDOW_FINDINGS)}",
+    "rare_violations": "WITH cust AS (SELECT CAST(p_partkey AS VARCHAR) AS site_id, p_partkey AS k FROM part) "
+    + _findings(RARE_FINDINGS),
     "sites_set_aside": f"""WITH {CUSTOMERS},
 broken AS (SELECT *, CAST(site_id AS BIGINT) % 8 = 0 AS twice FROM (
   {_findings(RULE_FINDINGS)} UNION ALL {_findings(WINDOW_FINDINGS)}))

@@ -19,6 +19,7 @@ from workwindow.operators.classify import (
 )
 from workwindow.operators.counts import as_counts, clock_cube, count_cubes, day_cube
 from workwindow.plans.bundle import run_meta
+from workwindow.plans.pipeline import run_by_site
 from workwindow.plans.contracts import key_violations, rate_violations
 from workwindow.rules import bysite
 from workwindow.rules.runwide import RuleSet
@@ -83,6 +84,16 @@ def summary_site_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(summary.summary_run(classified))
 
 
+def _site_run(table: str) -> Query:
+    """One table of a whole run by site."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        truth = fx.truth_suppliers(spark, sf_dir)
+        return portable(run_by_site(truth, fx.mixed_supplier_config(spark, sf_dir)).tables[table])
+
+    return query
+
+
 def time_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = with_calendar(fx.truth_events(spark, sf_dir).select("site_id", "time_utc", "time_local"))
     return portable(df)
@@ -189,6 +200,9 @@ QUERIES: dict[str, Query] = {
     "classify_all_scenarios": classify_all_scenarios,
     "classify_site_rules": classify_site_rules,
     "summary_site_rules": summary_site_rules,
+    "site_run_summary": _site_run("summary_run"),
+    "site_run_loss": _site_run("loss_by_param_yearly"),
+    "site_run_set_aside": _site_run("sites_set_aside"),
     "time_features": time_features,
     "time_features_season": time_features_season,
     "operational_mask": _mask(fx.EVENTS_CONFIG),
@@ -237,6 +251,9 @@ QUERIES: dict[str, Query] = {
     "threshold_rules": lambda s, d: portable(bysite.threshold_rules(fx.supplier_config(s, d))),
     "window_rules": lambda s, d: bysite.window_rules(fx.supplier_config(s, d)),
     "rule_violations": lambda s, d: bysite.rule_violations(fx.customer_config(s, d)),
+    "rare_violations": lambda s, d: bysite.rule_violations(fx.part_config(s, d)).unionByName(
+        bysite.window_violations(fx.part_config(s, d))
+    ),
     "sites_set_aside": lambda s, d: bysite.sites_set_aside(fx.customers_some_twice(s, d)),
     "usable_sites": lambda s, d: bysite.usable_sites(fx.customers_some_twice(s, d)).select(
         "site_id", "scenario_mode"

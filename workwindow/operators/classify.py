@@ -11,11 +11,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workwindow.functions.calendar import local_clock
 from workwindow.functions.expr import flag, known, minute_of_day, present, ratio_or_zero
+from workwindow.rules.bysite import rule_dictionary, scenario_limits, site_map
 from workwindow.rules.fixed import SOURCE_FIELD
 from workwindow.rules.runwide import Bounds, DayWindow, RuleSet
 
@@ -186,69 +187,91 @@ def unpack(packed: DataFrame) -> DataFrame:
     return _spread(packed, kept, F.col(VERDICTS))
 
 
-def classify_packed_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFrame:
+def _by_rule_set(
+    truth: DataFrame, packed_rules: DataFrame, measured: Sequence[str], only_ruled: bool
+) -> tuple[DataFrame, list[str]]:
+    """Hours with the ``_rule_id`` and the local clock of their site, and the columns kept."""
+    _require_columns(truth, ["site_id", "time_utc"])
+    base = [c for c in truth.columns if c not in ("time_local", "scenario_id")]
+    at = base.index("time_utc") + 1
+    sites = site_map(packed_rules, measured).select(
+        "site_id", F.col("rule_id").alias("_rule_id"), F.col("timezone").alias("_timezone"), F.col("trouble").alias("_trouble")
+    )
+    no_rules = F.concat(F.lit("no rules for site "), F.coalesce("site_id", F.lit("NULL")))
+    trouble = F.coalesce("_trouble", F.when(F.col("_rule_id").isNull(), no_rules))
+    checked = F.when(trouble.isNotNull(), F.raise_error(trouble)).otherwise(F.col("_rule_id"))
+    local = local_clock(F.col("time_utc"), F.col("_timezone")).alias("time_local")
+    hours = truth.join(sites, "site_id", "inner" if only_ruled else "left")
+    kept = [*base[:at], "time_local", *base[at:]]
+    return hours.select(*base[:at], local, *base[at:], checked.alias("_rule_id")), kept
+
+
+def _in_week(week: Column) -> Column:
+    t = F.col("time_local")
+    today, minute = F.element_at(week, F.weekday(t) + 1), minute_of_day(t)
+    return flag(today.allowed & (minute >= today.start_min) & (minute < today.end_min))
+
+
+def _fails(value: Column, low: Column, high: Column) -> Column:
+    return (low.isNotNull() & ~flag(value >= low)) | (high.isNotNull() & ~flag(value <= high))
+
+
+def classify_packed_by_site_rules(
+    truth: DataFrame, packed_rules: DataFrame, only_ruled: bool = False
+) -> DataFrame:
     """Packed classification where every site brings its own scenarios, limits and hours.
 
     ``packed_rules`` (see :func:`workwindow.rules.bysite.packed_rules`) holds one
-    row per site, so the join adds no rows. No broadcast is forced: the rule
-    table grows with the sites, and its measured size decides the strategy.
+    row per site. Hours get the narrow site map first, then the dictionary of distinct
+    rule sets; neither join adds rows. No broadcast is forced: both tables grow with the
+    sites, and their measured sizes decide the strategy. An hour's measurements become
+    an array once, read by place.
 
     Nothing is judged by doubtful rules: a site without rules, with two rows of
     rules, with broken rules or with a required parameter that the table lacks
-    fails the run. ``bysite.sites_set_aside`` and ``usable_sites`` tell such sites
-    apart beforehand.
+    fails the run. ``bysite.split_sites`` tells such sites apart beforehand; with
+    ``only_ruled``, hours of sites without rules are left out instead.
     """
-    _require_columns(truth, ["site_id", "time_utc"])
     measured = present(truth, SOURCE_FIELD)
-    base = [c for c in truth.columns if c not in ("time_local", "scenario_id")]
-    at = base.index("time_utc") + 1
-    local = local_clock(F.col("time_utc"), F.col("_timezone")).alias("time_local")
-    rules = packed_rules.select(
-        "site_id", *(F.col(c).alias(f"_{c}") for c in packed_rules.columns if c != "site_id")
-    )
-    rules = rules.withColumn("_copies", F.count("*").over(Window.partitionBy("site_id")))
-    needed = F.flatten(F.transform("_scenarios", lambda s: F.transform(s.limits, lambda x: x.param)))
-    unmeasured = F.array_except(needed, F.array(*map(F.lit, measured)).cast("array<string>"))
-    site = F.coalesce("site_id", F.lit("NULL"))
-    trouble = (
-        F.when(F.col("_copies").isNull(), F.concat(F.lit("no rules for site "), site))
-        .when(F.col("_copies") > 1, F.concat(F.lit("several rules for site "), site))
-        .when(
-            F.size("_problems") > 0,
-            F.concat(F.lit("broken rules of site "), site, F.lit(": "), F.array_join("_problems", "; ")),
-        )
-        .when(
-            F.size(unmeasured) > 0,
-            F.concat(F.lit("no measurements for site "), site, F.lit(": "), F.array_join(unmeasured, ", ")),
-        )
-    )
-    week = F.when(trouble.isNotNull(), F.raise_error(trouble)).otherwise(F.col("_week"))
-    joined = truth.join(rules, "site_id", "left").select(
-        *base[:at], local, *base[at:], "_scenarios", week.alias("_week")
+    hours, kept = _by_rule_set(truth, packed_rules, measured, only_ruled)
+    sets = rule_dictionary(packed_rules, measured)
+    joined = hours.join(sets.select(*(F.col(c).alias(f"_{c}") for c in sets.columns)), "_rule_id", "left")
+    values = F.array(*(known(F.col(p)) for p in measured)).cast("array<double>")
+    judged = joined.withColumns(
+        {
+            "operational_flag": _in_week(F.col("_week")),
+            "_values": F.transform("_at", lambda i: F.get(values, i)),
+        }
     )
-    t = F.col("time_local")
-    today = F.element_at("_week", F.weekday(t) + 1)
-    minute = minute_of_day(t)
-    op = flag(today.allowed & (minute >= today.start_min) & (minute < today.end_min))
-    values = F.create_map(*(x for p in measured for x in (F.lit(p), known(F.col(p)))))
-    judged = joined.withColumns({"operational_flag": op, "_values": values})
-
-    def fails(limit: Column) -> Column:
-        value = F.try_element_at(F.col("_values"), limit.param)
-        too_low = limit.min.isNotNull() & ~flag(value >= limit.min)
-        return too_low | (limit.max.isNotNull() & ~flag(value <= limit.max))
 
     def verdict(scenario: Column) -> Column:
-        failing = F.get(F.filter(scenario.limits, fails), F.lit(0)).param
-        return F.struct(scenario.scenario_id.alias("scenario_id"), failing.alias("failing"))
+        failing = F.zip_with("_values", scenario.limits, lambda v, limit: _fails(v, limit.low, limit.high))
+        first = F.array_position(failing, True).cast("int") - 1
+        return F.struct(scenario.scenario_id.alias("scenario_id"), F.get("_params", first).alias("failing"))
 
-    verdicts = F.transform("_scenarios", verdict).alias(VERDICTS)
-    return judged.select(*base[:at], "time_local", *base[at:], "operational_flag", verdicts)
+    return judged.select(*kept, "operational_flag", F.transform("_scenarios", verdict).alias(VERDICTS))
 
 
-def classify_by_site_rules(truth: DataFrame, packed_rules: DataFrame) -> DataFrame:
-    """The same with one row per hour and scenario."""
-    return unpack(classify_packed_by_site_rules(truth, packed_rules))
+def classify_by_site_rules(
+    truth: DataFrame, packed_rules: DataFrame, only_ruled: bool = False
+) -> DataFrame:
+    """The same with one row per hour and scenario.
+
+    The dictionary is joined by scenario with each limit in a column of its own, so the
+    tests are plain comparisons: the first failing parameter is the one of least rank.
+    """
+    measured = present(truth, SOURCE_FIELD)
+    hours, kept = _by_rule_set(truth, packed_rules, measured, only_ruled)
+    sets = scenario_limits(rule_dictionary(packed_rules, measured), measured)
+    joined = hours.join(sets.select(*(F.col(c).alias(f"_{c}") for c in sets.columns)), "_rule_id", "left")
+    ranks = [
+        F.when(_fails(known(F.col(p)), F.col(f"_low_{p}"), F.col(f"_high_{p}")), F.col(f"_rank_{p}"))
+        for p in measured
+    ]
+    first = F.least(*ranks, F.lit(None).cast("int"), F.lit(None).cast("int"))
+    judged = joined.withColumns({"_op": _in_week(F.col("_week")), "_failing": F.get("_params", first - 1)})
+    flags = _flags(F.col("_op"), F.col("_failing"))
+    return judged.select(*kept, F.col("_scenario_id").alias("scenario_id"), *(c.alias(name) for name, c in flags.items()))
 
 
 def scenario_states(

@@ -6,9 +6,9 @@ packing and checking scale with the number of sites and never shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from workwindow.functions.expr import hhmm_to_minutes
@@ -155,7 +155,7 @@ def _named(entries: Column, name: Column) -> Column:
 
 
 def packed_rules(config: DataFrame) -> DataFrame:
-    """One row per site with everything classification needs.
+    """One row per site with everything that the rule dictionary is made of.
 
     Each scenario lists its limits in the order of the required parameters.
     """
@@ -191,6 +191,89 @@ def packed_rules(config: DataFrame) -> DataFrame:
     )
 
 
+def site_map(packed: DataFrame, measured: Sequence[str]) -> DataFrame:
+    """One row per site: (site_id, rule_id, timezone, trouble).
+
+    ``rule_id`` is the hash of the site's rule set, its scenarios with their limits and
+    its week; ``trouble`` says why the site must not be judged, or is NULL. ``measured``
+    names the parameters that the hourly table has.
+    """
+    needed = F.flatten(F.transform("scenarios", lambda s: F.transform(s.limits, lambda x: x.param)))
+    unmeasured = F.array_except(needed, F.array(*map(F.lit, measured)).cast("array<string>"))
+    per_row = packed.select("site_id", rule_id().alias("rule_id"), "timezone", "problems", unmeasured.alias("unmeasured"))
+    sites = per_row.groupBy("site_id").agg(
+        F.count("*").alias("copies"), *(F.max(c).alias(c) for c in per_row.columns if c != "site_id")
+    )
+    site = F.coalesce("site_id", F.lit("NULL"))
+    said = lambda what, names, sep: F.concat(F.lit(what), site, F.lit(": "), F.array_join(names, sep))
+    trouble = (
+        F.when(F.col("copies") > 1, F.concat(F.lit("several rules for site "), site))
+        .when(F.size("problems") > 0, said("broken rules of site ", "problems", "; "))
+        .when(F.size("unmeasured") > 0, said("no measurements for site ", "unmeasured", ", "))
+    )
+    return sites.select("site_id", "rule_id", "timezone", trouble.alias("trouble"))
+
+
+def rule_id() -> Column:
+    return F.sha2(F.to_json(F.struct("scenarios", "week")), 256)
+
+
+def rule_dictionary(packed: DataFrame, measured: Sequence[str]) -> DataFrame:
+    """One row per distinct rule set, however many sites share it.
+
+    ``params`` are the required parameters in order and ``at`` where each stands in
+    ``measured``; the limits of a scenario are aligned with both.
+    """
+    sets = packed.groupBy(rule_id().alias("rule_id")).agg(
+        F.max("scenarios").alias("scenarios"), F.max("week").alias("week")
+    )
+    columns = F.array(*map(F.lit, measured)).cast("array<string>")
+    params = F.transform(F.col("scenarios")[0].limits, lambda x: x.param)
+
+    def aligned(scenario: Column) -> Column:
+        limits = F.transform(scenario.limits, lambda x: F.struct(x["min"].alias("low"), x["max"].alias("high")))
+        return F.struct(scenario.scenario_id.alias("scenario_id"), limits.alias("limits"))
+
+    return sets.select(
+        "rule_id",
+        "week",
+        params.alias("params"),
+        F.transform(params, lambda p: (F.array_position(columns, p) - 1).cast("int")).alias("at"),
+        F.transform("scenarios", aligned).alias("scenarios"),
+    )
+
+
+def scenario_limits(dictionary: DataFrame, measured: Sequence[str]) -> DataFrame:
+    """The dictionary by scenario, every limit a column of its own.
+
+    ``low_<param>``, ``high_<param>`` and ``rank_<param>``, its place among the required
+    parameters, are NULL where a parameter is not limited or not required.
+    """
+    rows = dictionary.select("rule_id", "week", "params", F.inline("scenarios"))
+    columns = []
+    for p in measured:
+        place = F.nullif(F.array_position("params", p), F.lit(0)).cast("int")
+        limit = F.get("limits", place - 1)
+        columns += [place.alias(f"rank_{p}"), limit.low.alias(f"low_{p}"), limit.high.alias(f"high_{p}")]
+    return rows.select("rule_id", "week", "params", "scenario_id", *columns)
+
+
+def split_sites(config: DataFrame, measured: Sequence[str]) -> DataFrame:
+    """Each configuration with how often its site is listed (``copies``) and all that speaks
+    against using it (``findings``), parameters that the hourly table lacks included.
+
+    One pass for both sides of the split: ``copies = 1`` without findings is usable.
+    """
+    columns = F.array(*map(F.lit, measured)).cast("array<string>")
+    required = F.transform(_or_empty("required_parameters"), lambda p: F.trim(p))
+    lacking = F.array_except(F.filter(required, lambda p: F.array_contains(_strings(SOURCE_FIELD), p)), columns)
+    twice = _when("site_listed_twice", F.col("copies") > 1, F.lit(""), F.col("copies"))
+    return config.withColumn("copies", F.count("*").over(Window.partitionBy("site_id"))).withColumn(
+        "findings",
+        F.concat(_rule_findings(), _window_findings(), _each("parameter_not_measured", lacking), twice),
+    )
+
+
 def sites_set_aside(config: DataFrame) -> DataFrame:
     """Sites that cannot be classified, and why: (site_id, rule, key, detail).
 
