@@ -584,7 +584,9 @@ FROM (SELECT {K}, {HOURS} FROM c GROUP BY ALL)""",
     "loss_by_param_yearly": _loss("year"),
     "weather_stats_monthly": _weather("year", "month"),
     "weather_stats_yearly": _weather("year"),
-    "weather_stats_yearly_ranged": _weather("year"),
+    "weather_stats_yearly_unpacked": _weather("year"),
+    "weather_stats_merged": f"SELECT * FROM ({_weather('year', 'month')}) "
+    f"UNION ALL BY NAME SELECT *, 0 AS month FROM ({_weather('year')})",
     "curves_cumulative_daily": _curves(),
     "monthly_rate": f"{RATES} SELECT {K}, year, month, round(r, 6) AS workable_rate FROM rates",
     "curve_reliability_monthly": _reliability(),

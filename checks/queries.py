@@ -23,6 +23,7 @@ from workwindow.plans.pipeline import run_by_site
 from workwindow.plans.contracts import key_violations, rate_violations
 from workwindow.rules import bysite
 from workwindow.rules.runwide import RuleSet
+from workwindow.session import stage
 from workwindow.sources.landed import landed_violations, parse_landed, truth_from_landed
 from workwindow.sources.truth import in_years
 
@@ -153,6 +154,17 @@ def rate_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_violations(tables)
 
 
+def weather_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both statistics from one written table of value counts, made in two halves; month 0 is the year."""
+    packed = fx.packed_lineitem(spark, sf_dir)
+    early = F.dayofmonth("time_utc") < 11
+    halves = [weather.value_counts(packed.filter(test), fx.PARAMS) for test in (early, ~early)]
+    counts = stage(weather.merged_counts(halves[0].unionByName(halves[1])), "merged-counts")
+    monthly = weather.weather_stats_monthly(counts, fx.PARAMS)
+    yearly = weather.weather_stats_yearly(counts, fx.PARAMS)
+    return portable(monthly.unionByName(yearly.withColumn("month", F.lit(0))))
+
+
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = as_counts(fx.classified_lineitem(spark, sf_dir)).agg(
         F.sum("n_hours").alias("rows_hourly")
@@ -219,9 +231,10 @@ QUERIES: dict[str, Query] = {
     "loss_by_param_yearly": _lineitem(loss.loss_by_param_yearly),
     "weather_stats_monthly": _packed(lambda h: weather.weather_stats_monthly(h, fx.PARAMS)),
     "weather_stats_yearly": _packed(lambda h: weather.weather_stats_yearly(h, fx.PARAMS)),
-    "weather_stats_yearly_ranged": _lineitem(
+    "weather_stats_yearly_unpacked": _lineitem(
         lambda h: weather.weather_stats_yearly(h, fx.PARAMS)
     ),
+    "weather_stats_merged": weather_stats_merged,
     "curves_cumulative_daily": _lineitem(curves.curves_cumulative_daily),
     "monthly_rate": _lineitem(stats.monthly_rate),
     "curve_reliability_monthly": _lineitem(curves.curve_reliability_monthly),

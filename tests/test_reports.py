@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.support import STANDARD_3, config, hours, truth
 from workwindow.functions.calendar import with_calendar
+from workwindow.session import stage
 from workwindow.operators import curves, loss, pivots, stats, summary, weather
 from workwindow.operators.classify import classify
 from workwindow.operators.counts import clock_cube, count_cubes, day_cube
@@ -196,3 +197,17 @@ def test_quantiles_match_the_built_in_ones(spark):
     for name, level in weather.QUANTILES.items():
         want = df.agg(F.percentile("temperature", F.lit(level))).first()[0]
         assert row[name] == pytest.approx(want)
+
+
+def test_both_weather_tables_read_one_written_state(spark, two_weeks, tmp_path, capsys):
+    two_weeks.write.parquet(f"{tmp_path}/hours")
+    hourly = spark.read.parquet(f"{tmp_path}/hours")
+    state = stage(weather.value_counts(hourly, ["temperature"]), "state")
+    capsys.readouterr()
+    for op in (weather.weather_stats_monthly, weather.weather_stats_yearly):
+        table = op(state, ["temperature"])
+        table.explain("formatted")
+        plan = capsys.readouterr().out
+        assert plan.count("Scan parquet") == 2 and "/hours" not in plan  # in the tree and in its details
+        want = op(hourly, ["temperature"])
+        assert table.exceptAll(want).isEmpty() and want.exceptAll(table).isEmpty()

@@ -135,10 +135,9 @@ def build_bundle(
 ) -> Bundle:
     """Report tables of a classified hourly table.
 
-    The hourly table is scanned once for both count cubes and once for the runs;
-    these are written to shared storage, and every count and streak table reads
-    them. Weather statistics and parameter means, which need the measurements,
-    scan it again. ``validate`` refuses a bundle that lacks a table its flags ask for;
+    The hourly table is scanned once for both count cubes, once for the runs and once
+    for the value counts of both weather tables; these are written to shared storage, and
+    all tables but the parameter means read them. ``validate`` refuses a bundle that lacks a table its flags ask for;
     values are checked once, while they are written. ``columns`` may rename ``time_local_col``, ``operational_col``,
     ``workable_col`` and ``limiting_col``. ``packed``, the same hours in packed
     form, makes streaks and weather statistics shuffle less.
@@ -150,12 +149,14 @@ def build_bundle(
         raise ValueError("weather statistics need weather parameters")
 
     dense = hourly if packed is None else packed
-    cubes, runs = at_once(
-        [
-            lambda: stage(count_cubes(hourly, **columns), "cubes", ("grain",)),
-            lambda: stage(streaks.operational_runs(dense), "runs"),
-        ]
-    )
+    jobs = [
+        lambda: stage(count_cubes(hourly, **columns), "cubes", ("grain",)),
+        lambda: stage(streaks.operational_runs(dense), "runs"),
+    ]
+    if include_weather_stats:
+        jobs.append(lambda: stage(weather.value_counts(dense, params, **columns), "values"))
+    cubes, runs, *values = at_once(jobs)
+    values = values[0] if values else None
     days, clock = day_cube(cubes), clock_cube(cubes)
 
     tables = {
@@ -167,11 +168,8 @@ def build_bundle(
         tables["loss_by_param_monthly"] = loss.loss_by_param_monthly(days)
         tables["loss_by_param_yearly"] = loss.loss_by_param_yearly(days)
     if include_weather_stats:
-        for name, op in (
-            ("weather_stats_monthly", weather.weather_stats_monthly),
-            ("weather_stats_yearly", weather.weather_stats_yearly),
-        ):
-            tables[name] = op(dense, params, **columns)
+        tables["weather_stats_monthly"] = weather.weather_stats_monthly(values, params)
+        tables["weather_stats_yearly"] = weather.weather_stats_yearly(values, params)
     if include_curves:
         tables["curves_cumulative_daily"] = curves.curves_cumulative_daily(days)
         tables["curve_reliability_monthly"] = curves.curve_reliability_monthly(days)
