@@ -132,3 +132,25 @@ def test_hours_are_scanned_once_for_runs(spark, tmp_path):
     runs.collect()
     final = runs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan") == 1 and final.count("ReusedExchange") >= 2
+
+
+def test_time_step_of_jittered_times(spark):
+    """The median over all gaps of a site, whatever month they lie in or lead to."""
+    rng = random.Random(8)
+    rows, medians = [], {}
+    for site in ("a", "b"):
+        times = sorted({MONDAY + timedelta(seconds=3600 * i + rng.randrange(1200)) for i in range(1700)})
+        gaps = [(y - x).total_seconds() / 3600 for x, y in zip(times, times[1:])]
+        medians[site] = median(gaps)
+        rows += [(site, t, s, True, False) for t in times for s in ("base", "storm")]
+    rng.shuffle(rows)
+    hourly = spark.createDataFrame(rows, SCHEMA)
+    found = {r.site_id: r.timestep_hours for r in streaks.timestep_hours(hourly).collect()}
+    assert found == {s: pytest.approx(m, abs=1e-9) for s, m in medians.items()}
+
+
+def test_gaps_of_pieces_make_the_histogram_of_a_site(spark):
+    times = [datetime(2024, 1, 31, 22), datetime(2024, 1, 31, 23), datetime(2024, 2, 1, 1), datetime(2024, 4, 1, 1)]
+    steps = streaks.operational_steps(spark.createDataFrame([("a", t, "base", True, True) for t in times], SCHEMA))
+    found = {r.gap: r.n for r in streaks.gap_histogram(steps).collect()}
+    assert found == {None: 1, 1.0: 1, 2.0: 1, 60 * 24.0: 1}

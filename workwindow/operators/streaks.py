@@ -92,49 +92,53 @@ def _has_scenarios(hourly: DataFrame) -> bool:
     return VERDICTS in hourly.columns or "scenario_id" in hourly.columns
 
 
-def _piece_steps(steps: DataFrame) -> DataFrame:
-    """Time step of the site, repeated for each of its (site, month) pieces."""
+def gap_histogram(steps: DataFrame) -> DataFrame:
+    """How often each gap between neighbouring times occurs in a site: (site_id, gap, n) and
+    the first and last month of those gaps.
+
+    Gaps are counted inside each (site, month) piece first. The first step of a piece has
+    none there; its gap leads from the last step of the months before. Scenarios that
+    share a timestamp give gaps of 0, the first step of a site has none.
+    """
     in_piece = Window.partitionBy("site_id", "_month").orderBy("step.time_utc")
     gap = hours_between(F.lag("step").over(in_piece).time_utc, F.col("step.time_utc"))
-    # Inside a piece only the first row has no gap; scenarios sharing a timestamp
-    # give gaps of 0, which do not count. Few distinct gaps remain per piece.
-    gaps = (
+    counted = (
         steps.withColumn("gap", gap)
         .groupBy("site_id", "_month", "gap")
-        .agg(
-            F.count("*").alias("n"), F.min("step").alias("first"), F.max("step").alias("last")
-        )
+        .agg(F.count("*").alias("n"), F.min("step.time_utc").alias("first"), F.max("step.time_utc").alias("last"))
     )
-    earlier = (
-        Window.partitionBy("site_id")
-        .orderBy("_month")
-        .rangeBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("site_id").orderBy("_month", "gap")
+    before = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    whole = F.coalesce("gap", hours_between(before, F.col("first")))
+    return (
+        counted.withColumn("gap", whole)
+        .groupBy("site_id", "gap")
+        .agg(F.sum("n").alias("n"), F.min("_month").alias("_from"), F.max("_month").alias("_to"))
     )
-    across = hours_between(F.max("last").over(earlier).time_utc, F.col("first.time_utc"))
-    full = gaps.withColumn("gap", F.coalesce("gap", across))
-    # The median by running counts over sorted gaps: windows that can spill, as
-    # jittered times give about as many different gaps as hours.
-    positive = F.when(F.col("gap") > 0, F.col("gap"))
+
+
+def _site_steps(histogram: DataFrame) -> DataFrame:
+    """Time step of each site, the median of its positive gaps by prefix counts over the
+    merged histogram, and the months it spans."""
     whole_site = Window.partitionBy("site_id")
+    upto = whole_site.orderBy("gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = F.when(F.col("gap") > 0, F.col("n")).otherwise(0)
-    ranked = (
-        full.withColumn("_gap", positive)
-        .withColumn("_upto", F.sum(counted).over(whole_site.orderBy("_gap")))
-        .withColumn("_middle", (F.sum(counted).over(whole_site) - 1) / 2)
+    ranked = histogram.withColumns(
+        {"_upto": F.sum(counted).over(upto), "_middle": (F.sum(counted).over(whole_site) - 1) / 2}
     )
-    lower = F.min(F.when(F.col("_upto") > F.floor("_middle"), F.col("_gap"))).over(whole_site)
-    upper = F.min(F.when(F.col("_upto") > F.ceil("_middle"), F.col("_gap"))).over(whole_site)
-    return (
-        ranked.withColumn("step_hours", F.coalesce((lower + upper) / 2, F.lit(1.0)))
-        .groupBy("site_id", "_month")
-        .agg(F.first("step_hours").alias("step_hours"))
+    lower = F.min(F.when(F.col("_upto") > F.floor("_middle"), F.col("gap")))
+    upper = F.min(F.when(F.col("_upto") > F.ceil("_middle"), F.col("gap")))
+    return ranked.groupBy("site_id").agg(
+        F.coalesce((lower + upper) / 2, F.lit(1.0)).alias("step_hours"),
+        F.min("_from").alias("_from"),
+        F.max("_to").alias("_to"),
     )
 
 
 def timestep_hours(hourly: DataFrame, **columns: str) -> DataFrame:
     """Median gap between distinct operational timestamps per site; 1.0 without any gap."""
-    pieces = _piece_steps(operational_steps(hourly, **columns))
-    out = pieces.groupBy("site_id").agg(F.first("step_hours").alias("timestep_hours"))
+    sites = _site_steps(gap_histogram(operational_steps(hourly, **columns)))
+    out = sites.select("site_id", F.col("step_hours").alias("timestep_hours"))
     return out if "site_id" in hourly.columns else out.drop("site_id")
 
 
@@ -145,7 +149,9 @@ def _breaks(earlier: Column, later: Column, step: Column) -> Column:
 def _piece_runs(steps: DataFrame) -> DataFrame:
     """Runs inside each piece, one ``run`` struct per row, numbered from 1."""
     # Hash joins on the piece keys: the big side stays where its exchange put it.
-    pieces = _piece_steps(steps).hint("shuffle_hash")
+    sites = _site_steps(gap_histogram(steps))
+    months = F.explode(F.sequence("_from", "_to")).alias("_month")
+    pieces = sites.select("site_id", months, "step_hours").hint("shuffle_hash")
     timed = (
         steps.join(pieces, ["site_id", "_month"])
         .select("site_id", "_month", "step.*", "step_hours")
