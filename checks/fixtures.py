@@ -318,7 +318,8 @@ def landed_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) ->
     """One JSON response per site and day, at most 24 hours each.
 
     With ``faulty``, documents of every third day of the month lose an element of
-    one array, and those of every fifth day lose a field.
+    one array, and those of every fifth day lose a field. On the 7th they have no block,
+    on the 11th no time, on the 13th they are none.
     """
     hourly = events_hourly(spark, sf_dir).withColumn("day", F.to_date("time_utc"))
     hour = F.struct(
@@ -339,4 +340,9 @@ def landed_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) ->
             rain.alias("precipitation"),
         ).alias("hourly")
     )
-    return days.select("site_id", "day", F.to_json(response).alias("document"))
+    document = F.to_json(response)
+    if faulty:
+        document = (
+            F.when(d == 7, "{}").when(d == 11, '{"hourly": {"time": []}}').when(d == 13, "no document").otherwise(document)
+        )
+    return days.select("site_id", "day", document.alias("document"))

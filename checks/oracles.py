@@ -487,7 +487,11 @@ docs AS (SELECT site_id, CAST(time_utc AS DATE) AS d, count(*) AS n FROM truth G
 SELECT site_id, CAST(d AS VARCHAR) AS day, 'length_mismatch' AS problem, '{wind}' AS field,
   CAST(n - 1 AS VARCHAR) || ' vs ' || CAST(n AS VARCHAR) AS detail FROM docs WHERE day(d) % 3 = 0
 UNION ALL SELECT site_id, CAST(d AS VARCHAR), 'missing_field', '{rain}', '' FROM docs
-WHERE day(d) % 5 = 0"""
+WHERE day(d) % 5 = 0
+UNION ALL SELECT site_id, CAST(d AS VARCHAR), 'missing_block', 'hourly', '' FROM docs
+WHERE day(d) IN (7, 13)
+UNION ALL SELECT site_id, CAST(d AS VARCHAR), 'missing_time', 'time', '' FROM docs
+WHERE day(d) = 11"""
 
 
 def _mask_query(rules: Stated) -> str:
@@ -659,4 +663,16 @@ SELECT * FROM (
 WHERE n_null > 0""",
     "landed_json_truth": f"WITH {TRUTH_EVENTS} SELECT {TIMES}, {PARAM_VALUES} FROM truth",
     "landed_json_violations": _landed_findings(),
+    "landed_quarantine_rows": f"WITH {TRUTH_EVENTS} SELECT {TIMES}, {PARAM_VALUES} FROM truth "
+    "WHERE day(time_utc) % 3 <> 0 AND day(time_utc) % 5 <> 0 AND day(time_utc) NOT IN (7, 11, 13)",
+    "landed_quarantine_problems": _landed_findings(),
+    "top_blocked_streaks_by_site": _streaks(
+        LINEITEM,
+        False,
+        "QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY hours DESC, scenario_id, streak_id) <= 10",
+    ),
+    "monthly_preview_by_site": f"SELECT * FROM ({_summary(LINEITEM, 'year', 'month')}) "
+    "QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY scenario_id, year, month) <= 6",
+    "loss_preview_by_site": f"SELECT * FROM ({_loss('year', 'month')}) QUALIFY row_number() OVER "
+    "(PARTITION BY site_id ORDER BY scenario_id, year, month, hours_lost DESC, param) <= 10",
 }

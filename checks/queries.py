@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from workwindow.functions.calendar import with_calendar
-from workwindow.operators import curves, loss, pivots, stats, streaks, summary, weather
+from workwindow.operators import curves, loss, pivots, previews, stats, streaks, summary, weather
 from workwindow.operators.classify import (
     classify,
     classify_by_site_rules,
@@ -24,7 +24,7 @@ from workwindow.plans.contracts import key_violations, rate_violations
 from workwindow.rules import bysite
 from workwindow.rules.runwide import RuleSet
 from workwindow.session import stage
-from workwindow.sources.landed import landed_violations, parse_landed, truth_from_landed
+from workwindow.sources.landed import landed_violations, parse_landed, split_landed, truth_from_landed
 from workwindow.sources.truth import in_years
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,6 +203,17 @@ def landed_json_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(landed_violations(parse_landed(documents, "document", fx.PARAMS), fx.PARAMS))
 
 
+def _quarantine(side: int) -> Query:
+    """Rows of the sound or problems of the faulty documents, from one read of all."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        documents = fx.landed_documents(spark, sf_dir, faulty=True)
+        both = split_landed(parse_landed(documents, "document", fx.PARAMS), fx.PARAMS, fx.ZONE)
+        return portable(both[side] if side else _rows(both[0], *fx.PARAMS))
+
+    return query
+
+
 def _runs(op: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
     return lambda hourly: op(streaks.operational_runs(hourly))
 
@@ -275,4 +286,9 @@ QUERIES: dict[str, Query] = {
     "window_violations": lambda s, d: bysite.window_violations(fx.customer_config(s, d)),
     "landed_json_truth": landed_json_truth,
     "landed_json_violations": landed_json_violations,
+    "landed_quarantine_rows": _quarantine(0),
+    "landed_quarantine_problems": _quarantine(1),
+    "top_blocked_streaks_by_site": _packed(_runs(previews.top_blocked_streaks_by_site)),
+    "monthly_preview_by_site": _lineitem(lambda h: previews.monthly_preview_by_site(summary.summary_monthly(h))),
+    "loss_preview_by_site": _lineitem(lambda h: previews.loss_preview_by_site(loss.loss_by_param_monthly(h))),
 }

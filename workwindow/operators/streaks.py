@@ -8,7 +8,7 @@ first and last run of a piece take part in joining the pieces up again.
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from workwindow.functions.expr import flag, hours_between, present
@@ -43,6 +43,7 @@ def operational_steps(
     time_utc_col: str = "time_utc",
     operational_col: str | None = None,
     workable_col: str | None = None,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Operational time steps, one ``step`` struct per row, by site and month.
 
@@ -80,6 +81,8 @@ def operational_steps(
         .groupBy("site_id", "_month", "time_utc", "states")
         .agg(F.count("*").alias("n_steps"))
     )
+    if watch is not None:
+        steps = steps.observe(watch, F.coalesce(F.sum(F.col("n_steps") - 1), F.lit(0)).alias("repeated"))
     step = F.struct("time_utc", "states", "n_steps").alias("step")
     return steps.select("site_id", "_month", step).repartition("site_id", "_month")
 
@@ -218,14 +221,14 @@ def _runs(steps: DataFrame) -> DataFrame:
     )
 
 
-def operational_runs(hourly: DataFrame, **columns: str) -> DataFrame:
+def operational_runs(hourly: DataFrame, watch: Observation | None = None, **columns: str) -> DataFrame:
     """Every run of operational hours with the same workable flag.
 
     A run ends where the flag flips or where the gap to the next step exceeds
     1.5 time steps. Its length is steps x time step, and ``end_ts`` is the start
     of its last step. At equal times blocked steps come before workable ones.
     """
-    runs = _runs(operational_steps(hourly, **columns))
+    runs = _runs(operational_steps(hourly, watch=watch, **columns))
     return runs if "site_id" in hourly.columns else runs.drop("site_id")
 
 

@@ -6,7 +6,7 @@ import functools
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,7 +19,9 @@ from workwindow.plans.contracts import (
     check_hourly,
     check_tables,
     fraction_columns,
+    null_counts,
     outside_counts,
+    reject_keys,
     reject_outside,
 )
 from workwindow.session import at_once, stage
@@ -43,8 +45,11 @@ SORT_ORDER = (
 class Bundle:
     meta: DataFrame
     tables: Mapping[str, DataFrame]
+    #: Counts taken while the hourly table was read: hours without keys, repeated hours.
+    missing_keys: Mapping[str, int] = field(default_factory=dict)
+    repeated_hours: int = 0
 
-    def write(self, path: str) -> str:
+    def write(self, path: str, refuse_repeats: bool = False) -> str:
         """Write to a new folder below ``path``, check, then publish; returns that folder.
 
         One Parquet folder per table, partitioned by scenario where there is one.
@@ -53,7 +58,10 @@ class Bundle:
         while the rows pass by; independent tables are written side by side. Only
         a run that passes is named in ``path/_current``, so what was published
         before stays whole until then, and no row of it can survive among new ones.
+        Hours without a key are refused, repeated ones if asked: both were counted in
+        passing when the bundle was built.
         """
+        reject_keys(self.missing_keys, self.repeated_hours if refuse_repeats else 0)
         root = path.rstrip("/")
         path = f"{root}/run-{uuid.uuid4().hex}"
         watches = {name: Observation(name) for name, t in self.tables.items() if fraction_columns(t)}
@@ -149,9 +157,11 @@ def build_bundle(
         raise ValueError("weather statistics need weather parameters")
 
     dense = hourly if packed is None else packed
+    keys, repeats = Observation("keys"), Observation("repeats")
+    watched = hourly.observe(keys, *null_counts(hourly))
     jobs = [
-        lambda: stage(count_cubes(hourly, **columns), "cubes", ("grain",)),
-        lambda: stage(streaks.operational_runs(dense), "runs"),
+        lambda: stage(count_cubes(watched, **columns), "cubes", ("grain",)),
+        lambda: stage(streaks.operational_runs(dense, repeats), "runs"),
     ]
     if include_weather_stats:
         jobs.append(lambda: stage(weather.value_counts(dense, params, **columns), "values"))
@@ -200,4 +210,4 @@ def build_bundle(
     rows = days.agg(F.coalesce(F.sum("n_hours"), F.lit(0)).alias("rows_hourly"))
     if validate:
         check_tables(tables, required_tables(include_weather_stats, include_curves, include_visual, include_stats), values=False)
-    return Bundle(meta=run_meta(rows, config, run_id), tables=tables)
+    return Bundle(run_meta(rows, config, run_id), tables, keys.get, repeats.get.get("repeated", 0))

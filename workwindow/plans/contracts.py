@@ -34,11 +34,24 @@ def check_hourly(hourly: DataFrame, weather_params: Sequence[str] | None = None)
         raise ContractError("hourly table is empty")
 
 
+def null_counts(hourly: DataFrame) -> list[Column]:
+    """For each key and time column, how many hours lack it."""
+    keys = [c for c in ("site_id", "scenario_id", "time_utc", "time_local") if c in hourly.columns]
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in keys]
+
+
+def reject_keys(missing: Mapping[str, int], repeated: int = 0) -> None:
+    """Fail when any hour lacked a key or, as counted, repeated another."""
+    bad = [f"{column} missing in {n} hours" for column, n in missing.items() if n]
+    bad += [f"{repeated} repeated hours"] if repeated else []
+    if bad:
+        raise ContractError("keys of the hourly table: " + "; ".join(bad))
+
+
 def key_violations(hourly: DataFrame) -> DataFrame:
     """How many hours lack a key or a time: (column_name, n_null), columns without any left out."""
-    keys = [c for c in ("site_id", "scenario_id", "time_utc", "time_local") if c in hourly.columns]
-    counts = hourly.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in keys))
-    return counts.unpivot([], keys, "column_name", "n_null").filter("n_null > 0")
+    counts = hourly.agg(*null_counts(hourly))
+    return counts.unpivot([], counts.columns, "column_name", "n_null").filter("n_null > 0")
 
 
 def fraction_columns(table: DataFrame) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def run_by_site(
     described = _described(rules, project)
     bundle = build_bundle(hourly, described, packed=packed, **options)
     aside = sites_set_aside(truth, split)
-    return Bundle(bundle.meta, {**bundle.tables, "sites_set_aside": aside})
+    return replace(bundle, tables={**bundle.tables, "sites_set_aside": aside})
 
 
 def sites_set_aside(truth: DataFrame, split: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from workwindow.functions.expr import known
 from workwindow.operators.classify import with_local_clock
 from workwindow.rules.fixed import SOURCE_FIELD
+from workwindow.session import stage
 
 
 def source_fields(params: Sequence[str]) -> dict[str, str]:
@@ -73,6 +74,39 @@ def landed_violations(responses: DataFrame, params: Sequence[str]) -> DataFrame:
     return responses.select(*keys, F.inline(_problems(params)))
 
 
+def _hours(params: Sequence[str]) -> Column:
+    """The hours of a response that has passed the checks, as an array."""
+    return F.arrays_zip(
+        F.col("hourly.time").alias("time"),
+        *(F.col(f"hourly.{f}").alias(p) for p, f in source_fields(params).items()),
+    )
+
+
+def _truth(rows: DataFrame, keys: Sequence[str], params: Sequence[str], timezone: Column | str) -> DataFrame:
+    truth = rows.select(
+        *keys,
+        F.to_timestamp_ntz(F.col("time")).alias("time_utc"),
+        *(known(F.col(p)).alias(p) for p in params),
+    )
+    return with_local_clock(truth, timezone)
+
+
+def split_landed(
+    responses: DataFrame, params: Sequence[str], timezone: Column | str
+) -> tuple[DataFrame, DataFrame]:
+    """Hourly rows of the sound responses, and every problem of the others.
+
+    The responses are read once: a written table holds the hours or the problems of each,
+    and both results read that.
+    """
+    keys = [c for c in responses.columns if c != "hourly"]
+    judged = responses.select(*keys, "hourly", _problems(params).alias("problems"))
+    hours = F.when(F.size("problems") == 0, _hours(params)).alias("hours")
+    split = stage(judged.select(*keys, hours, "problems"), "landed")
+    rows = split.filter("hours IS NOT NULL").select(*keys, F.inline("hours"))
+    return _truth(rows, keys, params, timezone), split.select(*keys, F.inline("problems"))
+
+
 def truth_from_landed(
     responses: DataFrame, params: Sequence[str], timezone: Column | str, strict: bool = True
 ) -> DataFrame:
@@ -83,20 +117,11 @@ def truth_from_landed(
     zipping, which would pad short arrays in silence.
     """
     problems = _problems(params)
-    hours = F.arrays_zip(
-        F.col("hourly.time").alias("time"),
-        *(F.col(f"hourly.{f}").alias(p) for p, f in source_fields(params).items()),
-    )
+    hours = _hours(params)
     if strict:
         message = F.concat(F.lit("faulty weather response: "), F.to_json(problems))
         checked = F.when(F.size(problems) > 0, F.raise_error(message)).otherwise(hours)
     else:
         checked = F.when(F.size(problems) == 0, hours)
     keys = [c for c in responses.columns if c != "hourly"]
-    rows = responses.select(*keys, F.inline(checked))
-    truth = rows.select(
-        *keys,
-        F.to_timestamp_ntz(F.col("time")).alias("time_utc"),
-        *(known(F.col(p)).alias(p) for p in params),
-    )
-    return with_local_clock(truth, timezone)
+    return _truth(responses.select(*keys, F.inline(checked)), keys, params, timezone)
