@@ -676,3 +676,38 @@ WHERE n_null > 0""",
     "loss_preview_by_site": f"SELECT * FROM ({_loss('year', 'month')}) QUALIFY row_number() OVER "
     "(PARTITION BY site_id ORDER BY scenario_id, year, month, hours_lost DESC, param) <= 10",
 }
+
+# All tables of a bundle; every file is in order.
+_BUNDLE = {
+    "summary_run": _summary(LINEITEM),
+    "streaks_nonworkable_operational": ORACLES["streaks_nonworkable_years"],
+    "streaks_workable_operational": _streaks(LINEITEM, workable=True),
+    "streaks_summary_operational": ORACLES["streaks_summary_years"],
+    "pivot_month_x_hour_workable_rate": ORACLES["pivot_month_x_hour"],
+    "pivot_month_x_weekday_workable_rate": ORACLES["pivot_month_x_weekday"],
+    "pivot_weekday_x_hour_workable_rate": ORACLES["pivot_weekday_x_hour"],
+    "pivot_month_x_hour_param_mean_operational": ORACLES["pivot_month_x_hour_param_mean"],
+    "run_meta": "SELECT 1",
+}
+for _name in (
+    "summary_monthly",
+    "summary_yearly",
+    "loss_by_param_monthly",
+    "loss_by_param_yearly",
+    "weather_stats_monthly",
+    "weather_stats_yearly",
+    "curves_cumulative_daily",
+    "curve_reliability_monthly",
+    "stats_monthly_workable_rate_dist",
+    "reliability_targets_monthly",
+):
+    _BUNDLE[_name] = ORACLES[_name]
+ORACLES["bundle_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, 0 AS n_out_of_order FROM ({sql})" for name, sql in _BUNDLE.items()
+)
+ORACLES["incremental_summary"] = ORACLES["summary_monthly"]
+ORACLES["incremental_streaks"] = ORACLES["streaks_summary_years"]
+ORACLES["incremental_pieces"] = f"""WITH {TRUTH_LINEITEM}
+SELECT site_id, year(time_utc) * 12 + month(time_utc) AS month_number, count(*) AS n_hours,
+  year(time_utc) >= 1998 OR (site_id = '1' AND year(time_utc) = 1996 AND month(time_utc) = 5) AS renewed
+FROM truth GROUP BY site_id, year(time_utc), month(time_utc)"""

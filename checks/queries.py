@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -18,12 +20,13 @@ from workwindow.operators.classify import (
     operational_mask,
 )
 from workwindow.operators.counts import as_counts, clock_cube, count_cubes, day_cube
-from workwindow.plans.bundle import run_meta
+from workwindow.plans.bundle import SORT_ORDER, Bundle, build_bundle, read_bundle, run_meta
+from workwindow.plans.incremental import read_manifest, refresh
 from workwindow.plans.pipeline import run_by_site
 from workwindow.plans.contracts import key_violations, rate_violations
 from workwindow.rules import bysite
 from workwindow.rules.runwide import RuleSet
-from workwindow.session import stage
+from workwindow.session import shared_dir, stage
 from workwindow.sources.landed import landed_violations, parse_landed, split_landed, truth_from_landed
 from workwindow.sources.truth import in_years
 
@@ -165,6 +168,53 @@ def weather_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(monthly.unionByName(yearly.withColumn("month", F.lit(0))))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/workwindow/{name}-{uuid.uuid4().hex}"
+
+
+def bundle_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bundle of all tables, written, published and read again: rows of each table, and how
+    many of them do not follow the one before in their file."""
+    hourly, path = fx.classified_lineitem(spark, sf_dir), _folder(spark, "bundle")
+    bundle = build_bundle(
+        hourly,
+        fx.LINEITEM_CONFIG,
+        packed=fx.packed_lineitem(spark, sf_dir),
+        include_weather_stats=True,
+        visual_params_for_mean=fx.PARAMS,
+    )
+    bundle.write(path)
+    counted = []
+    for name, table in sorted(read_bundle(spark, path).items()):
+        order = [c for c in SORT_ORDER if c in table.columns]
+        placed = table.select(
+            F.struct(*order) if order else F.lit(None).alias("key"),
+            F.input_file_name().alias("file"),
+            F.monotonically_increasing_id().alias("place"),
+        ).toDF("key", "file", "place")
+        before = F.lag("key").over(Window.partitionBy("file").orderBy("place"))
+        late = placed.select(F.coalesce(F.col("key") < before, F.lit(False)).alias("late"))
+        counted.append(
+            late.agg(F.count("*").alias("n_rows"), F.count_if("late").alias("n_out_of_order")).select(
+                F.lit(name).alias("table_name"), "n_rows", "n_out_of_order"
+            )
+        )
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[Bundle, DataFrame]:
+    """A bundle after a change of one site's month and a year that came later; and its pieces."""
+    truth, path = stage(fx.truth_lineitem(spark, sf_dir), "truth"), _folder(spark, "incremental")
+    t = F.col("time_utc")
+    moved = (F.col("site_id") == "1") & (F.year(t) == 1996) & (F.month(t) == 5)
+    before = truth.withColumn("wind_speed", F.col("wind_speed") + F.when(moved, 5.0).otherwise(0.0))
+    refresh(before.filter(F.year(t) < 1998), fx.LINEITEM_CONFIG, path)
+    old = F.lit(read_manifest(spark, path).first().part)
+    bundle = refresh(truth, fx.LINEITEM_CONFIG, path)
+    pieces = read_manifest(spark, path)
+    return bundle, pieces.select("site_id", "_month", "n_hours", (F.col("part") != old).alias("renewed"))
+
+
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = as_counts(fx.classified_lineitem(spark, sf_dir)).agg(
         F.sum("n_hours").alias("rows_hourly")
@@ -270,6 +320,10 @@ QUERIES: dict[str, Query] = {
     "hourly_preview": hourly_preview,
     "rate_contract_violations": rate_contract_violations,
     "run_meta": meta,
+    "bundle_tables": bundle_tables,
+    "incremental_pieces": lambda s, d: _refreshed(s, d)[1].withColumnRenamed("_month", "month_number"),
+    "incremental_summary": lambda s, d: portable(_refreshed(s, d)[0].tables["summary_monthly"]),
+    "incremental_streaks": lambda s, d: portable(_refreshed(s, d)[0].tables["streaks_summary_operational"]),
     "truth_in_years": truth_in_years,
     "scenario_rules": lambda s, d: bysite.scenario_rules(fx.supplier_config(s, d)),
     "threshold_rules": lambda s, d: portable(bysite.threshold_rules(fx.supplier_config(s, d))),

@@ -8,6 +8,8 @@ same on the hourly rows and on the pre-aggregated cubes below, which are about
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,13 @@ def as_counts(
     operational_col: str = "is_operational",
     workable_col: str = "is_workable",
     limiting_col: str = "limiting_param",
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Counts frame of an hourly classified table; a counts frame passes unchanged.
 
     ``n_workable`` counts the workable flag as given and ``n_productive`` only
     where the hour is operational too. ``blocked_by`` is NULL on hours that are
-    not weather-lost.
+    not weather-lost. Columns named by ``also`` are kept.
     """
     if all(m in hourly.columns for m in MEASURES):
         return hourly
@@ -56,6 +59,7 @@ def as_counts(
         op.cast("bigint").alias("n_operational"),
         wk.cast("bigint").alias("n_workable"),
         (op & wk).cast("bigint").alias("n_productive"),
+        *also,
     )
 
 
@@ -70,10 +74,11 @@ def add_up(counts: DataFrame, *dims: str) -> DataFrame:
     )
 
 
-def count_cubes(hourly: DataFrame, **columns: str) -> DataFrame:
-    """Both cubes in one scan and one shuffle; ``grain`` is ``day`` or ``clock``."""
-    counts = as_counts(hourly, **columns)
-    keys = keys_of(counts)
+def count_cubes(hourly: DataFrame, also: Sequence[str] = (), **columns: str) -> DataFrame:
+    """Both cubes in one scan and one shuffle; ``grain`` is ``day`` or ``clock``. They are
+    apart for all values of the columns named by ``also``, and may be added up."""
+    counts = as_counts(hourly, also=also, **columns)
+    keys = [*keys_of(counts), *also]
     day, clock = [*keys, *DAY_GRAIN], [*keys, *CLOCK_GRAIN]
     dims = [*keys, *DAY_GRAIN, *CLOCK_GRAIN]
     grouped = counts.groupingSets([[F.col(c) for c in day], [F.col(c) for c in clock]], *dims)

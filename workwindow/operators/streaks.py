@@ -185,8 +185,9 @@ def _piece_runs(steps: DataFrame) -> DataFrame:
     return runs.select(*PIECE, run).repartition(*PIECE)
 
 
-def _runs(steps: DataFrame) -> DataFrame:
-    """All runs with their id; ids count up per site in (scenario, time) order."""
+def runs_of(steps: DataFrame) -> DataFrame:
+    """All runs of ``operational_steps`` with their id; ids count up per site in (scenario,
+    time) order."""
     parts = _piece_runs(steps)
     edges = parts.groupBy(*PIECE).agg(
         F.count("*").alias("n_parts"), F.min("run").alias("first"), F.max("run").alias("last")
@@ -228,7 +229,7 @@ def operational_runs(hourly: DataFrame, watch: Observation | None = None, **colu
     1.5 time steps. Its length is steps x time step, and ``end_ts`` is the start
     of its last step. At equal times blocked steps come before workable ones.
     """
-    runs = _runs(operational_steps(hourly, watch=watch, **columns))
+    runs = runs_of(operational_steps(hourly, watch=watch, **columns))
     return runs if "site_id" in hourly.columns else runs.drop("site_id")
 
 

@@ -18,21 +18,24 @@ CONTEXTS = ("all", "operational", "workable", "blocked_operational")
 STATE = ("param", "value", "states", "n")
 
 
-def value_counts(hourly: DataFrame, params: Sequence[str], **columns: str) -> DataFrame:
+def value_counts(
+    hourly: DataFrame, params: Sequence[str], also: Sequence[str] = (), **columns: str
+) -> DataFrame:
     """How often each value occurs per site, month and combination of scenario states.
 
     Combined on the map side, so repeated hours weigh nothing. This is the state that
     both statistics are made of: a year is its months, and counts of different hours are
-    put together by ``merged_counts``.
+    put together by ``merged_counts``. Columns named by ``also`` are kept apart.
     """
     missing = [p for p in params if p not in hourly.columns]
     if missing:
         raise ValueError(f"missing weather parameter columns: {missing}")
     t = F.col(columns.get("time_local_col", "time_local"))
     flags = {c: columns[c] for c in ("operational_col", "workable_col") if c in columns}
-    ids = [*present(hourly, ["site_id"]), "year", "month", "states"]
+    ids = [*present(hourly, ["site_id"]), *also, "year", "month", "states"]
     wide = hourly.select(
         *present(hourly, ["site_id"]),
+        *also,
         F.year(t).alias("year"),
         F.month(t).alias("month"),
         scenario_states(hourly, **flags).alias("states"),

@@ -167,47 +167,60 @@ def build_bundle(
         jobs.append(lambda: stage(weather.value_counts(dense, params, **columns), "values"))
     cubes, runs, *values = at_once(jobs)
     values = values[0] if values else None
-    days, clock = day_cube(cubes), clock_cube(cubes)
+    has_limits = columns.get("limiting_col", "limiting_param") in hourly.columns
+    wanted = dict(curves_=include_curves, visual=include_visual, stats_=include_stats)
+    tables = tables_of(cubes, runs, values, params, losses=has_limits, **wanted)
+    if include_visual and visual_params_for_mean:
+        tables["pivot_month_x_hour_param_mean_operational"] = (
+            pivots.pivot_month_x_hour_param_mean_operational(
+                hourly,
+                list(visual_params_for_mean),
+                **{k: v for k, v in columns.items() if k in ("time_local_col", "operational_col")},
+            )
+        )
+    if validate:
+        check_tables(tables, required_tables(include_weather_stats, **wanted), values=False)
+    return Bundle(run_meta(hours_in(cubes), config, run_id), tables, keys.get, repeats.get.get("repeated", 0))
+
+
+def hours_in(cubes: DataFrame) -> DataFrame:
+    return day_cube(cubes).agg(F.coalesce(F.sum("n_hours"), F.lit(0)).alias("rows_hourly"))
+
 
+def tables_of(
+    cubes: DataFrame,
+    runs: DataFrame,
+    values: DataFrame | None,
+    params: Sequence[str],
+    losses: bool = True,
+    curves_: bool = True,
+    visual: bool = True,
+    stats_: bool = True,
+) -> dict[str, DataFrame]:
+    """Report tables from additive states: count cubes, runs and, with weather, value counts."""
+    days, clock = day_cube(cubes), clock_cube(cubes)
     tables = {
         "summary_run": summary.summary_run(days),
         "summary_monthly": summary.summary_monthly(days),
         "summary_yearly": summary.summary_yearly(days),
     }
-    if columns.get("limiting_col", "limiting_param") in hourly.columns:
+    if losses:
         tables["loss_by_param_monthly"] = loss.loss_by_param_monthly(days)
         tables["loss_by_param_yearly"] = loss.loss_by_param_yearly(days)
-    if include_weather_stats:
+    if values is not None:
         tables["weather_stats_monthly"] = weather.weather_stats_monthly(values, params)
         tables["weather_stats_yearly"] = weather.weather_stats_yearly(values, params)
-    if include_curves:
+    if curves_:
         tables["curves_cumulative_daily"] = curves.curves_cumulative_daily(days)
         tables["curve_reliability_monthly"] = curves.curve_reliability_monthly(days)
-    if include_visual:
+    if visual:
         tables["pivot_month_x_hour_workable_rate"] = pivots.pivot_month_x_hour_workable_rate(clock)
-        tables["pivot_month_x_weekday_workable_rate"] = (
-            pivots.pivot_month_x_weekday_workable_rate(clock)
-        )
-        tables["pivot_weekday_x_hour_workable_rate"] = (
-            pivots.pivot_weekday_x_hour_workable_rate(clock)
-        )
-        if visual_params_for_mean:
-            wanted = {
-                k: v for k, v in columns.items() if k in ("time_local_col", "operational_col")
-            }
-            tables["pivot_month_x_hour_param_mean_operational"] = (
-                pivots.pivot_month_x_hour_param_mean_operational(
-                    hourly, list(visual_params_for_mean), **wanted
-                )
-            )
-    if include_stats:
+        tables["pivot_month_x_weekday_workable_rate"] = pivots.pivot_month_x_weekday_workable_rate(clock)
+        tables["pivot_weekday_x_hour_workable_rate"] = pivots.pivot_weekday_x_hour_workable_rate(clock)
+    if stats_:
         tables["stats_monthly_workable_rate_dist"] = stats.stats_monthly_workable_rate_dist(days)
         tables["reliability_targets_monthly"] = stats.reliability_targets_monthly(days)
     tables["streaks_nonworkable_operational"] = streaks.streaks_nonworkable(runs)
     tables["streaks_workable_operational"] = streaks.streaks_workable(runs)
     tables["streaks_summary_operational"] = streaks.streaks_summary(runs)
-
-    rows = days.agg(F.coalesce(F.sum("n_hours"), F.lit(0)).alias("rows_hourly"))
-    if validate:
-        check_tables(tables, required_tables(include_weather_stats, include_curves, include_visual, include_stats), values=False)
-    return Bundle(run_meta(rows, config, run_id), tables, keys.get, repeats.get.get("repeated", 0))
+    return tables
