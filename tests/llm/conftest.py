@@ -14,7 +14,8 @@ def docs(spark):
         if more:
             schema += ", node string, size string, word string, n string, shards string, copies string"
             schema += ", kept string, class_id string, row string, id string, src string, bucket string"
-            full = [(*r, *"abcdefghijkl") for r in full]
+            schema += ", key string, near_row_key string, text_key string"
+            full = [(*r, *"abcdefghijklmno") for r in full]
         return spark.createDataFrame(full, schema)
 
     return make

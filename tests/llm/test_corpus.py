@@ -313,6 +313,29 @@ def test_mix_meets_targets_and_reruns_agree(docs, prose):
     assert mixing.mix_sources(docs([])).count() == 0
 
 
+def test_rows_without_id_are_mixed_by_their_texts(docs, prose):
+    rows = [(None if i % 3 == 0 else i, prose(i, 2), "en", "ab"[i % 2]) for i in range(600)]
+    mix = mixing.mix_sources(docs(rows, more=True), block_docs=16, shards=4).collect()
+    assert len(mix) == 600 and len({r.doc_key for r in mix}) == 600
+    for source in "ab":
+        own = [r for r in mix if r.source == source]
+        assert abs(sum(r.size * len(r.shards) for r in own) - own[0].target) <= 30
+
+
+def test_pipeline_mixes_row_by_row(spark, docs, prose):
+    rows = [(None if i % 3 == 0 else i // 2, prose(i, 6), "en", "ab"[i % 2]) for i in range(300)]
+    table = docs(rows, more=True)
+    taken = corpus_pipeline.mixed_sources(spark, table, "").collect()
+    mix = mixing.mix_sources(table).collect()
+    want = {(r.doc_id, r.source, r.text_key): len(r.shards) for r in mix}
+    found = {}
+    for row in taken:
+        assert (row.near_row_key, row.key) == ("n", "m")
+        key = (row.doc_id, row.source, hashlib.md5(row.text.encode()).hexdigest())
+        found[key] = found.get(key, 0) + 1
+    assert found == {key: n for key, n in want.items() if n}
+
+
 def test_quotas_are_split_exactly(spark):
     quotas = spark.createDataFrame([("a", 70), ("b", 21), (None, 9)], "source string, quota bigint")
     parts = mixing.split_quotas(quotas, 8).collect()

@@ -123,7 +123,7 @@ def test_labelled_documents_teach_the_field(spark, docs, prose):
     nothing = quality.train(documents, labels.filter("false"))
     assert nothing.emission[0] > 0
     stay = quality.keep_good(docs([*enumerate(texts), (7, None)], more=True), field)
-    assert {r.doc_id for r in stay.collect()} == kept and len(stay.columns) == 17
+    assert {r.doc_id for r in stay.collect()} == kept and len(stay.columns) == 20
 
 
 # BPE

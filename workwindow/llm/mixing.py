@@ -15,7 +15,8 @@ DataFrame functions only.
 4. The quota of a shard is a run of the source's permuted draws, so shards are
    disjoint. Rows are ordered inside a shard by a hash.
 
-Keys are MD5 of the seed and the row's id: reruns and other engines agree.
+Keys are MD5 of the seed and the row's id, of rows without id the seed and the text's MD5:
+reruns and other engines agree, and rows without id spread over the blocks by their texts.
 
 No group grows with the documents: windows run over blocks of a source (documents /
 ``block_docs``), over the tickets of a node and over the documents of the edge blocks.
@@ -52,6 +53,11 @@ def key_of(*parts: Column | str) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows of one doc_id, or without, by their texts."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -150,7 +156,8 @@ def deal_blocks(
         F.coalesce(rounds, F.lit(0)).alias("rounds"),
     ).withColumn("rest", F.col("target") - F.col("rounds") * F.col("source_size"))
     spread = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    docs = sized.withColumn("doc_key", key_of(seed, F.col("doc_id"))).withColumn(
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null-"), F.col("text_key")))
+    docs = sized.withColumn("doc_key", key_of(seed, named)).withColumn(
         "doc_salt", F.pmod("doc_key", F.lit(SALTS)).cast("int")
     )
     # null-safe, as a null source is a source of its own
@@ -217,9 +224,11 @@ def mix_sources(
     shards: int = SHARDS,
     seed: str = SEED,
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, doc_key and
+    """One row per document: doc_id, source, text_key, size, source_size, target, doc_key and
     ``shards``, the output shard of each copy that the mix takes (empty: not taken)."""
-    sized = documents.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    sized = documents.select(
+        "doc_id", "source", text_key(F.col("text")).alias("text_key"), n_words(F.col("text")).alias("size")
+    )
     sized = stage(sized, "mix-sizes")
     by_source = sized.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("n_docs")
@@ -233,13 +242,13 @@ def mix_sources(
 
     # on the edge, documents whose middle lies before the place of the target
     on_edge = docs.filter("edge")
-    inside = Window.partitionBy("source").orderBy("doc_key", "doc_id", "size")
+    inside = Window.partitionBy("source").orderBy("doc_key", "doc_id", "size", "text_key")
     middle = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
     last = F.size("block_shards") - (middle > F.col("left_over")).cast("int")
     on_edge = on_edge.withColumn("shards", F.slice("block_shards", F.lit(1), last))
     whole = docs.filter("NOT edge").withColumn("shards", F.col("block_shards"))
     return whole.unionByName(on_edge).select(
-        "doc_id", "source", "size", "source_size", "target", "doc_key", "shards"
+        "doc_id", "source", "text_key", "size", "source_size", "target", "doc_key", "shards"
     )
 
 

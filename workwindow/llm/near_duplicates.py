@@ -345,11 +345,11 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay when each group keeps one row, the first by
     doc_id (null last), then by a hash of the row. Each row is compared by its own text,
     whatever its doc_id. Rows without words have no copies and stay."""
-    columns = documents.columns
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    keyed = documents.filter(has_words).withColumn("near_row_key", _row_key(documents))
-    found = near_duplicates(keyed.select(F.col("near_row_key").alias("doc_id"), "text"))
-    stay = found.filter("doc_id = class_id").select(F.col("doc_id").alias("near_row_key")).distinct()
+    # the row travels as one column, whatever its own columns are called
+    keyed = documents.filter(has_words).select(_row_key(documents).alias("key"), F.struct("*").alias("row"))
+    found = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text"))
+    stay = found.filter("doc_id = class_id").select(F.col("doc_id").alias("key")).distinct()
     # one exchange of the texts by key serves the join and the removal of equal rows
-    named = keyed.join(stay.hint("merge"), "near_row_key").dropDuplicates(["near_row_key"]).select(columns)
+    named = keyed.join(stay.hint("merge"), "key").dropDuplicates(["key"]).select("row.*")
     return named.unionByName(documents.filter(~has_words))
