@@ -34,14 +34,18 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them; of rows that repeat a doc_id in a source each
-    is taken as often as the one that is taken least."""
+    """Rows as often as the mix takes them; of equal rows each as often as the one that is
+    taken least."""
     mix = mixing.mix_sources(docs)
-    copies = mix.groupBy(F.col("doc_id").alias("id"), F.col("source").alias("src")).agg(
-        F.min(F.size("shards")).alias("copies")
-    )
+    copies = mix.groupBy(
+        F.col("doc_id").alias("id"), F.col("source").alias("src"), F.col("text_key").alias("key")
+    ).agg(F.min(F.size("shards")).alias("copies"))
     rows = docs.select(F.struct("*").alias("row"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & F.col("row.source").eqNullSafe(F.col("src"))
+    same = (
+        F.col("row.doc_id").eqNullSafe(F.col("id"))
+        & F.col("row.source").eqNullSafe(F.col("src"))
+        & (mixing.text_key(F.col("row.text")) == F.col("key"))
+    )
     rows = rows.join(copies.filter("copies > 0"), same)
     return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
