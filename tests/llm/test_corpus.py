@@ -1,6 +1,7 @@
 """Operators on whole tables: licences, neighbours, chat, pages, duplicates, mixing, pipeline."""
 
 import hashlib
+import random
 import json
 import re
 from itertools import combinations
@@ -37,6 +38,70 @@ def test_licences_of_files_and_of_directories(spark):
     assert licenses.scan(files.filter("false")).count() == 0
 
 
+def test_no_line_is_passed_over_that_matches(spark):
+    """Short names, first lines of wrapped headers, and headers wrapped over lines."""
+    lines = {
+        "CC BY-SA 4.0": "cc-by-sa-4.0",
+        "This Source Code Form is subject to the terms of the Mozilla": "mpl-2.0",
+        "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted "
+        "provided that the following\n# conditions are met: redistributions of source code must retain\n"
+        "# the above copyright notice": "bsd-3-clause",
+    }
+    code = [f"value{i} = compute{i}(argument{i})" for i in range(400)]
+    rows = [(f"d/f{i}.py", "\n".join([text, "#", *code])) for i, text in enumerate(lines)]
+    rows += [(f"e{i}/whole", text) for i, text in enumerate(lines)]
+    # many texts with common words, which so weigh little
+    rows += [(f"f{i}/x", "this is the thing and that is to be of a form for you in it") for i in range(300)]
+    found = licenses.own_licenses(spark.createDataFrame(rows, "path string, text string")).collect()
+    got = {r.path: (r.license_id, r.n_notices, r.is_license_file) for r in found}
+    for i, name in enumerate(lines.values()):
+        assert got[f"d/f{i}.py"] == (name, 1, False)
+        assert got[f"e{i}/whole"] == (name, 1, True)
+
+
+def test_matches_are_those_of_all_cosines(spark):
+    dice = random.Random(4)
+    texts = []
+    for _ in range(400):
+        terms = licenses._terms(dice.choice(licenses.TEMPLATES)[1])
+        noise = ["alpha", "beta", "the", "of", "this", "software"] * 2
+        texts.append(" ".join(dice.sample(terms, dice.randint(1, len(terms))) + dice.sample(noise, dice.randint(0, 8))))
+    files = spark.createDataFrame(list(enumerate(texts)), "path string, text string")
+    weights = {r.term: r.weight for r in licenses.term_weights(files).collect()}
+    templates = [{t: licenses._terms(x).count(t) * weights[t] for t in licenses._terms(x)} for _, x in licenses.TEMPLATES]
+    want = {}
+    for i, text in enumerate(texts):
+        unit = {t: licenses._terms(text).count(t) * weights.get(t, 1.0) for t in licenses._terms(text)}
+        size = lambda v: sum(x * x for x in v.values()) ** 0.5
+        score = max(sum(unit.get(t, 0) * w for t, w in v.items()) / size(v) / size(unit) for v in templates)
+        if abs(score - 0.6) > 1e-6 and score >= 0.6:
+            want[str(i)] = round(score, 6)
+    found = {r.path: r.score for r in licenses.own_licenses(files).collect()}
+    assert found.keys() == want.keys() and 50 < len(want) < 350
+    assert all(found[i] == pytest.approx(score, abs=2e-6) for i, score in want.items())
+
+
+def test_files_without_doc_id_are_scanned(spark, tmp_path):
+    from workwindow.llm.queries import QUERIES
+
+    rows = [(None, "Released under the MIT License", "en", "s"), (3, "plain", "en", "s"), (None, "plain", None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.path, str(r.license_id)) for r in found) == [
+        ("3", "s/en/3", "mit"), ("None", "//", "None"), ("None", "s/en/", "mit")]
+
+
+def test_telling_terms_bound_the_cosine():
+    weights = {t: 1 + 5 * (i % 7) / 7 for i, t in enumerate(licenses.VOCABULARY)}
+    telling = set(licenses.telling_terms(weights))
+    for _, text in licenses.TEMPLATES:
+        terms = licenses._terms(text)
+        vector = {t: terms.count(t) * weights[t] for t in set(terms)}
+        rest = sum(w * w for t, w in vector.items() if t not in telling)
+        assert rest < 0.36 * sum(w * w for w in vector.values())
+        assert telling & set(terms)
+
+
 def test_every_template_is_its_own_best_match(spark):
     rows = [(f"d/{i}", f"before it\n{text}\nafter it") for i, (_, text) in enumerate(licenses.TEMPLATES)]
     found = licenses.own_licenses(spark.createDataFrame(rows, "path string, text string")).collect()

@@ -1,22 +1,29 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from directories.
 
-DataFrame functions only. Every line of a text that holds an anchor (a word stem that
-each template has) is compared with the templates, and so is the whole text if it has
-such a line; of other texts no line can be a notice. Words are runs of a-z and 0-9 in
-lower case; the weight of a template term falls with the share of all documents that
-have it, any other word weighs 1 in the length of its line.
-
-A file's own licence is its best match at or above ``MIN_COSINE``. A licence file, by
-its name or because matched lines hold at least half of its words, speaks for its
-directory. A file without a licence of its own takes that of the nearest directory
-above it. Directories, not files, are joined to their ancestors, and files to their
-directory, so that a directory with a third of all files is a skewed join that Spark
-splits, not a group. Templates are literals; nothing that grows is broadcast by hint.
+DataFrame functions only. Units of a text are the whole, its blocks (runs of lines with
+letters or digits, as wrapped headers are) and the lines of a block; each is compared
+with the templates. Words are runs of a-z and 0-9 in lower case; the weight of a template
+term falls with the share of all documents that have it, any other word weighs 1 in
+the length of its unit.
+
+Units that cannot match are told by ``telling_terms``: a unit's cosine is at most the length
+of the part of the template, itself of length 1, whose terms it holds. So of each
+template the most common terms are left out as long as they alone stay below
+``MIN_COSINE``, and a unit without any of the others is not scored. That loses no match.
+
+A file's own licence is its best match at or above ``MIN_COSINE``. A matching block is one
+notice, in other blocks each matching line is. A licence file, by its name or because
+notices hold at least half of its words, speaks for its directory. A file without a
+licence of its own takes that of the nearest directory above it. Directories, not files,
+are joined to their ancestors, and files to their directory, so that a directory with a
+third of all files is a skewed join that Spark splits, not a group. Templates are
+literals; nothing that grows is broadcast by hint.
 
 Defined results: a null or empty text has no licence of its own and may inherit; ties
 of score go to the smaller licence id, ties of licence files to the higher score, then
-the smaller path; repeated rows stay; a null path has no directory; an empty table gives
-an empty result.
+the smaller path; repeated rows stay, and rows of one path are one file with the best
+match and all notices of its different texts; a null path has no directory; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -82,8 +89,8 @@ TEMPLATES = [
     ("proprietary", "Copyright. All rights reserved. No part may be reproduced without permission"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
-#: Each template has one of these; a line without any cannot be a notice.
-ANCHORS = ["licen", "copyright", "permission", "redistribution", "rights reserved", "public domain"]
+#: Lines without letters or digits part blocks; the quantifiers never give back.
+BETWEEN_BLOCKS = r"\n(?:[^A-Za-z0-9\n]*+\n)++"
 
 TERM = "[a-z0-9]+"
 
@@ -131,19 +138,49 @@ def term_weights(files: DataFrame) -> DataFrame:
     )
 
 
-def _anchored(line: Column) -> Column:
-    low = F.lower(line)
-    found = F.contains(low, F.lit(ANCHORS[0]))
-    for anchor in ANCHORS[1:]:
-        found = found | F.contains(low, F.lit(anchor))
-    return found
+def telling_terms(weights: dict[str, float]) -> list[str]:
+    """Terms of which a unit must hold one to come near any template."""
+    # scores are rounded before they are compared
+    least, found = (MIN_COSINE - 1e-6) ** 2, set()
+    for _, text in TEMPLATES:
+        terms = _terms(text)
+        squares = {t: (terms.count(t) * weights[t]) ** 2 for t in set(terms)}
+        rest, whole = 0.0, sum(squares.values())
+        for term in sorted(squares, key=lambda t: (weights[t], t)):
+            rest += squares[term] / whole
+            if rest >= least:
+                found.add(term)
+    return sorted(found)
+
+
+def _units(files: DataFrame, telling: list[str]) -> DataFrame:
+    """path, text_key, all_words, block, line and line_text of all units that can match;
+    block 0 is the whole text, line 0 a whole block."""
+    may_match = lambda text: F.arrays_overlap(words(text), F.array(*map(F.lit, telling)))
+    texts = files.filter("path IS NOT NULL AND text IS NOT NULL").filter(may_match(F.col("text"))).distinct()
+    keyed = texts.select("path", "text", F.md5("text").alias("text_key"), F.size(words(F.col("text"))).alias("all_words"))
+    whole = F.array(F.struct(F.lit(0).alias("block"), F.col("text").alias("part")))
+    parts = F.transform(
+        F.split("text", BETWEEN_BLOCKS, -1), lambda b, i: F.struct((i + 1).alias("block"), b.alias("part"))
+    )
+    blocks = keyed.select("path", "text_key", "all_words", F.inline(F.concat(whole, parts)))
+    blocks = blocks.filter((F.col("block") == 0) | may_match(F.col("part")))
+    entry = lambda line, text: F.struct(line.cast("int").alias("line"), text.alias("line_text"))
+    lines = F.transform(F.split("part", "\n", -1), lambda x, i: entry(i + 1, x))
+    lines = F.filter(lines, lambda x: may_match(x["line_text"]))
+    own = F.array(entry(F.lit(0), F.col("part")))
+    has_lines = (F.col("block") > 0) & F.contains("part", F.lit("\n"))
+    units = F.when(has_lines, F.concat(own, lines)).otherwise(own)
+    return blocks.select("path", "text_key", "all_words", "block", F.inline(units))
 
 
 def matches(files: DataFrame) -> DataFrame:
-    """Lines and whole texts near a template: path, unit (0: whole text), n_words of the
+    """Units near a template: path, text_key, block, line (see ``_units``), n_words of the
     unit, all_words of the text, license_id, score. Rows of one path and text are one."""
     spark = files.sparkSession
     weights = stage(term_weights(files), "license-weights")
+    # as many rows as the templates have terms
+    telling = telling_terms({r.term: r.weight for r in weights.collect()})
     templates = literal_rows(spark, "template, license_id, term, n", template_rows())
     templates = templates.join(weights, "term").withColumn("w", F.col("n") * F.col("weight"))
     norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("template_norm"))
@@ -151,15 +188,9 @@ def matches(files: DataFrame) -> DataFrame:
         "template", "license_id", "term", (F.col("w") / F.col("template_norm")).alias("w")
     )
 
-    lines = F.filter(F.split("text", "\n", -1), _anchored)
-    noted = files.filter("path IS NOT NULL").filter(_anchored(F.col("text"))).select(
-        "path", F.concat(F.array("text"), lines).alias("units"), F.size(words(F.col("text"))).alias("all_words")
-    )
-    units = noted.distinct().select("path", "all_words", F.posexplode("units").alias("unit", "line"))
-    units = units.withColumn("words", words(F.col("line"))).select(
-        "path", "unit", "all_words", F.size("words").alias("n_words"), F.xxhash64("line").alias("line"), "words"
-    )
-    key = ["path", "unit", "line", "n_words", "all_words"]
+    units = _units(files, telling)
+    units = units.withColumn("words", words(F.col("line_text"))).withColumn("n_words", F.size("words"))
+    key = ["path", "text_key", "block", "line", "n_words", "all_words"]
     counts = units.select(*key, F.explode("words").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("n"))
     counts = counts.join(weights, "term", "left").withColumn("w", F.col("n") * F.coalesce("weight", F.lit(1.0)))
     counts = stage(counts.drop("weight", "n"), "license-terms")
@@ -174,21 +205,32 @@ def matches(files: DataFrame) -> DataFrame:
         F.max(F.struct("score", -F.col("template"), "license_id")).alias("best")
     )
     return best.select(
-        "path", "unit", "n_words", "all_words", F.col("best.license_id").alias("license_id"), F.col("best.score").alias("score")
+        *key, F.col("best.license_id").alias("license_id"), F.col("best.score").alias("score")
     )
 
 
 def own_licenses(files: DataFrame) -> DataFrame:
     """One row per path with a match: path, license_id, score, n_notices, is_license_file."""
     found = matches(files)
-    best = found.groupBy("path").agg(
-        F.max("score").alias("score"),
-        F.count_if(F.col("unit") > 0).alias("n_notices"),
-        F.sum(F.when(F.col("unit") > 0, F.col("n_words")).otherwise(0)).alias("noted_words"),
+    in_line = F.col("line") > 0
+    blocks = found.groupBy("path", "text_key", "block").agg(
         F.max("all_words").alias("all_words"),
-        F.max((F.col("unit") == 0).cast("int")).alias("whole"),
+        F.max((~in_line).cast("int")).alias("as_block"),
+        F.count_if(in_line).alias("n_lines"),
+        F.sum(F.when(in_line, F.col("n_words")).otherwise(0)).alias("line_words"),
+        F.max(F.when(~in_line, F.col("n_words"))).alias("block_words"),
+        F.max("score").alias("score"),
         F.collect_set(F.struct("score", "license_id")).alias("found"),
     )
+    noted = (F.col("block") > 0).cast("long")
+    best = blocks.groupBy("path").agg(
+        F.max("score").alias("score"),
+        F.sum(noted * F.when(F.col("as_block") == 1, 1).otherwise(F.col("n_lines"))).alias("n_notices"),
+        F.sum(noted * F.coalesce("block_words", "line_words")).alias("noted_words"),
+        F.max("all_words").alias("all_words"),
+        F.max((F.col("block") == 0).cast("int")).alias("whole"),
+        F.array_distinct(F.flatten(F.collect_set("found"))).alias("found"),
+    )
     # at most one entry a licence and score: the smallest id of the best score
     of_best = F.array_min(F.transform(F.filter("found", lambda x: x["score"] == F.col("score")), lambda x: x["license_id"]))
     return best.select(
@@ -209,9 +251,9 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def scan(files: DataFrame) -> DataFrame:
+def scan(files: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``files`` (path, text): path, own_license, score, n_notices,
-    is_license_file, license_id and from_dir (null: own or none)."""
+    is_license_file, license_id, from_dir (null: own or none), and the columns ``keep``."""
     own = stage(own_licenses(files.select("path", "text")), "license-own")
     speaking = own.filter("is_license_file").groupBy(directory(F.col("path")).alias("above")).agg(
         F.min(F.struct(-F.col("score"), F.col("path"), F.col("license_id"))).alias("l")
@@ -228,7 +270,7 @@ def scan(files: DataFrame) -> DataFrame:
     ).select("dir", F.col("l.above").alias("from_dir"), F.col("l.dir_license").alias("dir_license"))
     inherited = stage(inherited, "license-dirs")
 
-    rows = files.select("path", directory(F.col("path")).alias("dir"))
+    rows = files.select("path", directory(F.col("path")).alias("dir"), F.struct(*keep).alias("kept") if keep else F.lit(0).alias("kept"))
     rows = rows.join(own, "path", "left").join(inherited, "dir", "left")
     has_own = F.col("license_id").isNotNull()
     return rows.select(
@@ -239,4 +281,5 @@ def scan(files: DataFrame) -> DataFrame:
         F.coalesce("is_license_file", F.lit(False)).alias("is_license_file"),
         F.coalesce("license_id", "dir_license").alias("license_id"),
         F.when(~has_own, F.col("from_dir")).alias("from_dir"),
+        *(["kept.*"] if keep else []),
     )

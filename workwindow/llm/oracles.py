@@ -2,21 +2,74 @@
 
 from __future__ import annotations
 
-from workwindow.llm import licenses
+import re
 
-_TEMPLATE_ROWS = ", ".join(f"({i}, '{n}', '{t}', {k})" for i, n, t, k in licenses.template_rows())
+# Short notices of public licences, stated once more.
+_TEMPLATES = [
+    ("agpl-3.0", "Licensed under the GNU Affero General Public License, version 3"),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    (
+        "apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
+        "except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0",
+    ),
+    ("bsd-3-clause", "Licensed under the BSD 3-Clause License"),
+    (
+        "bsd-3-clause",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: redistributions of source code "
+        "must retain the above copyright notice",
+    ),
+    ("cc-by-4.0", "Licensed under CC BY 4.0"),
+    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
+    (
+        "cc-by-nc-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    ),
+    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
+    (
+        "cc-by-sa-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    ),
+    ("cc0-1.0", "Dedicated to the public domain under CC0 1.0 Universal"),
+    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    (
+        "gpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version",
+    ),
+    ("lgpl-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
+    ("mit", "Released under the MIT License"),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        "software and associated documentation files, to deal in the Software without restriction",
+    ),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("proprietary", "All rights reserved"),
+    ("proprietary", "Copyright. All rights reserved. No part may be reproduced without permission"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+]
 
 
-def _anchored(x: str) -> str:
-    return "(" + " OR ".join(f"contains(lower({x}), '{a}')" for a in licenses.ANCHORS) + ")"
+def _template_rows() -> str:
+    rows = []
+    for i, (name, text) in enumerate(_TEMPLATES):
+        terms = re.findall("[a-z0-9]+", text.lower())
+        rows += [f"({i}, '{name}', '{t}', {terms.count(t)})" for t in sorted(set(terms))]
+    return ", ".join(rows)
 
 
 OP2 = rf"""
 WITH RECURSIVE files AS (
-  SELECT doc_id, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id) AS path, text,
+  SELECT doc_id, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), coalesce(doc_id::VARCHAR, '')) AS path, text,
     regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS words
   FROM documents),
-template_terms(template, license_id, term, n) AS (VALUES {_TEMPLATE_ROWS}),
+template_terms(template, license_id, term, n) AS (VALUES {_template_rows()}),
 vocabulary AS (SELECT DISTINCT term FROM template_terms),
 seen AS (
   SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(words)) AS term FROM files)
@@ -28,34 +81,42 @@ templates AS (
   SELECT template, license_id, term,
     n * weight / sqrt(sum(n * weight * n * weight) OVER (PARTITION BY template)) AS w
   FROM template_terms JOIN weights USING (term)),
-noted AS (
-  SELECT DISTINCT path, text, len(words) AS all_words,
-    [text] || list_filter(string_split(text, chr(10)), lambda l: {_anchored("l")}) AS units
-  FROM files WHERE {_anchored("text")}),
+texts AS (SELECT DISTINCT path, text, len(words) AS all_words FROM files WHERE text IS NOT NULL),
+parts AS (
+  SELECT path, text, all_words, unnest(range(len(b) + 1)) AS block, unnest([text] || b) AS part
+  FROM (SELECT *, regexp_split_to_array(text, '\n(?:[^A-Za-z0-9\n]*\n)+') AS b FROM texts)),
 units AS (
-  SELECT path, all_words, generate_subscripts(units, 1) - 1 AS unit,
-    regexp_extract_all(lower(unnest(units)), '[a-z0-9]+') AS words
-  FROM noted),
+  SELECT path, text, all_words, block, 0 AS line, part AS line_text FROM parts
+  UNION ALL
+  SELECT path, text, all_words, block, unnest(range(1, len(l) + 1)), unnest(l)
+  FROM (SELECT *, string_split(part, chr(10)) AS l FROM parts WHERE block > 0) WHERE len(l) > 1),
+split AS (
+  SELECT path, text, all_words, block, line, regexp_extract_all(lower(line_text), '[a-z0-9]+') AS words FROM units),
 terms AS (
-  SELECT path, unit, all_words, len(words) AS n_words, unnest(words) AS term FROM units),
+  SELECT path, text, block, line, all_words, len(words) AS n_words, unnest(words) AS term FROM split),
 counts AS (
-  SELECT path, unit, all_words, n_words, term, count(*) * coalesce(any_value(weight), 1) AS w
+  SELECT path, text, block, line, all_words, n_words, term, count(*) * coalesce(any_value(weight), 1) AS w
   FROM terms LEFT JOIN weights USING (term) GROUP BY ALL),
-lengths AS (SELECT path, unit, sqrt(sum(w * w)) AS norm FROM counts GROUP BY ALL),
+lengths AS (SELECT path, text, block, line, sqrt(sum(w * w)) AS norm FROM counts GROUP BY ALL),
 scored AS (
-  SELECT path, unit, all_words, n_words, template, license_id,
+  SELECT path, text, block, line, all_words, n_words, template, license_id,
     round(sum(c.w * t.w) / any_value(norm), 6) AS score
-  FROM counts c JOIN templates t USING (term) JOIN lengths USING (path, unit) GROUP BY ALL),
+  FROM counts c JOIN templates t USING (term) JOIN lengths USING (path, text, block, line) GROUP BY ALL),
 best AS (
-  SELECT path, unit, all_words, n_words, max((score, -template, license_id)) AS b
+  SELECT path, text, block, line, all_words, n_words, max((score, -template, license_id)) AS b
   FROM scored WHERE score >= 0.6 GROUP BY ALL),
+blocks AS (
+  SELECT path, text, block, max(all_words) AS all_words,
+    CASE WHEN block = 0 THEN 0 WHEN bool_or(line = 0) THEN 1 ELSE count(*) END AS notices,
+    CASE WHEN block = 0 THEN 0 WHEN bool_or(line = 0) THEN max(n_words) FILTER (line = 0) ELSE sum(n_words) END AS noted,
+    arg_min(b[3], (-b[1], b[3])) AS license_id, max(b[1]) AS score
+  FROM best GROUP BY path, text, block),
 own AS (
-  SELECT path, arg_min(b[3], (-b[1], b[3])) AS license_id, max(b[1]) AS score,
-    count(*) FILTER (unit > 0) AS n_notices,
+  SELECT path, arg_min(license_id, (-score, license_id)) AS license_id, max(score) AS score,
+    sum(notices)::BIGINT AS n_notices,
     regexp_matches(path, '(?i)(^|/)(licen[sc]e|copying|copyright|notice|unlicense)[^/]*$')
-      OR bool_or(unit = 0) OR coalesce(sum(n_words) FILTER (unit > 0), 0) >= 0.5 * max(all_words)
-      AS is_license_file
-  FROM best GROUP BY path),
+      OR bool_or(block = 0) OR sum(noted) >= 0.5 * max(all_words) AS is_license_file
+  FROM blocks GROUP BY path),
 speaking AS (
   SELECT regexp_replace(path, '/?[^/]*$', '') AS above,
     arg_min(license_id, (-score, path, license_id)) AS dir_license

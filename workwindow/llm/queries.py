@@ -31,13 +31,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents lie in directories source/lang."""
-    files = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), "doc_id").alias("path"),
-        "text",
-    )
-    found = licenses.scan(files)
-    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang", "doc_id")]
+    files = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", *place).alias("path"), "text")
+    return licenses.scan(files, keep=("doc_id",))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
