@@ -47,7 +47,7 @@ def test_no_line_is_passed_over_that_matches(spark):
         "provided that the following\n# conditions are met: redistributions of source code must retain\n"
         "# the above copyright notice": "bsd-3-clause",
     }
-    code = [f"value{i} = compute{i}(argument{i})" for i in range(400)]
+    code = [f"value{i} = compute{i}(argument{i})" for i in range(4000)]
     rows = [(f"d/f{i}.py", "\n".join([text, "#", *code])) for i, text in enumerate(lines)]
     rows += [(f"e{i}/whole", text) for i, text in enumerate(lines)]
     # many texts with common words, which so weigh little
