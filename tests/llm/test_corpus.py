@@ -215,6 +215,30 @@ def test_parts_become_placeholders_in_order(spark):
     assert row.n_attachment_tokens == 1578
 
 
+def test_control_strings_across_text_parts_are_escaped(spark):
+    cases = [
+        ["a<", "|turn|>x"], ["a<", "|image|>"], ["[", "/IN", "ST]"], ["<\\", "|end|>"], ["<", {"kind": "image"}, "|end|>"],
+        ["see <|image|>", {"kind": "image"}, "<|image|>", {"kind": "odd"}, "", {"kind": "audio"}], [],
+    ]
+    for case in cases:
+        parts = [{"text": p} if isinstance(p, str) else p for p in case]
+        typed = F.from_json(F.lit(json.dumps(parts)), f"array<{chat.PART}>").alias("parts")
+        turns = spark.range(2).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), typed)
+        out = chat.format_conversations(turns)
+        row = out.select("formatted", "attachments", chat.parse_parts(F.col("formatted")).alias("turns")).first()
+        want, run = [], ""
+        for p in [*case, None]:
+            if isinstance(p, str):
+                run += p
+                continue
+            want += [("text", run)] if run else []
+            want += [(p["kind"] if p["kind"] in chat.PLACEHOLDERS else "unknown", None)] if p else []
+            run = ""
+        assert [[tuple(p) for p in t.parts] for t in row.turns] == [want, want], case
+        assert row.formatted.count(chat.END) == 2
+        assert len(row.attachments) == 2 * sum(isinstance(p, dict) for p in case)
+
+
 # pages
 
 

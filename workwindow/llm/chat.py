@@ -26,6 +26,7 @@ TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 OPENERS = r"[<\[]"
 TAILS = r"\|[A-Za-z0-9_]+\|>|/?s>|/?INST\]|</?SYS>>|/?tool_calls?>|/?think>"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+UNKNOWN = "<|unknown|>"
 
 #: One content part. ``size_a`` and ``size_b``: width and height of an image in
 #: pixels, seconds of audio, pages of a document.
@@ -57,12 +58,21 @@ def text_part(text: Column) -> Column:
     )
 
 
-def _visit_text(part: Column) -> Column:
+def _is_text(part: Column) -> Column:
+    return F.coalesce(part["kind"], F.lit("text")) == "text"
+
+
+def _visit(seen: Column, part: Column) -> Column:
+    """Add a part: texts side by side are one run, escaped as a whole, since a control string
+    may begin in one and end in the next; any other part ends the run."""
     other = F.create_map(*[F.lit(x) for kv in PLACEHOLDERS.items() for x in kv])
-    return F.when(
-        F.coalesce(part["kind"], F.lit("text")) == "text",
-        escape(F.coalesce(part["text"], F.lit(""))),
-    ).otherwise(F.coalesce(other[part["kind"]], F.lit("<|unknown|>")))
+    mark = F.coalesce(other[part["kind"]], F.lit(UNKNOWN))
+    longer = F.concat(seen["run"], F.coalesce(part["text"], F.lit("")))
+    closed = F.concat(seen["done"], escape(seen["run"]), mark)
+    return F.struct(
+        F.when(_is_text(part), seen["done"]).otherwise(closed).alias("done"),
+        F.when(_is_text(part), longer).otherwise("").alias("run"),
+    )
 
 
 def _visit_tokens(part: Column) -> Column:
@@ -79,7 +89,8 @@ def _visit_tokens(part: Column) -> Column:
 def flatten_parts(parts: Column) -> tuple[Column, Column]:
     """The turn's string with ordered placeholders, and its attachments in order."""
     parts = F.coalesce(parts, F.expr(f"CAST(array() AS array<{PART}>)"))
-    text = F.array_join(F.transform(parts, _visit_text), "")
+    nothing = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+    text = F.aggregate(parts, nothing, _visit, lambda seen: F.concat(seen["done"], escape(seen["run"])))
     numbered = F.transform(
         parts,
         lambda p, i: F.struct(
@@ -89,7 +100,7 @@ def flatten_parts(parts: Column) -> tuple[Column, Column]:
             _visit_tokens(p).alias("n_tokens"),
         ),
     )
-    return text, F.filter(numbered, lambda x: F.coalesce(x["kind"], F.lit("text")) != "text")
+    return text, F.filter(numbered, lambda x: ~_is_text(x))
 
 
 def format_conversations(
@@ -151,19 +162,46 @@ def format_conversations(
     )
 
 
-def parse_turns(formatted: Column) -> Column:
-    """The turns of a formatted conversation: array of struct<role, text>, unescaped."""
+def _turns(formatted: Column, body) -> Column:
     pieces = F.split(formatted, r"<\|turn\|>", -1)
     pieces = F.filter(pieces, lambda x, i: i > 0)
 
     def turn(piece: Column) -> Column:
-        body = F.split(piece, r"<\|body\|>", 2)
-        text = F.substring(body[1], F.lit(1), F.length(body[1]) - len(END))
-        return F.struct(unescape(body[0]).alias("role"), unescape(text).alias("text"))
+        halves = F.split(piece, r"<\|body\|>", 2)
+        return F.struct(
+            unescape(halves[0]).alias("role"),
+            body(F.substring(halves[1], F.lit(1), F.length(halves[1]) - len(END))),
+        )
 
     return F.transform(pieces, turn)
 
 
+def parse_turns(formatted: Column) -> Column:
+    """The turns of a formatted conversation: array of struct<role, text>, unescaped."""
+    return _turns(formatted, lambda body: unescape(body).alias("text"))
+
+
+def parse_parts(formatted: Column) -> Column:
+    """The same with the parts of each turn: array of struct<role, parts>, a part being
+    struct<kind, text>. A real placeholder is a part of its kind; what only reads like one
+    is text. Runs of text come back as one part, empty ones not at all."""
+    names = "|".join([*PLACEHOLDERS, "unknown"])
+
+    def parts(body: Column) -> Column:
+        texts = F.split(body, rf"<\|(?:{names})\|>", -1)
+        kinds = F.regexp_extract_all(body, F.lit(rf"<\|({names})\|>"), F.lit(1))
+        part = lambda kind, text: F.struct(kind.alias("kind"), text.alias("text"))
+        none = F.lit(None).cast("string")
+        # each text, then the placeholder after it; there is one text more
+        both = F.transform(
+            texts, lambda x, i: F.array(part(F.lit("text"), unescape(x)), part(F.get(kinds, i), none))
+        )
+        said = lambda p: F.when(p["kind"] == "text", p["text"] != "").otherwise(p["kind"].isNotNull())
+        return F.filter(F.flatten(both), said)
+
+    return _turns(formatted, lambda body: parts(body).alias("parts"))
+
+
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, in order, unescaped."""
     return F.array_join(

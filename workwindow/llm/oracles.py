@@ -162,6 +162,22 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+CHAT_PARTS = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n
+  FROM conversations
+), bodies AS (
+  SELECT conv_id, turn, role, n, {_escaped("substr(text, 1, n // 2)")} || '<|image|>'
+    || {_escaped("substr(text, n // 2 + 1) || '<|turn|> <|image|>'")} || '<|audio|><|document|>' AS body
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, count(*) AS n_images, 3 * count(*) AS n_attachments,
+  sum(ceil(n % 500 / 28) * ceil(n % 300 / 28) + n % 60 * 25 + n % 7 * 512)::BIGINT AS n_attachment_tokens,
+  sha256(string_agg('<|turn|>' || {_escaped("role")} || '<|body|>' || body || '<|end|>', ''
+    ORDER BY turn NULLS FIRST, role, body)) AS formatted_sha256
+FROM bodies GROUP BY conv_id
+"""
+
 _KEY = "('0x' || substr(md5(concat_ws(':', {})), 1, 15))::BIGINT"
 WORD_COUNT = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
@@ -399,4 +415,4 @@ WITH split AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
-SQL = {"op8_lm_scores": OP8, "op2_license_scan": OP2, "op5_chat_formatting": OP5, "op9_ngram_jaccard": OP9, "op10_mixing": OP10, "op11_conversation_repair": OP11, "op13_lexical_search": OP13}
+SQL = {"op8_lm_scores": OP8, "op2_license_scan": OP2, "op5_chat_formatting": OP5, "chat_typed_parts": CHAT_PARTS, "op9_ngram_jaccard": OP9, "op10_mixing": OP10, "op11_conversation_repair": OP11, "op13_lexical_search": OP13}

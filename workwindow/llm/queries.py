@@ -69,6 +69,44 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with an image, an audio and a document part put into every turn, the
+    first inside the text; control strings lie across the others."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    n = F.length("text")
+    half = F.floor(n / 2).cast("int")
+    none = F.lit(None)
+
+    def part(kind: str, text=none, ref=none, a=none, b=none):
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            text.cast("string").alias("text"),
+            ref.cast("string").alias("ref"),
+            a.cast("double").alias("size_a"),
+            b.cast("double").alias("size_b"),
+        )
+
+    parts = F.array(
+        part("text", F.substring("text", F.lit(1), half)),
+        part("image", ref=F.col("turn"), a=n % 500, b=n % 300),
+        part("text", F.substring("text", half + 1, n)),
+        part("text", F.lit("<")),
+        part("text", F.lit("|turn|> <|image|>")),
+        part("audio", a=n % 60),
+        part("document", a=n % 7),
+    )
+    out = chat.format_conversations(turns.withColumn("parts", parts))
+    images = F.filter(F.flatten(F.transform(chat.parse_parts(F.col("formatted")), lambda t: t["parts"])), lambda p: p["kind"] == "image")
+    return out.select(
+        "conv_id",
+        "n_turns",
+        F.size(images).cast("long").alias("n_images"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "n_attachment_tokens",
+        F.sha2("formatted", 256).alias("formatted_sha256"),
+    )
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extraction.extract(pages, extraction.train(pages))
@@ -121,6 +159,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_chat_formatting": op5_chat_formatting,
+    "chat_typed_parts": chat_typed_parts,
     "op6_html_extraction": op6_html_extraction,
     "op7_bpe": op7_bpe,
     "op8_lm_scores": op8_lm_scores,
