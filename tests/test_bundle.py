@@ -223,3 +223,38 @@ def test_staging_folder_follows_the_session(spark):
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     assert shared_dir(spark) == (configured or own.get()).rstrip("/")
     assert stage(spark.range(3), "three").count() == 3
+
+
+def test_hours_without_a_key_are_refused_when_published(spark, hourly, cfg, tmp_path):
+    """Counted while the cubes were made: writing refuses before it reads or writes anything."""
+    hourly.withColumn("time_local", F.when(F.hour("time_utc") != 3, F.col("time_local"))).write.parquet(f"{tmp_path}/in")
+    built = build_bundle(spark.read.parquet(f"{tmp_path}/in"), cfg)
+    n = hourly.filter(F.hour("time_utc") == 3).count()
+    assert dict(built.missing_keys) == {"site_id": 0, "scenario_id": 0, "time_utc": 0, "time_local": n}
+    with pytest.raises(ContractError, match=f"time_local missing in {n} hours"):
+        built.write(f"{tmp_path}/out")
+    assert not (tmp_path / "out").exists()
+
+
+def test_repeated_hours_are_counted_and_refused_if_asked(hourly, cfg, tmp_path):
+    once = hourly.filter("scenario_id = 'base'")
+    twice = once.unionByName(once.filter(F.hour("time_utc") == 20))
+    built = build_bundle(twice, cfg)
+    n = once.filter((F.hour("time_utc") == 20) & F.col("is_operational")).count()
+    assert built.repeated_hours == n
+    if n:
+        with pytest.raises(ContractError, match=f"{n} repeated hours"):
+            built.write(str(tmp_path), refuse_repeats=True)
+    assert build_bundle(once, cfg).repeated_hours == 0
+    noon = once.unionByName(once.filter(F.hour("time_utc") == 12))
+    built = build_bundle(noon, cfg)
+    assert built.repeated_hours == 2 * 14
+    with pytest.raises(ContractError, match="28 repeated hours"):
+        built.write(str(tmp_path), refuse_repeats=True)
+    built.write(str(tmp_path))
+
+
+def test_hours_outside_the_window_make_a_bundle_without_runs(hourly, cfg):
+    night = hourly.filter(F.hour("time_utc") == 3)
+    built = build_bundle(night, cfg)
+    assert built.repeated_hours == 0 and built.tables["streaks_workable_operational"].count() == 0

@@ -8,8 +8,10 @@ from workwindow.plans.pipeline import run_landed, run_parquet
 from workwindow.rules.fixed import SOURCE_FIELD
 from workwindow.sources.landed import (
     landed_violations,
+    parse_landed,
     read_landed,
     response_schema,
+    split_landed,
     truth_from_landed,
 )
 from workwindow.sources.truth import analysis_years, in_years, read_truth
@@ -124,3 +126,24 @@ def test_runs_from_parquet_and_from_landed_files_agree(spark, parquet, tmp_path)
     one = run_parquet(spark, parquet, cfg).tables["summary_run"].collect()
     two = run_landed(spark, str(tmp_path), cfg).tables["summary_run"].collect()
     assert one == two and one[0].total_hours == 24
+
+
+def test_landed_documents_are_split_in_one_read(spark, tmp_path, capsys):
+    sound = '{"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5, null]}}'
+    short = '{"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5]}}'
+    rows = [("a", sound), ("b", short), ("c", "{}"), ("d", '{"hourly": {"time": []}}'), ("e", None), ("f", "no"), ("g", '{"hourly": {"time": ["2024-01-01T00:00"]}}')]
+    spark.createDataFrame(rows, "site_id string, doc string").write.parquet(f"{tmp_path}/in")
+    responses = parse_landed(spark.read.parquet(f"{tmp_path}/in"), "doc", ["temperature"])
+    truth, problems = split_landed(responses, ["temperature"], "UTC")
+    for result in (truth, problems):
+        result.explain("formatted")
+        assert f"{tmp_path}/in" not in capsys.readouterr().out
+    assert [(r.site_id, r.time_utc.hour, r.temperature) for r in truth.orderBy("time_utc").collect()] == [("a", 0, 1.5), ("a", 1, None)]
+    assert sorted((r.site_id, r.problem, r.field, r.detail) for r in problems.collect()) == [
+        ("b", "length_mismatch", "temperature_2m", "1 vs 2"),
+        ("c", "missing_block", "hourly", ""),
+        ("d", "missing_time", "time", ""),
+        ("e", "missing_block", "hourly", ""),
+        ("f", "missing_block", "hourly", ""),
+        ("g", "missing_field", "temperature_2m", ""),
+    ]

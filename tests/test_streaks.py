@@ -5,7 +5,7 @@ from statistics import median
 import pytest
 
 from tests.support import MONDAY, STANDARD_3, config, hours, truth
-from workwindow.operators import streaks
+from workwindow.operators import previews, streaks
 from workwindow.operators.classify import classify
 from workwindow.rules.runwide import RuleSet
 
@@ -154,3 +154,15 @@ def test_gaps_of_pieces_make_the_histogram_of_a_site(spark):
     steps = streaks.operational_steps(spark.createDataFrame([("a", t, "base", True, True) for t in times], SCHEMA))
     found = {r.gap: r.n for r in streaks.gap_histogram(steps).collect()}
     assert found == {None: 1, 1.0: 1, 2.0: 1, 60 * 24.0: 1}
+
+
+def test_top_rows_of_every_site_are_limited_before_the_shuffle(spark, capsys):
+    rows = [(s, t, "base", True, i % 5 == 0) for s in "abc" for i, t in enumerate(hours(60))]
+    runs = streaks.operational_runs(spark.createDataFrame(rows, SCHEMA))
+    top = previews.top_blocked_streaks_by_site(runs, 2)
+    found = [(r.site_id, r.duration_hours, r.streak_id) for r in top.orderBy("site_id", "streak_id").collect()]
+    assert found == [(s, 4.0, i) for s in "abc" for i in (2, 4)]
+    top.explain()
+    assert "WindowGroupLimit" in capsys.readouterr().out
+    alone = previews.top_blocked_streaks_by_site(runs.filter("site_id = 'a'").drop("site_id"), 3)
+    assert [r.streak_id for r in alone.collect()] == [2, 4, 6]

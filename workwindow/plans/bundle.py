@@ -180,7 +180,9 @@ def build_bundle(
         )
     if validate:
         check_tables(tables, required_tables(include_weather_stats, **wanted), values=False)
-    return Bundle(run_meta(hours_in(cubes), config, run_id), tables, keys.get, repeats.get.get("repeated", 0))
+    # without any run there is nothing that could have been counted
+    repeated = 0 if runs.isEmpty() else repeats.get["repeated"]
+    return Bundle(run_meta(hours_in(cubes), config, run_id), tables, keys.get, repeated)
 
 
 def hours_in(cubes: DataFrame) -> DataFrame:
