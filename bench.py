@@ -21,6 +21,7 @@ from checks.local import local_session
 from workwindow.operators import curves, loss, pivots, stats, streaks, summary, weather
 from workwindow.operators.classify import classify, classify_by_site_rules, classify_packed, evaluation_summary
 from workwindow.plans.bundle import build_bundle
+from workwindow.plans.placed import write_placed
 from workwindow.rules import bysite
 from workwindow.session import stage
 
@@ -48,6 +49,7 @@ def main() -> None:
     rules, params = fx.LINEITEM_RULES, fx.PARAMS
     hourly = classify(truth, rules)
     packed = classify_packed(truth, rules)
+    placed = write_placed(packed, "bench_hours", int(os.environ.get("BENCH_CPUS", "8")))
     many = stage(fx.truth_suppliers(spark, SF_DIR), "bench-suppliers")
     site_rules = stage(bysite.packed_rules(fx.sound_supplier_config(spark, SF_DIR)), "bench-rules")
     by_site = classify_by_site_rules(many, site_rules)
@@ -79,6 +81,7 @@ def main() -> None:
             lambda: pivots.pivot_month_x_hour_param_mean_operational(hourly, params)
         ),
         "weather_stats_monthly": lambda: weather.weather_stats_monthly(packed, params),
+        "streaks_summary_placed": lambda: streaks.streaks_summary(streaks.operational_runs(placed)),
         "streaks_summary": lambda: streaks.streaks_summary(streaks.operational_runs(packed)),
     }
     queries = {name: timed(lambda plan=plan: consume(plan())) for name, plan in plans.items()}

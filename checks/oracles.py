@@ -705,6 +705,8 @@ for _name in (
 ORACLES["bundle_tables"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, 0 AS n_out_of_order FROM ({sql})" for name, sql in _BUNDLE.items()
 )
+ORACLES["streaks_summary_placed"] = ORACLES["streaks_summary_years"]
+ORACLES["weather_stats_placed"] = ORACLES["weather_stats_monthly"]
 ORACLES["incremental_summary"] = ORACLES["summary_monthly"]
 ORACLES["incremental_streaks"] = ORACLES["streaks_summary_years"]
 ORACLES["incremental_pieces"] = f"""WITH {TRUTH_LINEITEM}

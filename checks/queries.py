@@ -23,6 +23,7 @@ from workwindow.operators.counts import as_counts, clock_cube, count_cubes, day_
 from workwindow.plans.bundle import SORT_ORDER, Bundle, build_bundle, read_bundle, run_meta
 from workwindow.plans.incremental import read_manifest, refresh
 from workwindow.plans.pipeline import run_by_site
+from workwindow.plans.placed import write_placed
 from workwindow.plans.contracts import key_violations, rate_violations
 from workwindow.rules import bysite
 from workwindow.rules.runwide import RuleSet
@@ -157,6 +158,16 @@ def rate_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate_violations(tables)
 
 
+def _placed(op: Callable[[DataFrame], DataFrame]) -> Query:
+    """Over hours written bucketed by site and month."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = f"hours_{uuid.uuid4().hex}"
+        return portable(op(write_placed(fx.packed_lineitem(spark, sf_dir), name, 8)))
+
+    return query
+
+
 def weather_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both statistics from one written table of value counts, made in two halves; month 0 is the year."""
     packed = fx.packed_lineitem(spark, sf_dir)
@@ -314,6 +325,8 @@ QUERIES: dict[str, Query] = {
     "streaks_nonworkable_years": _packed(_runs(streaks.streaks_nonworkable)),
     "streaks_summary": _events(_runs(streaks.streaks_summary)),
     "streaks_summary_years": _packed(_runs(streaks.streaks_summary)),
+    "streaks_summary_placed": _placed(_runs(streaks.streaks_summary)),
+    "weather_stats_placed": _placed(lambda h: weather.weather_stats_monthly(h, fx.PARAMS)),
     "top_blocked_streaks": _events(_runs(streaks.top_blocked_streaks)),
     "monthly_preview": _lineitem(monthly_preview),
     "loss_preview": _lineitem(loss_preview),

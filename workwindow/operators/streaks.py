@@ -64,18 +64,18 @@ def operational_steps(
             s.wk.alias("workable"),
         ),
     )
+    placed = "_month" in hourly.columns
     site = F.col("site_id") if "site_id" in hourly.columns else F.lit(ONE_SITE)
     t = F.col(time_utc_col)
     steps = (
         hourly.select(
             site.alias("site_id"),
-            (F.year(t) * 12 + F.month(t)).alias("_month"),
+            (F.col("_month") if placed else F.year(t) * 12 + F.month(t)).alias("_month"),
             t.alias("time_utc"),
             named.alias("states"),
         )
         .filter(F.size("states") > 0)
-        .withColumn("site_id", _never_null("site_id"))
-        .withColumn("time_utc", _never_null("time_utc"))
+        .withColumns({} if placed else {c: _never_null(c) for c in ("site_id", "time_utc")})
         # said here, so that both readers of these rows are planned alike and share them
         .filter("site_id IS NOT NULL AND _month IS NOT NULL AND time_utc IS NOT NULL")
         .groupBy("site_id", "_month", "time_utc", "states")
@@ -84,7 +84,8 @@ def operational_steps(
     if watch is not None:
         steps = steps.observe(watch, F.coalesce(F.sum(F.col("n_steps") - 1), F.lit(0)).alias("repeated"))
     step = F.struct("time_utc", "states", "n_steps").alias("step")
-    return steps.select("site_id", "_month", step).repartition("site_id", "_month")
+    steps = steps.select("site_id", "_month", step)
+    return steps if placed else steps.repartition("site_id", "_month")
 
 
 def _never_null(name: str) -> Column:
