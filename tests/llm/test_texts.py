@@ -108,6 +108,18 @@ def test_viterbi_finds_the_best_labelling():
         assert tuple(labels[row == r]) == best
 
 
+def test_training_lines_come_from_the_whole_of_a_text():
+    random = np.random.default_rng(2)
+    starts = set()
+    for _ in range(60):
+        lines = random.normal(size=(200, 3)).astype("<f4")
+        part = quality.stretch(lines)
+        assert len(part) == quality.SAMPLE_LINES and quality.stretch(lines).tolist() == part.tolist()
+        starts.add(int(np.flatnonzero((lines == part[0]).all(1))[0]))
+    assert min(starts) < 40 and max(starts) > 130
+    assert quality.stretch(lines[:32]) is not None and len(quality.stretch(lines[:5])) == 5
+
+
 def test_labelled_documents_teach_the_field(spark, docs, prose):
     junk = ["\n".join(" | ".join(prose(i, 1).split()) for _ in range(4)) for i in range(60)]
     texts = [*(prose(i) for i in range(60)), *junk]

@@ -8,7 +8,8 @@ a text is kept if its content lines hold at least ``KEEP_SHARE`` of its words an
 base rule fails.
 
 Training: at most ``SAMPLE`` labelled documents of each quality, chosen by a hash of
-the id, and of each at most ``SAMPLE_LINES`` lines, reach the driver as features. Lines
+the id, and of each a stretch of at most ``SAMPLE_LINES`` lines drawn from anywhere in it,
+reach the driver as features. Lines
 start with the label of their document; a first model without transitions corrects
 lines of bad documents that look like content, then the field is fitted by its
 likelihood. Without documents of both qualities every line counts as content.
@@ -22,6 +23,7 @@ repeated rows stay; an empty table gives an empty result; other columns are not
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -226,9 +228,18 @@ class Field:
         return labels
 
 
+def stretch(features: np.ndarray) -> np.ndarray:
+    """At most ``SAMPLE_LINES`` lines in a row, from a place that a hash of all of them draws."""
+    spare = len(features) - SAMPLE_LINES
+    if spare <= 0:
+        return features
+    start = zlib.crc32(np.ascontiguousarray(features, "<f4").tobytes()) % (spare + 1)
+    return features[start : start + SAMPLE_LINES]
+
+
 def fit(texts: list[tuple[np.ndarray, int]], steps: int = 120) -> Field:
     """Fit the field to line features of texts and the quality (0 or 1) of each text."""
-    texts = [(f[:SAMPLE_LINES], q) for f, q in texts if len(f)]
+    texts = [(stretch(f), q) for f, q in texts if len(f)]
     if len({q for _, q in texts}) < 2:
         return Field.all_content()
     n, longest = len(texts), max(len(f) for f, _ in texts)
@@ -320,7 +331,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Fiel
     def line_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts_of(batches, "text"):
             lines = measure(*text_buffers(part.column("text")))
-            of = [lines.features[lines.row == i][:SAMPLE_LINES] for i in range(part.num_rows)]
+            of = [stretch(lines.features[lines.row == i]) for i in range(part.num_rows)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("quality"), pa.array([f.astype("<f4").tobytes() for f in of], pa.binary())],
                 ["doc_id", "quality", "features"],
