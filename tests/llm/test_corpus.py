@@ -294,7 +294,7 @@ def test_extraction_of_held_out_layouts_and_real_pages(spark):
     for _ in range(60):
         blocks, labels = extraction.draw_layout(texts, dice)
         bounds = np.array([0, len(blocks)])
-        hits += int((network.label(extraction.vectors(blocks, bounds), bounds) == np.array(labels)).sum())
+        hits += int((network.label(blocks, bounds) == np.array(labels)).sum())
         total += len(blocks)
     assert hits / total > 0.97
     assert extraction.extract(pages.filter("false"), network).count() == 0
@@ -467,3 +467,16 @@ def test_contract_digests_of_conversation_minus_seven(spark):
     said = "</s>[INST] ok [/INST]"
     assert row.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
+def test_long_pages_are_labelled_in_parts():
+    page = "".join(f"<div class='c{i % 5}'><p>Block {i} has some words, number {i * i}.</p></div>" for i in range(90))
+    blocks = extraction.blocks_of(f"<body>{page}</body>")
+    both = blocks + extraction.blocks_of("<p>short page</p>")
+    bounds = np.array([0, len(blocks), len(both)])
+    network = extraction.Network.start(5)
+    network.w["skip"] = np.random.default_rng(6).normal(0, 1, extraction.DIM).astype(np.float32)
+    x = extraction.vectors(blocks, bounds[:2])[None]
+    whole = network.forward(x, np.array([len(blocks)]))[0]
+    assert np.allclose(network.long_page(blocks, 7), whole, atol=1e-4)
+    assert network.label(both, bounds, 7).tolist() == network.label(both, bounds).tolist()

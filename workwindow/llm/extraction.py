@@ -71,7 +71,6 @@ _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Words in tags, classes and ids that say what a part of a page is.
-MAIN_NAMES = frozenset("article main content post entry story body text articlebody".split())
 OTHER_NAMES = frozenset(
     "nav menu navbar header masthead topbar banner breadcrumb breadcrumbs footer aside sidebar "
     "related widget ad ads advert advertisement sponsored promo notice cookie consent alert popup "
@@ -177,8 +176,9 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return found
 
 
-def vectors(blocks: list[Block], bounds: np.ndarray) -> np.ndarray:
-    """One row per block; ``bounds``: where each page's blocks start, and the end."""
+def vectors(blocks: list[Block], bounds: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
+    """One row per block; ``bounds``: where each page's blocks start, and the end. ``place``:
+    how far down its page each block is, told by ``bounds`` if not given."""
     n = len(blocks)
     x = np.zeros((n, DIM), np.float32)
     for i, block in enumerate(blocks):
@@ -192,7 +192,8 @@ def vectors(blocks: list[Block], bounds: np.ndarray) -> np.ndarray:
     counts = np.bincount(owner * WORD_DIM + bucket, minlength=n * WORD_DIM).reshape(n, WORD_DIM)
     x[:, PATH_DIM : PATH_DIM + WORD_DIM] = 0.5 * np.sqrt(counts / np.maximum(n_words, 1)[:, None])
     chars = np.maximum(np.array([len(b.text) for b in blocks]), 1)
-    place = np.concatenate([np.linspace(0, 1, k) if k else [] for k in np.diff(bounds)]) if n else []
+    if place is None:
+        place = np.concatenate([np.linspace(0, 1, k) if k else [] for k in np.diff(bounds)]) if n else []
     last = np.array([r[-1] if r else 0 for r in raw], np.uint8)
     numbers = [
         np.log1p(n_words) / 5,
@@ -287,28 +288,57 @@ class Network:
             grad["b"][d] = da.sum((0, 1))
         return grad
 
-    def label(self, x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def label(self, blocks: list[Block], bounds: np.ndarray, at_once: int = AT_ONCE) -> np.ndarray:
         """Main text or not, for every block of the pages between ``bounds``. Pages of
-        like length go through together."""
-        main = np.zeros(len(x), bool)
+        like length go through together, a page of more than ``at_once`` blocks in parts."""
+        main = np.zeros(len(blocks), bool)
         lengths = np.diff(bounds)
         order = np.argsort(lengths, kind="stable")
         order = order[lengths[order] > 0]
         at = 0
         while at < len(order):
             stop = at + 1
-            while stop < len(order) and (stop + 1 - at) * lengths[order[stop]] <= AT_ONCE:
+            while stop < len(order) and (stop + 1 - at) * lengths[order[stop]] <= at_once:
                 stop += 1
             pages = order[at:stop]
-            padded = np.zeros((len(pages), lengths[pages[-1]], DIM), np.float32)
-            for k, p in enumerate(pages):
-                padded[k, : lengths[p]] = x[bounds[p] : bounds[p + 1]]
-            score = self.forward(padded, lengths[pages])
-            for k, p in enumerate(pages):
-                main[bounds[p] : bounds[p + 1]] = score[k, : lengths[p]] > 0
+            spans = [(int(bounds[p]), int(bounds[p + 1])) for p in pages]
+            if lengths[pages[-1]] > at_once:
+                for a, b in spans:
+                    main[a:b] = self.long_page(blocks[a:b], at_once) > 0
+            else:
+                ends = np.append(0, np.cumsum(lengths[pages]))
+                x = vectors([block for a, b in spans for block in blocks[a:b]], ends)
+                padded = np.zeros((len(pages), lengths[pages[-1]], DIM), np.float32)
+                for k in range(len(pages)):
+                    padded[k, : lengths[pages[k]]] = x[ends[k] : ends[k + 1]]
+                score = self.forward(padded, lengths[pages])
+                for k, (a, b) in enumerate(spans):
+                    main[a:b] = score[k, : b - a] > 0
             at = stop
         return main
 
+    def long_page(self, blocks: list[Block], at_once: int) -> np.ndarray:
+        """Scores of one page's blocks. Each direction goes through the page in parts and hands
+        its state from part to part, so only one part has vectors at a time."""
+        n = len(blocks)
+        score = np.zeros(n, np.float32)
+        parts = [(a, min(a + at_once, n)) for a in range(0, n, at_once)]
+        for d in (0, 1):
+            h = c = np.zeros(HIDDEN, np.float32)
+            for a, b in parts if d == 0 else reversed(parts):
+                x = vectors(blocks[a:b], np.array([0, b - a]), np.arange(a, b) / max(n - 1, 1))
+                if d == 0:
+                    score[a:b] += x @ self.w["skip"]
+                z = x @ self.w["wx"][d] + self.w["b"][d]
+                steps = range(b - a) if d == 0 else reversed(range(b - a))
+                for t in steps:
+                    gates = z[t] + h @ self.w["wh"][d]
+                    i, f, o = np.split(1 / (1 + np.exp(-gates[: 3 * HIDDEN])), 3)
+                    c = f * c + i * np.tanh(gates[3 * HIDDEN :])
+                    h = o * np.tanh(c)
+                    score[a + t] += h @ self.w["out"][d]
+        return score
+
 
 def named_labels(blocks: list[Block]) -> list[bool] | None:
     """Labels where tags and names say what the parts are; None if none says main."""
@@ -469,7 +499,7 @@ def extract(pages: DataFrame, network: Network) -> DataFrame:
             found = [blocks_of(h or "") for h in part.column("html").to_pylist()]
             bounds = np.concatenate(([0], np.cumsum([len(b) for b in found])))
             blocks = [b for page in found for b in page]
-            main = network.label(vectors(blocks, bounds), bounds) if blocks else []
+            main = network.label(blocks, bounds) if blocks else []
             texts = [
                 "\n".join(b.text for b, yes in zip(blocks[i:j], main[i:j]) if yes)
                 for i, j in zip(bounds.tolist(), bounds[1:].tolist())
