@@ -6,10 +6,11 @@ with the templates. Words are runs of a-z and 0-9 in lower case; the weight of a
 term falls with the share of all documents that have it, any other word weighs 1 in
 the length of its unit.
 
-Units that cannot match are told by their different terms: a unit's cosine is at most the
-length of the part of the template, itself of length 1, whose terms it holds. Texts,
-blocks and lines below ``MIN_COSINE`` by that bound for all templates are not scored;
-that loses no match. Of the others only template terms are exploded.
+Units that cannot match are told by ``telling_terms``: a unit's cosine is at most the length
+of the part of the template, itself of length 1, whose terms it holds. So of each
+template the most common terms are left out as long as they alone stay below
+``MIN_COSINE``, and a unit without any of the others is not scored. That loses no match.
+Of the others only template terms are exploded.
 
 A file's own licence is its best match at or above ``MIN_COSINE``. A matching block is one
 notice, in other blocks each matching line is. A licence file, by its name or because
@@ -28,7 +29,6 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -139,25 +139,19 @@ def term_weights(files: DataFrame) -> DataFrame:
     )
 
 
-def template_squares(weights: dict[str, float]) -> list[dict[str, float]]:
-    """Of each template, brought to length 1, the squares of its terms."""
-    found = []
+def telling_terms(weights: dict[str, float]) -> list[str]:
+    """Terms of which a unit must hold one to come near any template."""
+    # scores are rounded before they are compared
+    least, found = (MIN_COSINE - 1e-6) ** 2 - 1e-9, set()
     for _, text in TEMPLATES:
         terms = _terms(text)
         squares = {t: (terms.count(t) * weights[t]) ** 2 for t in set(terms)}
-        whole = sum(squares.values())
-        found.append({t: x / whole for t, x in squares.items()})
-    return found
-
-
-def _may_match(terms: Column, squares: Column) -> Column:
-    """Do the terms hold enough of any template for its cosine to reach the least one?"""
-    # scores are rounded before they are compared
-    least = (MIN_COSINE - 1e-6) ** 2 - 1e-9
-    held = lambda template: F.aggregate(
-        terms, F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at(template, t), F.lit(0.0))
-    )
-    return F.exists(squares, lambda template: held(template) >= least)
+        rest, whole = 0.0, sum(squares.values())
+        for term in sorted(squares, key=lambda t: (weights[t], t)):
+            rest += squares[term] / whole
+            if rest >= least:
+                found.add(term)
+    return sorted(found)
 
 
 def _known(words_: Column) -> Column:
@@ -168,30 +162,31 @@ def _sum_of_squares(words_: Column) -> Column:
     """Of how often each different word occurs."""
     start = F.struct(F.lit("").alias("word"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("sum"))
 
-    def add(seen: Column, word: Column) -> Column:
+    def count(seen: Column, word: Column) -> Column:
         n = F.when(seen["word"] == word, seen["n"] + 1).otherwise(1)
         return F.struct(word.alias("word"), n.alias("n"), (seen["sum"] + 2 * n - 1).alias("sum"))
 
-    return F.aggregate(F.array_sort(words_), start, add, lambda seen: seen["sum"])
+    return F.aggregate(F.array_sort(words_), start, count, lambda seen: seen["sum"])
 
 
-def _units(files: DataFrame, squares: Column) -> DataFrame:
+def _units(files: DataFrame, telling: list[str]) -> DataFrame:
     """path, text_key, all_words, block, line and words of all units that can match; block 0
-    is the whole text, line 0 a whole block. What holds for a text's or a block's terms
-    holds for those of its parts, so most texts end here, where they are read."""
-    texts = files.filter("path IS NOT NULL AND text IS NOT NULL").select("path", "text", words(F.col("text")).alias("words"))
-    texts = texts.filter(_may_match(_known(F.col("words")), squares))
-    keyed = texts.select("path", "text", F.md5("text").alias("text_key"), F.size("words").alias("all_words"))
+    is the whole text, line 0 a whole block."""
+    may_match = lambda words_: F.arrays_overlap(words_, F.array(*map(F.lit, telling)))
+    texts = files.filter("path IS NOT NULL AND text IS NOT NULL")
+    split = texts.select("path", "text", words(F.col("text")).alias("words"))
+    split = split.filter(may_match(F.col("words")))
+    keyed = split.select("path", "text", F.size("words").alias("all_words"), F.md5("text").alias("text_key"))
     whole = F.array(F.struct(F.lit(0).alias("block"), F.col("text").alias("part")))
     parts = F.transform(
         F.split("text", BETWEEN_BLOCKS, -1), lambda b, i: F.struct((i + 1).alias("block"), b.alias("part"))
     )
     blocks = keyed.select("path", "text_key", "all_words", F.inline(F.concat(whole, parts)))
     blocks = blocks.withColumn("words", words(F.col("part")))
-    blocks = blocks.filter((F.col("block") == 0) | _may_match(_known(F.col("words")), squares))
+    blocks = blocks.filter((F.col("block") == 0) | may_match(F.col("words")))
     entry = lambda line, words_: F.struct(line.cast("int").alias("line"), words_.alias("words"))
     lines = F.transform(F.split("part", "\n", -1), lambda x, i: entry(i + 1, words(x)))
-    lines = F.filter(lines, lambda x: _may_match(_known(x["words"]), squares))
+    lines = F.filter(lines, lambda x: may_match(x["words"]))
     own = F.array(entry(F.lit(0), F.col("words")))
     has_lines = (F.col("block") > 0) & F.contains("part", F.lit("\n"))
     units = F.when(has_lines, F.concat(own, lines)).otherwise(own)
@@ -204,8 +199,7 @@ def matches(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     weights = stage(term_weights(files), "license-weights")
     # as many rows as the templates have terms
-    known = {r.term: r.weight for r in weights.collect()}
-    squares = F.from_json(F.lit(json.dumps(template_squares(known))), "array<map<string,double>>")
+    telling = telling_terms({r.term: r.weight for r in weights.collect()})
     templates = literal_rows(spark, "template, license_id, term, n", template_rows())
     templates = templates.join(weights, "term").withColumn("w", F.col("n") * F.col("weight"))
     norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("template_norm"))
@@ -216,7 +210,7 @@ def matches(files: DataFrame) -> DataFrame:
     key = ["path", "text_key", "block", "line", "n_words", "all_words"]
     count = lambda t: F.size(F.filter("words", lambda x: x == t)).cast("long")
     terms = F.transform(_known(F.col("words")), lambda t: F.struct(t.alias("term"), count(t).alias("n")))
-    units = _units(files, squares).withColumn("n_words", F.size("words"))
+    units = _units(files, telling).withColumn("n_words", F.size("words"))
     counts = units.select(*key, _sum_of_squares(F.col("words")).alias("squares"), F.inline(terms)).distinct()
     counts = counts.join(weights, "term").withColumn("w", F.col("n") * F.col("weight"))
     counts = stage(counts.drop("weight"), "license-terms")
