@@ -7,7 +7,7 @@ order of summation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from workwindow.operators.classify import classify, classify_packed, with_local_clock
@@ -167,7 +167,7 @@ def supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         (40 + F.col("nation") % 10).cast("int"),
         (6 + F.col("nation") % 3).cast("int"),
     )
-    return _from_documents(base.withColumn("doc", doc))
+    return _from_documents(base, doc)
 
 
 def sound_supplier_config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +239,7 @@ def customer_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key % 9).cast("int"),
         (F.col("nation") % 10).cast("int"),
     )
-    return _from_documents(base.withColumn("doc", doc))
+    return _from_documents(base, doc)
 
 
 def part_config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +271,7 @@ def part_config(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 7, "7:00").otherwise("08:00"),
         F.when(kind == 8, "25:00").otherwise("12:00"),
     )
-    return _from_documents(base.withColumn("doc", doc))
+    return _from_documents(base, doc)
 
 
 def customers_some_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,10 +295,11 @@ def damaged_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _from_documents(rows: DataFrame) -> DataFrame:
+def _from_documents(rows: DataFrame, doc: Column) -> DataFrame:
     own = ("site_id", "timezone", "scenario_mode", "calendar_model")
-    return rows.select(
-        *(c for c in own), F.from_json("doc", CONFIG_SCHEMA).alias("config")
+    # a small file is read by one task; the documents are made and parsed by all
+    return rows.repartition("site_id").select(
+        *(c for c in own), F.from_json(doc, CONFIG_SCHEMA).alias("config")
     ).select(
         "site_id",
         "timezone",
