@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tests.support import hours, truth
 from workwindow.operators.classify import classify_by_site_rules, classify_packed_by_site_rules, unpack
 from workwindow.plans.bundle import read_bundle
+from workwindow.plans.contracts import ContractError
 from workwindow.plans.pipeline import run_by_site
 from workwindow.rules import bysite
 
@@ -188,3 +189,23 @@ def test_run_by_site_reports_all_but_the_sites_set_aside(spark, tmp_path):
     meta = tables["run_meta"].first()
     assert meta.location_name == "many" and sorted(meta.parameters) == ["temperature", "wind_speed"]
     assert tables["summary_run"].agg(F.sum("total_hours")).first()[0] == meta.rows_hourly
+
+
+def test_a_run_by_site_makes_the_hours_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        made.add(1)
+        return value
+
+    hour = measured_sites(spark).withColumn("temperature", counted("temperature"))
+    bundle = run_by_site(hour, many_sites(spark))
+    assert bundle.tables["summary_run"].count() > 0
+    assert bundle.tables["sites_set_aside"].count() == 0
+    assert made.value == 30 * 12
+
+
+def test_a_run_by_site_without_hours_is_refused(spark):
+    with pytest.raises(ContractError, match="empty"):
+        run_by_site(measured_sites(spark).filter("false"), many_sites(spark))

@@ -21,6 +21,7 @@ from workwindow.plans.contracts import (
     fraction_columns,
     null_counts,
     outside_counts,
+    reject_empty,
     reject_keys,
     reject_outside,
 )
@@ -152,7 +153,7 @@ def build_bundle(
     """
     params = list(config.get("required_parameters") or [])
     params = list(weather_params) if weather_params is not None else params
-    check_hourly(hourly, params if include_weather_stats else None)
+    check_hourly(hourly, params if include_weather_stats else None, rows=False)
     if include_weather_stats and not params:
         raise ValueError("weather statistics need weather parameters")
 
@@ -166,6 +167,8 @@ def build_bundle(
     if include_weather_stats:
         jobs.append(lambda: stage(weather.value_counts(dense, params, **columns), "values"))
     cubes, runs, *values = at_once(jobs)
+    # a first row of the hours may take all their exchanges, one of the cubes is there
+    reject_empty(cubes)
     values = values[0] if values else None
     has_limits = columns.get("limiting_col", "limiting_param") in hourly.columns
     wanted = dict(curves_=include_curves, visual=include_visual, stats_=include_stats)

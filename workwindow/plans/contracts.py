@@ -19,8 +19,10 @@ class ContractError(ValueError):
     """A table does not have the shape or the value range it promises."""
 
 
-def check_hourly(hourly: DataFrame, weather_params: Sequence[str] | None = None) -> None:
-    """Reject an hourly table without its columns, types or rows (at most a one-row job)."""
+def check_hourly(
+    hourly: DataFrame, weather_params: Sequence[str] | None = None, rows: bool = True
+) -> None:
+    """Reject an hourly table without its columns, types or, with ``rows``, rows; without it nothing runs."""
     missing = [c for c in HOURLY_COLUMNS if c not in hourly.columns]
     if missing:
         raise ContractError(f"hourly table lacks columns {missing}")
@@ -30,7 +32,13 @@ def check_hourly(hourly: DataFrame, weather_params: Sequence[str] | None = None)
     absent = [p for p in weather_params or () if p not in hourly.columns]
     if absent:
         raise ContractError(f"hourly table lacks weather parameters {absent}")
-    if hourly.isEmpty():
+    if rows:
+        reject_empty(hourly)
+
+
+def reject_empty(table: DataFrame) -> None:
+    """Fail when a table that has rows wherever the hourly table has some is empty."""
+    if table.isEmpty():
         raise ContractError("hourly table is empty")
 
 
